@@ -1,0 +1,263 @@
+"""The registered queries: each builds its result from the test tables."""
+
+from __future__ import annotations
+
+import datetime
+import tempfile
+import uuid
+from collections.abc import Callable, Collection
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fixtures.views import TEST_SETTINGS, VIEWS, raw_table
+from tradeloom.functions.measures import exact_sum
+from tradeloom.operators import quality
+from tradeloom.operators.export import nest_by
+from tradeloom.operators.history import apply_changes
+from tradeloom.plans import dashboards, extras, gold, silver
+from tradeloom.schemas import RAW_SCHEMAS
+from tradeloom.sources.csv_files import read_csv, split_bad_rows, with_audit_columns
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+class Shop:
+    """The raw and silver tables of one test data directory."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def raw(self, name: str) -> DataFrame:
+        return raw_table(self.spark, self.sf_dir, name)
+
+    def customers(self) -> DataFrame:
+        return silver.dim_customers(self.raw("customers"), self.raw("orders"))
+
+    def products(self) -> DataFrame:
+        return silver.dim_products(self.raw("products"), self.raw("category_translation"))
+
+    def sellers(self) -> DataFrame:
+        return silver.dim_sellers(self.raw("sellers"))
+
+    def reviews(self) -> DataFrame:
+        return silver.reviews_latest(self.raw("order_reviews"))
+
+    def payments(self) -> DataFrame:
+        return silver.payments_by_order(self.raw("order_payments"))
+
+    def enriched(self, keep: Collection[str] = silver.ENRICHED_COLUMNS) -> DataFrame:
+        return silver.enrich_orders(
+            self.raw("orders"),
+            self.raw("order_items"),
+            self.payments(),
+            self.reviews(),
+            self.customers(),
+            self.products(),
+            self.sellers(),
+            keep,
+        )
+
+
+# Columns each aggregate reads, so that unused lookups are not joined.
+_MONTHLY = {
+    "order_id", "purchase_year", "purchase_month", "year_month", "item_price",
+    "freight_value", "customer_unique_id", "review_score", "is_late_delivery", "order_status",
+}
+_SELLER = {
+    "seller_id", "seller_city", "seller_state", "order_id", "item_price", "category_english",
+    "customer_unique_id", "delivery_days", "review_score", "is_late_delivery", "order_status",
+    "order_purchase_date",
+}
+_CATEGORY = {
+    "category_english", "product_category_name", "order_id", "item_price", "seller_id",
+    "review_score", "delivery_days", "product_weight_g",
+}
+_DELIVERY = {"order_status", "delivery_days", "order_id", "review_score"}
+_PROFILE = {
+    "order_status", "order_id", "customer_unique_id", "seller_id", "category_english",
+    "total_payment_value", "item_price", "review_score", "delivery_days", "is_late_delivery",
+    "order_purchase_date",
+}
+_KPIS = {
+    "order_id", "customer_unique_id", "item_price", "review_score", "delivery_days",
+    "is_late_delivery", "order_status",
+}
+
+
+def _on_shop(build: Callable[[Shop], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(Shop(spark, sf_dir))
+
+
+def _product_category(shop: Shop) -> DataFrame:
+    return gold.product_category(shop.enriched(_CATEGORY), shop.enriched({"item_price"}))
+
+
+def _delivery_performance(shop: Shop) -> DataFrame:
+    return gold.delivery_performance(
+        shop.enriched(_DELIVERY), shop.enriched(_DELIVERY - {"review_score"})
+    )
+
+
+def _cross_tab(name: str) -> Query:
+    return _on_shop(
+        lambda shop: dashboards.cross_tab(
+            name, shop.enriched(dashboards.columns_for(name)), TEST_SETTINGS
+        )
+    )
+
+
+def _layer_counts(shop: Shop) -> DataFrame:
+    tables = {f"bronze.{name}": shop.raw(name) for name in VIEWS}
+    tables["silver.dim_customers"] = shop.customers()
+    tables["silver.dim_products"] = shop.products()
+    tables["silver.dim_sellers"] = shop.sellers()
+    tables["silver.order_reviews_deduped"] = shop.reviews()
+    tables["silver.order_payments_agg"] = shop.payments()
+    tables["silver.orders_enriched"] = shop.enriched()
+    return quality.row_counts(tables)
+
+
+def _reconcile_counts(shop: Shop) -> DataFrame:
+    sources = {
+        "orders": "orders",
+        "order_items": "lineitem",
+        "order_payments": "lineitem",
+        "order_reviews": "events",
+        "customers": "customer",
+        "products": "part",
+        "sellers": "supplier",
+    }
+    expected = quality.row_counts(
+        {view: shop.spark.read.parquet(f"{shop.sf_dir}/{t}.parquet") for view, t in sources.items()}
+    ).withColumnRenamed("row_count", "expected")
+    return quality.reconcile_counts(expected, {view: shop.raw(view) for view in sources})
+
+
+def _top_categories(shop: Shop) -> DataFrame:
+    return (
+        shop.enriched({"category_english", "item_price"})
+        .where(F.col("category_english").isNotNull())
+        .groupBy("category_english")
+        .agg(F.round(exact_sum("item_price"), 2).alias("total_revenue"))
+        .orderBy(F.col("total_revenue").desc(), "category_english")
+        .limit(5)
+    )
+
+
+def _scd2(shop: Shop) -> DataFrame:
+    """A later snapshot against the customers known before: every key divisible
+    by 5 is new, every key divisible by 7 has moved."""
+    customers = shop.customers()
+    key = F.col("customer_id")
+    moved = F.concat(F.lit("Moved To "), F.col("customer_city"))
+    snapshot = customers.withColumn(
+        "customer_city", F.when(key % 7 == 0, moved).otherwise(F.col("customer_city"))
+    )
+    return apply_changes(
+        customers.where(key % 5 != 0),
+        snapshot,
+        "customer_id",
+        ["customer_city", "customer_state", "customer_zip_code_prefix"],
+        datetime.date(2002, 1, 1),
+    )
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder in the shared place the cluster names; local in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix="tradeloom-")
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    (
+        df.write.option("header", True)
+        .option("timestampFormat", fmt)
+        .option("timestampNTZFormat", fmt)
+        .csv(path)
+    )
+
+
+def _csv_ingest_items(shop: Shop) -> DataFrame:
+    """Order items written as CSV, loaded back through the raw contract."""
+    path = f"{scratch_dir(shop.spark)}/order_items"
+    items = shop.raw("order_items")
+    _write_csv(items, path)
+    loaded = with_audit_columns(read_csv(shop.spark, path, RAW_SCHEMAS["order_items"]))
+    checked = loaded.where(F.col("_ingestion_ts").isNotNull() & F.col("_source_file").isNotNull())
+    ids = ("order_id", "product_id", "seller_id")
+    return checked.select(
+        *[F.col(c).cast("long").alias(c) if c in ids else F.col(c) for c in items.columns]
+    )
+
+
+def _bad_rows(shop: Shop) -> DataFrame:
+    """Reviews written as CSV with a timestamp in some score fields: the lines
+    that do not parse in full, with the fields that do."""
+    path = f"{scratch_dir(shop.spark)}/order_reviews"
+    reviews = shop.raw("order_reviews").drop("review_comment_message")
+    broken = F.col("review_id") % 9 == 0
+    score = F.when(broken, F.lit("2018-01-01 00:00:00")).otherwise(
+        F.col("review_score").cast("string")
+    )
+    _write_csv(reviews.withColumn("review_score", score), path)
+    schema = RAW_SCHEMAS["order_reviews"].replace("review_comment_message STRING,", "")
+    _, bad = split_bad_rows(shop.spark, path, schema)
+    return bad.select(
+        F.col("review_id").cast("long").alias("review_id"),
+        F.col("order_id").cast("long").alias("order_id"),
+        "review_score",
+        "_corrupt_record",
+    )
+
+
+def _report_export(shop: Shop) -> DataFrame:
+    names = ("kpi_by_delivery", "monthly_by_delivery", "category_by_delivery",
+             "state_by_delivery", "review_by_delivery")
+    sections = ("kpi", "monthly", "categories", "states", "reviews")
+    keep = set().union(*[dashboards.columns_for(n) for n in names])
+    fact = shop.enriched(keep)
+    return nest_by(
+        "delivery_bucket",
+        {s: dashboards.cross_tab(n, fact, TEST_SETTINGS) for s, n in zip(sections, names)},
+    )
+
+
+def queries() -> dict[str, Query]:
+    registered: dict[str, Query] = {
+        "monthly_revenue": _on_shop(lambda s: gold.monthly_revenue(s.enriched(_MONTHLY))),
+        "dim_customers": _on_shop(Shop.customers),
+        "dim_products": _on_shop(Shop.products),
+        "dim_sellers": _on_shop(Shop.sellers),
+        "reviews_latest": _on_shop(Shop.reviews),
+        "payments_dominant": _on_shop(Shop.payments),
+        "orders_enriched": _on_shop(Shop.enriched),
+        "fact_orders": _on_shop(lambda s: gold.fact_orders(s.enriched(gold.FACT_COLUMNS))),
+        "seller_performance": _on_shop(lambda s: gold.seller_performance(s.enriched(_SELLER))),
+        "product_category": _on_shop(_product_category),
+        "delivery_performance": _on_shop(_delivery_performance),
+        **{name: _cross_tab(name) for name in dashboards.CROSS_TABS},
+        "silver_profile": _on_shop(lambda s: quality.delivered_profile(s.enriched(_PROFILE))),
+        "gold_kpis": _on_shop(lambda s: quality.fact_kpis(s.enriched(_KPIS))),
+        "layer_counts": _on_shop(_layer_counts),
+        "reconcile_counts": _on_shop(_reconcile_counts),
+        "csv_ingest_items": _on_shop(_csv_ingest_items),
+        "top_categories": _on_shop(_top_categories),
+        "order_level_kpis": _on_shop(lambda s: extras.order_level_kpis(
+            s.enriched({"order_id", "order_status", "is_late_delivery", "total_payment_value"}))),
+        "scd2_apply": _on_shop(_scd2),
+        "revenue_yoy": _on_shop(
+            lambda s: extras.revenue_yoy(gold.monthly_revenue(s.enriched(_MONTHLY)))),
+        "monthly_on_time": _on_shop(lambda s: extras.monthly_on_time(s.enriched(_MONTHLY))),
+        "seller_products": _on_shop(
+            lambda s: extras.seller_products(s.enriched({"seller_id", "product_id"}))),
+        "category_photos": _on_shop(
+            lambda s: extras.category_photos(
+                s.enriched({"category_english", "product_photos_qty"}))),
+        "bad_rows": _on_shop(_bad_rows),
+        "report_export": _on_shop(_report_export),
+    }
+    return registered
