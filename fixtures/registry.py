@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Collection
@@ -27,9 +28,7 @@ class Shop:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-
-    def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.sf_dir, name)
+        self.raw = functools.cache(functools.partial(raw_table, spark, sf_dir))
 
     def customers(self) -> DataFrame:
         return silver.dim_customers(self.raw("customers"), self.raw("orders"))
@@ -47,16 +46,8 @@ class Shop:
         return silver.payments_by_order(self.raw("order_payments"))
 
     def enriched(self, keep: Collection[str] = silver.ENRICHED_COLUMNS) -> DataFrame:
-        return silver.enrich_orders(
-            self.raw("orders"),
-            self.raw("order_items"),
-            self.payments(),
-            self.reviews(),
-            self.customers(),
-            self.products(),
-            self.sellers(),
-            keep,
-        )
+        lookups = {name: getattr(self, name)() for name in silver.lookups_for(keep)}
+        return silver.enrich_orders(self.raw("orders"), self.raw("order_items"), lookups, keep)
 
 
 # Columns each aggregate reads, so that unused lookups are not joined.

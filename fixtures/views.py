@@ -8,7 +8,10 @@ line number, which may repeat within an order.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tradeloom.functions.buckets import ValueGroups
 from tradeloom.plans.dashboards import Settings
@@ -85,10 +88,19 @@ TEST_SETTINGS = Settings(
 )
 
 
+@functools.lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """The test files never change, so their footers are read once a session."""
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables, text = VIEWS[name]
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
-    return spark.sql(text, **frames)
+    return spark.sql(text, **{t: _read(spark, f"{sf_dir}/{t}.parquet") for t in tables})
 
 
 def view_sql(name: str) -> str:

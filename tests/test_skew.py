@@ -1,0 +1,105 @@
+"""Joins with a key that holds a third of the rows, or with many NULL keys."""
+
+from pyspark.sql import functions as F
+
+from tradeloom.operators import joins
+from tradeloom.operators.joins import fk_join, hot_keys, hot_keys_for_joins, with_spread
+from tradeloom.plans import silver
+from fixtures.views import raw_table
+
+SF = "/root/testdata/sf0.001"
+
+
+def skewed(spark, rows=30_000, null_share=0):
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 100)
+    if null_share:
+        key = F.when(F.col("id") % null_share == 1, F.lit(None)).otherwise(key)
+    return spark.range(0, rows, 1, 6).select(key.cast("long").alias("k"), F.col("id").alias("v"))
+
+
+def dimension(spark, rows=30_000):
+    return spark.range(0, rows, 2, 3).select(
+        F.when(F.col("id") == 0, 7).otherwise(F.col("id") + 100).alias("k"),
+        F.concat(F.lit("n"), F.col("id")).alias("name"))
+
+
+def test_hot_keys_finds_value_and_null(spark):
+    found = hot_keys(skewed(spark, null_share=4), ["k"], 1 / 8)
+    keys = {r._hot_key: r._ways for r in found["k"].collect()}
+    assert set(keys) == {7, None}
+    assert keys[7] >= 4
+    assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), ["k"], 1 / 8) == {}
+    assert hot_keys(spark.range(0).select(F.col("id").alias("k")), ["k"], 1 / 8) == {}
+
+
+def test_hot_keys_of_text_columns_and_a_quarter_percent_share(spark):
+    df = spark.range(0, 400_000, 1, 8).select(
+        F.when(F.col("id") % 250 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    found = hot_keys(df, ["k"], 1 / 1000)
+    assert [r._hot_key for r in found["k"].collect()] == ["hot"]
+
+
+def test_split_join_equals_plain_join_and_spreads_the_hot_key(spark):
+    left, right = skewed(spark, null_share=5), dimension(spark)
+    hot = hot_keys(left, ["k"], 1 / 8)["k"]
+    for how in ("left", "inner"):
+        plain = left.join(right, "k", how)
+        split = fk_join(with_spread(left), right, "k", how, hot).select(*plain.columns)
+        assert split.count() == plain.count()
+        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def largest(df):
+            sizes = df.groupBy(F.spark_partition_id().alias("p")).count()
+            return sizes.agg(F.max("count")).first()[0]
+
+        plain, split = left.join(right, "k", "left"), fk_join(with_spread(left), right, "k", "left", hot)
+        assert largest(plain) > 8_000
+        assert largest(split) < largest(plain) / 1.5
+    finally:
+        for name in ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold",
+                     "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.{name}")
+
+
+def test_copies_of_one_row_are_split_too(spark):
+    left = with_spread(spark.range(0, 9000, 1, 3).select(F.lit(1).alias("k"), F.lit("same").alias("v")))
+    hot = spark.createDataFrame([(1, 8)], "_hot_key INT, _ways INT")
+    right = spark.createDataFrame([(1, "one")], "k INT, name STRING")
+    assert fk_join(left, right, "k", "inner", hot).count() == 9000
+    slots = left.groupBy((F.col("_spread") % 8).alias("slot")).count().collect()
+    assert len(slots) == 8 and max(r["count"] for r in slots) < 1200
+
+
+def test_enriched_with_hot_order_product_seller_and_customer(spark, monkeypatch):
+    """A third of the items in one order, of one product and one seller; one
+    customer with a third of the orders. Same rows as with plain joins."""
+    monkeypatch.setattr(joins, "_fits_broadcast", lambda df: False)
+    third = F.col("product_id") % 3 == 0
+    items = raw_table(spark, SF, "order_items")
+    items = items.withColumns({
+        "order_id": F.when(third, F.lit(1)).otherwise(F.col("order_id")).cast("long"),
+        "seller_id": F.when(third, F.lit(3)).when(F.col("order_item_id") == 2, None).otherwise(
+            F.col("seller_id")).cast("long"),
+        "product_id": F.when(third, F.lit(9)).otherwise(F.col("product_id")).cast("long"),
+    })
+    orders = raw_table(spark, SF, "orders")
+    orders = orders.withColumn("customer_id", F.when(F.col("order_id") % 3 == 0, 4).otherwise(
+        F.col("customer_id")).cast("long"))
+    lookups = {
+        "payments": silver.payments_by_order(raw_table(spark, SF, "order_payments")),
+        "reviews": silver.reviews_latest(raw_table(spark, SF, "order_reviews")),
+        "customers": silver.dim_customers(raw_table(spark, SF, "customers"), orders),
+        "products": silver.dim_products(
+            raw_table(spark, SF, "products"), raw_table(spark, SF, "category_translation")),
+        "sellers": silver.dim_sellers(raw_table(spark, SF, "sellers")),
+    }
+    found = hot_keys_for_joins(items, {"order_id": orders, "product_id": orders, "seller_id": orders})
+    assert set(found) == {"order_id", "product_id", "seller_id"}
+    split = silver.enrich_orders(orders, items, lookups).collect()
+    monkeypatch.setattr(silver, "hot_keys_for_joins", lambda df, joins: {})
+    plain = silver.enrich_orders(orders, items, lookups).collect()
+    assert len(split) == len(plain) > 5000
+    assert sorted(map(str, split)) == sorted(map(str, plain))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 SPREAD = "_spread"
 
@@ -15,6 +17,9 @@ _TRACKED = 4096
 _TOP = 1024
 _SUMMARY_GROUPS = 256
 _SPREAD_RANGE = 1 << 16
+# Slots per fair share of a partition: small slots even out where hashing puts
+# several of them into one partition.
+_SLOTS_PER_SHARE = 4
 
 
 def with_spread(df: DataFrame) -> DataFrame:
@@ -38,53 +43,52 @@ def _fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= limit
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame | None:
-    """Keys holding more than ``share`` of the rows, with the number of ways to
-    split each; None if there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[str, DataFrame]:
+    """Per key column, the values holding more than ``share`` of the rows and
+    the number of ways to split each. Columns without such a value are left out.
 
-    One pass over the key column. Tasks summarise their rows with a mergeable
+    One pass over the key columns. Tasks summarise their rows with a mergeable
     frequent-items sketch and the summaries are merged in two steps, so neither
     a task nor the driver sees more than a bounded number of keys. Only the
     balance of later joins depends on the estimate, never their result.
     """
-    spark = df.sparkSession
-    summaries = (
-        df.select(F.col(key).alias("k"), (F.spark_partition_id() % _SUMMARY_GROUPS).alias("g"))
-        .groupBy("g")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(k, {_TRACKED})").alias("summary"),
-            F.count("*").alias("n"),
-        )
+    by_task = df.select(*keys, (F.spark_partition_id() % _SUMMARY_GROUPS).alias("_g"))
+    summaries = by_task.groupBy("_g").agg(
+        F.count("*").alias("_n"),
+        *[F.expr(f"approx_top_k_accumulate({k}, {_TRACKED})").alias(k) for k in keys],
     )
-    merged = summaries.agg(
-        F.expr(f"approx_top_k_combine(summary, {_TRACKED})").alias("summary"),
-        F.sum("n").alias("n"),
-    ).select(F.expr(f"approx_top_k_estimate(summary, {_TOP})").alias("top"), "n")
-    row = merged.where(F.col("n") > 0).first()
-    if row is None:
-        return None
-    partitions = 1 / share
-    found = [
-        (item["item"], math.ceil(2 * item["count"] / row["n"] * partitions))
-        for item in row["top"]
-        if item["count"] > share * row["n"]
-    ]
-    if not found:
-        return None
-    schema = df.select(F.col(key).alias("_hot_key")).schema.add("_ways", "int")
-    ways = [(value, min(n, _SPREAD_RANGE)) for value, n in found]
-    return spark.createDataFrame(ways, schema)
-
-
-def hot_keys_for_join(df: DataFrame, key: str, right: DataFrame) -> DataFrame | None:
-    """``hot_keys`` of ``df`` if a join with ``right`` on ``key`` has to shuffle.
-
-    A key is hot when it outweighs the fair share of one shuffle partition.
+    # Grouping by a constant gives no row, rather than no summary, for an empty input.
+    merged = summaries.groupBy(F.lit("all")).agg(
+        F.sum("_n").alias("_n"),
+        *[F.expr(f"approx_top_k_combine({k}, {_TRACKED})").alias(k) for k in keys],
+    )
+    row = merged.select(
+        "_n", *[F.expr(f"approx_top_k_estimate({k}, {_TOP})").alias(k) for k in keys]
+    ).first()
+    found = {}
+    for key in keys if row is not None else ():
+        shares = [(item["item"], item["count"] / row["_n"]) for item in row[key]]
+        ways = [
+            (value, min(math.ceil(_SLOTS_PER_SHARE * part / share), _SPREAD_RANGE))
+            for value, part in shares
+            if part > share
+        ]
+        if ways:
+            schema = df.select(F.col(key).alias("_hot_key")).schema.add("_ways", IntegerType())
+            found[key] = df.sparkSession.createDataFrame(ways, schema)
+    return found
+
+
+def hot_keys_for_joins(df: DataFrame, joins: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """``hot_keys`` of ``df`` for those joins, given as {key: right side}, that
+    have to shuffle. A key is hot when it outweighs the fair share of one
+    shuffle partition.
     """
-    if _fits_broadcast(right):
-        return None
+    shuffled = [key for key, right in joins.items() if not _fits_broadcast(right)]
+    if not shuffled:
+        return {}
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return hot_keys(df, key, 1 / max(partitions, 2))
+    return hot_keys(df, shuffled, 1 / max(partitions, 2))
 
 
 def fk_join(
@@ -99,7 +103,7 @@ def fk_join(
     Without hot keys this is an ordinary join and Catalyst picks broadcast or
     sort-merge. A hot key is split: its left rows go to several partitions by
     their ``_spread`` number, and its single right row is copied to each of
-    them. All copies together number about twice the shuffle partitions. Rows
+    them. All copies together number about four times the shuffle partitions. Rows
     whose key is NULL are split the same way in a left join.
     """
     if hot is None:

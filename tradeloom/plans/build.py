@@ -57,11 +57,13 @@ def build_silver(spark: SparkSession, layers: Layers = Layers(), fmt: str = "par
         "orders_enriched": lambda: silver.enrich_orders(
             raw("orders"),
             raw("order_items"),
-            clean("order_payments_agg"),
-            clean("order_reviews_deduped"),
-            clean("dim_customers"),
-            clean("dim_products"),
-            clean("dim_sellers"),
+            {
+                "payments": clean("order_payments_agg"),
+                "reviews": clean("order_reviews_deduped"),
+                "customers": clean("dim_customers"),
+                "products": clean("dim_products"),
+                "sellers": clean("dim_sellers"),
+            },
         ),
     }
     return {

@@ -4,7 +4,7 @@ the wide order-item table."""
 from __future__ import annotations
 
 import datetime
-from collections.abc import Collection
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from tradeloom.functions.columns import (
     tidy_state,
     volume,
 )
-from tradeloom.operators.joins import SPREAD, fk_join, hot_keys_for_join, with_spread
+from tradeloom.operators.joins import SPREAD, fk_join, hot_keys_for_joins, with_spread
 from tradeloom.operators.ranking import dominant_by, latest_by
 
 # Fixed value: start of validity of a customer without any order.
@@ -69,7 +69,7 @@ def dim_products(products: DataFrame, category_translation: DataFrame) -> DataFr
     A category without translation keeps its own name.
     """
     key = "product_category_name"
-    hot = hot_keys_for_join(products, key, category_translation)
+    hot = hot_keys_for_joins(products, {key: category_translation}).get(key)
     if hot is not None:
         products = with_spread(products)
     return fk_join(products, category_translation, key, hot=hot).select(
@@ -128,21 +128,53 @@ def payments_by_order(order_payments: DataFrame) -> DataFrame:
     )
 
 
+# Which columns each lookup table gives the wide table, under which name.
+LOOKUP_COLUMNS = {
+    "payments": {
+        "total_payment_value": "total_payment_value",
+        "payment_type": "dominant_payment_type",
+        "payment_installments": "installments",
+    },
+    "reviews": {
+        "review_score": "review_score",
+        "review_comment_message": "review_comment_message",
+    },
+    "customers": {
+        "customer_unique_id": "customer_unique_id",
+        "customer_city": "customer_city",
+        "customer_state": "customer_state",
+        "customer_zip_code_prefix": "customer_zip_code_prefix",
+        "customer_valid_from": "valid_from",
+    },
+    "products": {
+        "category_english": "category_english",
+        "product_category_name": "product_category_name",
+        "product_photos_qty": "product_photos_qty",
+        "product_weight_g": "product_weight_g",
+        "volume_cm3": "volume_cm3",
+    },
+    "sellers": {"seller_city": "seller_city", "seller_state": "seller_state"},
+}
+
+
+def lookups_for(keep: Collection[str]) -> list[str]:
+    """The lookup tables that ``enrich_orders`` needs for these columns."""
+    kept = set(keep)
+    return [name for name, columns in LOOKUP_COLUMNS.items() if kept & set(columns)]
+
+
 def enrich_orders(
     orders: DataFrame,
     order_items: DataFrame,
-    payments: DataFrame,
-    reviews: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    sellers: DataFrame,
+    lookups: Mapping[str, DataFrame],
     keep: Collection[str] = ENRICHED_COLUMNS,
 ) -> DataFrame:
     """One row per order item with everything known about it.
 
-    ``orders`` and ``order_items`` are raw tables, the others silver tables with
-    one (current) row per key. Orders without items drop out, as do orders
-    without id or purchase time.
+    ``orders`` and ``order_items`` are raw tables. ``lookups`` holds the silver
+    tables under the names of ``LOOKUP_COLUMNS``, each with one (current) row
+    per key. Orders without items drop out, as do orders without id or purchase
+    time.
 
     ``keep`` limits the columns; a lookup none of whose columns is kept is left
     out, as it neither adds nor removes rows. Order lookups are joined at order
@@ -151,84 +183,79 @@ def enrich_orders(
     """
     kept = set(keep)
     keep = [c for c in ENRICHED_COLUMNS if c in kept]
+    chosen = {
+        name: [
+            F.col(source).alias(column)
+            for column, source in LOOKUP_COLUMNS[name].items()
+            if column in kept
+        ]
+        for name in lookups_for(keep)
+    }
+
+    def lookup(name: str, key: str, table: DataFrame | None = None) -> dict[str, DataFrame]:
+        if name not in chosen:
+            return {}
+        table = lookups[name] if table is None else table
+        return {key: table.select(key, *chosen[name])}
 
-    def wanted(columns: dict[str, str]) -> list:
-        return [F.col(c).alias(alias) for alias, c in columns.items() if alias in kept]
+    order_level = _order_level(
+        orders,
+        lookup(
+            "customers",
+            "customer_id",
+            lookups["customers"].where("is_current") if "customers" in chosen else None,
+        ),
+        [*lookup("payments", "order_id").values(), *lookup("reviews", "order_id").values()],
+        keep,
+    )
+    item_lookups = {**lookup("products", "product_id"), **lookup("sellers", "seller_id")}
+    hot = hot_keys_for_joins(order_items, {**item_lookups, "order_id": order_level})
+    item_level = with_spread(order_items) if hot else order_items
+    for key, table in item_lookups.items():
+        item_level = fk_join(item_level, table, key, hot=hot.get(key))
+    item_level = item_level.withColumnRenamed("price", "item_price")
+    item_columns = [c for c in keep if c in item_level.columns and c != "order_id"]
+    item_level = item_level.select("order_id", *item_columns, *([SPREAD] if hot else []))
+    return fk_join(item_level, order_level, "order_id", "inner", hot.get("order_id")).select(*keep)
 
-    order_level = orders.where(
+
+def _order_level(
+    orders: DataFrame,
+    by_customer: Mapping[str, DataFrame],
+    by_order: Sequence[DataFrame],
+    keep: Sequence[str],
+) -> DataFrame:
+    """Orders with their lookups and derived columns, cut down to ``keep``."""
+    usable = orders.where(
         F.col("order_id").isNotNull() & F.col("order_purchase_timestamp").isNotNull()
     )
+    hot = hot_keys_for_joins(orders, by_customer)
+    if hot:
+        usable = with_spread(usable)
+    # Customers first: the order_id joins that follow share one exchange.
+    for key, table in by_customer.items():
+        usable = fk_join(usable, table, key, hot=hot.get(key)).drop(SPREAD)
+    for table in by_order:
+        usable = usable.join(table, "order_id", "left")
+    purchase, delivered, promised = (
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    )
     derived = {
-        "order_purchase_date": F.to_date("order_purchase_timestamp"),
-        "delivery_days": days_between("order_delivered_customer_date", "order_purchase_timestamp"),
-        "estimated_days": days_between("order_estimated_delivery_date", "order_purchase_timestamp"),
-        "delivery_delay_days": days_between(
-            "order_delivered_customer_date", "order_estimated_delivery_date"
-        ),
-        "is_late_delivery": is_late(
-            "order_delivered_customer_date", "order_estimated_delivery_date"
-        ),
-        **calendar_parts("order_purchase_timestamp", "purchase"),
+        "order_purchase_date": F.to_date(purchase),
+        "delivery_days": days_between(delivered, purchase),
+        "estimated_days": days_between(promised, purchase),
+        "delivery_delay_days": days_between(delivered, promised),
+        "is_late_delivery": is_late(delivered, promised),
+        **calendar_parts(purchase, "purchase"),
     }
-    current = customers.where(F.col("is_current"))
-    customer_columns = wanted({
-        "customer_unique_id": "customer_unique_id",
-        "customer_city": "customer_city",
-        "customer_state": "customer_state",
-        "customer_zip_code_prefix": "customer_zip_code_prefix",
-        "customer_valid_from": "valid_from",
-    })
-    if customer_columns:
-        lookup = current.select("customer_id", *customer_columns)
-        hot = hot_keys_for_join(orders, "customer_id", lookup)
-        if hot is not None:
-            order_level = with_spread(order_level)
-        order_level = fk_join(order_level, lookup, "customer_id", hot=hot).drop(SPREAD)
-    # The next two and the final join share one exchange on order_id.
-    for table, columns in (
-        (payments, {
-            "total_payment_value": "total_payment_value",
-            "payment_type": "dominant_payment_type",
-            "payment_installments": "installments",
-        }),
-        (reviews, {
-            "review_score": "review_score",
-            "review_comment_message": "review_comment_message",
-        }),
-    ):
-        if chosen := wanted(columns):
-            order_level = order_level.join(table.select("order_id", *chosen), "order_id", "left")
-    order_level = order_level.select(
+    present = set(usable.columns) - {"order_id"}
+    return usable.select(
         "order_id",
         *[
             derived[c].alias(c) if c in derived else F.col(c)
             for c in keep
-            if c != "order_id" and (c in derived or c in order_level.columns)
+            if c in derived or c in present
         ],
     )
-
-    item_lookups = []
-    for table, key, columns in (
-        (products, "product_id", {
-            c: c for c in (
-                "category_english", "product_category_name", "product_photos_qty",
-                "product_weight_g", "volume_cm3",
-            )
-        }),
-        (sellers, "seller_id", {"seller_city": "seller_city", "seller_state": "seller_state"}),
-    ):
-        if chosen := wanted(columns):
-            lookup = table.select(key, *chosen)
-            item_lookups.append((lookup, key, hot_keys_for_join(order_items, key, lookup)))
-    hot_orders = hot_keys_for_join(order_items, "order_id", order_level)
-    item_level = order_items
-    if hot_orders is not None or any(hot is not None for _, _, hot in item_lookups):
-        item_level = with_spread(item_level)
-    for lookup, key, hot in item_lookups:
-        item_level = fk_join(item_level, lookup, key, hot=hot)
-    item_level = item_level.withColumnRenamed("price", "item_price")
-    spread = [SPREAD] if SPREAD in item_level.columns else []
-    item_level = item_level.select(
-        "order_id", *[c for c in keep if c != "order_id" and c in item_level.columns], *spread
-    )
-    return fk_join(item_level, order_level, "order_id", "inner", hot_orders).select(*keep)
