@@ -74,16 +74,19 @@ def monthly_revenue(enriched: DataFrame) -> DataFrame:
     )
 
 
-def seller_performance(enriched: DataFrame) -> DataFrame:
+def seller_performance(enriched: DataFrame, sellers: DataFrame | None = None) -> DataFrame:
     """Sales, delivery and review figures per seller.
 
     ``avg_order_value`` is the average item price, as the column has always
-    been defined, not revenue per order.
+    been defined, not revenue per order. With ``sellers`` the place names are
+    looked up once per seller after the aggregation, so ``enriched`` need not
+    carry them on every item.
     """
     on_time, delivered = F.count_if(_on_time()), F.count_if(_delivered())
-    return (
+    place = ["seller_city", "seller_state"]
+    by_seller = (
         enriched.where(F.col("seller_id").isNotNull())
-        .groupBy("seller_id", "seller_city", "seller_state")
+        .groupBy("seller_id", *(place if sellers is None else []))
         .agg(
             F.countDistinct("order_id").alias("total_orders"),
             F.count("*").alias("total_items"),
@@ -100,6 +103,12 @@ def seller_performance(enriched: DataFrame) -> DataFrame:
             F.max("order_purchase_date").alias("last_order_date"),
         )
     )
+    if sellers is None:
+        return by_seller
+    measures = [c for c in by_seller.columns if c != "seller_id"]
+    return by_seller.join(
+        sellers.select("seller_id", *place), "seller_id", "left"
+    ).select("seller_id", *place, *measures)
 
 
 def product_category(enriched: DataFrame, all_items: DataFrame | None = None) -> DataFrame:
