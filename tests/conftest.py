@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
         .config("spark.checkpoint.dir", str(home / "checkpoint"))
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from tests.compare import connect, duck_rows, spark_rows
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ANSWERS = contract.queries(), contract.oracle_sql()
 
 

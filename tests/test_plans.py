@@ -1,0 +1,91 @@
+"""Shapes of the physical plans that the scale of the data depends on."""
+
+import re
+
+import pytest
+
+from fixtures.registry import Shop, queries
+from fixtures.views import TEST_SETTINGS
+from tradeloom.plans import dashboards, gold, silver
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(text):
+    return {tuple(sorted(re.sub(r"#\d+L?", "", cols).split(","))) for cols in
+            re.findall(r"FileScan parquet \S*\[([^\]]*)\]", text)}
+
+
+@pytest.fixture(scope="module")
+def fact(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("fact") / "t")
+    gold.fact_orders(Shop(spark, SF).enriched(gold.FACT_COLUMNS)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_newest_review_is_picked_before_the_shuffle(spark):
+    text = plan(silver.reviews_latest(Shop(spark, SF).raw("order_reviews")))
+    before_shuffle = text[text.index("Exchange hashpartitioning(order_id"):]
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_payments_need_one_shuffle_with_partial_sums(spark):
+    text = plan(silver.payments_by_order(Shop(spark, SF).raw("order_payments")))
+    assert text.count("Exchange ") == 1 and "partial_max" in text and "Window" not in text
+
+
+def test_cross_tabs_read_only_their_columns_and_push_filters(fact):
+    text = plan(dashboards.cross_tab("state_by_category", fact, TEST_SETTINGS))
+    assert scans(text) == {("category_english", "customer_state")}
+    assert re.search(r"PushedFilters: \[[^\]]*In\(customer_state", text)
+    assert re.search(r"PushedFilters: \[[^\]]*In\(category_english", text)
+    text = plan(dashboards.cross_tab("monthly_by_review", fact, TEST_SETTINGS))
+    assert scans(text) == {("item_price", "review_score", "year_month")}
+    assert "GreaterThanOrEqual(year_month,1997-01)" in text
+
+
+def test_cube_is_one_scan_and_one_shuffle(fact):
+    text = plan(dashboards.count_cube(fact, TEST_SETTINGS))
+    assert text.count("FileScan") == 1 and text.count("Exchange ") == 1
+
+
+def test_shares_shuffle_only_aggregated_pairs(fact):
+    text = plan(dashboards.cross_tab("category_by_delivery", fact, TEST_SETTINGS))
+    assert "partial_count" in text[text.rindex("Exchange "):]
+
+
+def test_unused_lookups_are_not_read(spark, no_broadcast):
+    shop = Shop(spark, SF)
+    text = plan(shop.enriched({"order_id", "item_price", "year_month"}))
+    assert text.count("FileScan") == 2 and text.count("Join") == 1
+
+
+def test_wide_table_meets_its_order_lookups_in_one_exchange(spark, no_broadcast):
+    """Items, orders with customers, payments and reviews: four exchanges on
+    order_id, none of them of an already joined order row."""
+    text = re.sub(r"#\d+L?", "", plan(Shop(spark, SF).enriched()))
+    assert text.count("Exchange hashpartitioning(order_id,") == 4
+
+
+@pytest.mark.parametrize("name,nested_loops", [
+    ("product_category", 1), ("delivery_performance", 1), ("seller_performance", 0),
+    ("silver_profile", 0), ("kpi_by_category", 0), ("scd2_apply", 0), ("revenue_yoy", 0)])
+def test_no_row_by_row_python_and_no_pair_generation(spark, no_broadcast, name, nested_loops):
+    """The only nested loops attach a one-row total to finished aggregates."""
+    text = plan(queries()[name](spark, SF))
+    assert "CartesianProduct" not in text and "Python" not in text
+    assert text.count("BroadcastNestedLoopJoin") == nested_loops

@@ -142,12 +142,14 @@ def test_apply_changes(spark):
         spark, ddl,
         (1, "A", "x", d1, d2, False), (1, "B", "x", d2, None, True),
         (2, "A", "x", d1, None, True), (3, None, "x", d1, None, True), (4, "A", "x", d1, None, True),
+        (None, "A", "x", d1, None, True),
     )
     snapshot = make(spark, "id INT, city STRING, note STRING",
-                    (1, "C", "x"), (2, "A", "changed"), (3, None, "x"), (5, "N", "x"))
+                    (1, "C", "x"), (2, "A", "changed"), (3, None, "x"), (5, "N", "x"),
+                    (None, "A", "x"))
     got = sorted(map(tuple, apply_changes(old, snapshot, "id", ["city"], d3).collect()), key=str)
     assert got == sorted([
         (1, "A", "x", d1, d2, False), (1, "B", "x", d2, d3, False), (1, "C", "x", d3, None, True),
         (2, "A", "x", d1, None, True), (3, None, "x", d1, None, True), (4, "A", "x", d1, None, True),
-        (5, "N", "x", d3, None, True),
+        (5, "N", "x", d3, None, True), (None, "A", "x", d1, None, True),
     ], key=str)

@@ -35,11 +35,11 @@ def apply_changes(
     day = F.lit(as_of) if isinstance(as_of, datetime.date) else as_of
     attributes = [c for c in dimension.columns if c not in ("valid_from", "valid_to", "is_current")]
     closed = dimension.where(~F.col("is_current"))
-    old = dimension.where(F.col("is_current")).alias("old")
-    new = snapshot.select(*attributes).alias("new")
+    old = dimension.where(F.col("is_current")).withColumn("_here", F.lit(True)).alias("old")
+    new = snapshot.select(*attributes, F.lit(True).alias("_here")).alias("new")
     # One joined row becomes one or two versions, so neither side is read twice.
-    is_new = F.col(f"old.{key}").isNull()
-    is_gone = F.col(f"new.{key}").isNull()
+    is_new = F.col("old._here").isNull()
+    is_gone = F.col("new._here").isNull()
     changed = ~is_new & ~is_gone & _differs(tracked, "old", "new")
     old_version = F.struct(
         *[F.col(f"old.{c}").alias(c) for c in attributes],
@@ -56,7 +56,7 @@ def apply_changes(
     versions = F.array_compact(
         F.array(F.when(~is_new, old_version), F.when(is_new | changed, new_version))
     )
-    joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
+    joined = old.join(new, F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}")), "full")
     current = joined.select(F.explode(versions).alias("v")).select("v.*")
     return closed.select(*dimension.columns).unionByName(current.select(*dimension.columns))
 

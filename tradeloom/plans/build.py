@@ -6,9 +6,12 @@ computed twice and a failed run can resume at any layer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.operators.quality import row_counts
@@ -40,20 +43,46 @@ class Layers:
     gold: str = "gold"
 
 
-def build_silver(spark: SparkSession, layers: Layers = Layers(), fmt: str = "parquet") -> dict[str, int]:
+def _write_all(
+    spark: SparkSession,
+    steps: Mapping[str, Callable[[], DataFrame]],
+    layer: str,
+    comments: Mapping[str, str],
+    at_once: int,
+    **options,
+) -> dict[str, int]:
+    """Write independent tables, ``at_once`` jobs side by side.
+
+    Small tables then fill the cluster while a large one finishes its tail.
+    """
+    def write(name: str) -> int:
+        return materialize(
+            steps[name](), f"{layer}.{name}", comment=comments.get(name), **options
+        )
+
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: pool.submit(in_session(write), name) for name in steps}
+        return {name: job.result() for name, job in running.items()}
+
+
+def build_silver(
+    spark: SparkSession, layers: Layers = Layers(), fmt: str = "parquet", at_once: int = 4
+) -> dict[str, int]:
     def raw(name: str) -> DataFrame:
         return spark.table(f"{layers.bronze}.{name}")
 
     def clean(name: str) -> DataFrame:
         return spark.table(f"{layers.silver}.{name}")
 
-    # Built one after the other: the last step reads the tables before it.
-    steps = {
+    lookups = {
         "dim_customers": lambda: silver.dim_customers(raw("customers"), raw("orders")),
         "dim_products": lambda: silver.dim_products(raw("products"), raw("category_translation")),
         "dim_sellers": lambda: silver.dim_sellers(raw("sellers")),
         "order_reviews_deduped": lambda: silver.reviews_latest(raw("order_reviews")),
         "order_payments_agg": lambda: silver.payments_by_order(raw("order_payments")),
+    }
+    wide = {
         "orders_enriched": lambda: silver.enrich_orders(
             raw("orders"),
             raw("order_items"),
@@ -64,42 +93,37 @@ def build_silver(spark: SparkSession, layers: Layers = Layers(), fmt: str = "par
                 "products": clean("dim_products"),
                 "sellers": clean("dim_sellers"),
             },
-        ),
-    }
-    return {
-        name: materialize(
-            step(), f"{layers.silver}.{name}", fmt=fmt, stamp=True, comment=SILVER_COMMENTS[name]
         )
-        for name, step in steps.items()
     }
+    options = {"fmt": fmt, "stamp": True}
+    counts = _write_all(spark, lookups, layers.silver, SILVER_COMMENTS, at_once, **options)
+    return counts | _write_all(spark, wide, layers.silver, SILVER_COMMENTS, at_once, **options)
 
 
 def build_gold(
     spark: SparkSession,
     layers: Layers = Layers(),
     fmt: str = "parquet",
+    at_once: int = 4,
     fact_partitions: tuple[str, ...] = (),
 ) -> dict[str, int]:
     """``fact_partitions=("year_month",)`` lets month filters skip files."""
     enriched = spark.table(f"{layers.silver}.orders_enriched")
-    tables = {
-        "fact_orders": gold.fact_orders(enriched),
-        "agg_monthly_revenue": gold.monthly_revenue(enriched),
-        "agg_seller_performance": gold.seller_performance(enriched),
-        "agg_product_category": gold.product_category(enriched),
-        "agg_delivery_performance": gold.delivery_performance(enriched),
-    }
-    return {
-        name: materialize(
-            df,
-            f"{layers.gold}.{name}",
-            fmt=fmt,
-            stamp=True,
-            comment=GOLD_COMMENTS[name],
-            partition_by=fact_partitions if name == "fact_orders" else (),
-        )
-        for name, df in tables.items()
+    fact = {"fact_orders": lambda: gold.fact_orders(enriched)}
+    aggregates = {
+        "agg_monthly_revenue": lambda: gold.monthly_revenue(enriched),
+        "agg_seller_performance": lambda: gold.seller_performance(enriched),
+        "agg_product_category": lambda: gold.product_category(enriched),
+        "agg_delivery_performance": lambda: gold.delivery_performance(enriched),
     }
+    options = {"fmt": fmt, "stamp": True}
+    if not fact_partitions:
+        both = {**fact, **aggregates}
+        return _write_all(spark, both, layers.gold, GOLD_COMMENTS, at_once, **options)
+    counts = _write_all(
+        spark, fact, layers.gold, GOLD_COMMENTS, at_once, partition_by=fact_partitions, **options
+    )
+    return counts | _write_all(spark, aggregates, layers.gold, GOLD_COMMENTS, at_once, **options)
 
 
 def build_dashboards(
@@ -107,6 +131,7 @@ def build_dashboards(
     layers: Layers = Layers(),
     settings: dashboards.Settings = dashboards.Settings(),
     fmt: str = "parquet",
+    at_once: int = 4,
     from_cube: bool = True,
 ) -> dict[str, int]:
     """Write the fifteen cross-tabs.
@@ -115,21 +140,21 @@ def build_dashboards(
     twelve additive tables, and once more for each of the three KPI tables.
     """
     fact = spark.table(f"{layers.gold}.fact_orders")
-    additive = set(dashboards.from_cube_tables()) if from_cube else set()
+    cube = None
     if from_cube:
         materialize(dashboards.count_cube(fact, settings), f"{layers.gold}.{CUBE}", fmt=fmt)
-    comments = dashboards.comments()
-    counts = {}
-    for name in dashboards.CROSS_TABS:
-        if name in additive:
-            cube = spark.table(f"{layers.gold}.{CUBE}")
-            df = dashboards.cross_tab_from_cube(name, cube, settings)
-        else:
-            df = dashboards.cross_tab(name, fact, settings)
-        counts[f"cross_tab_{name}"] = materialize(
-            df, f"{layers.gold}.cross_tab_{name}", fmt=fmt, comment=comments[name]
-        )
-    return counts
+        cube = spark.table(f"{layers.gold}.{CUBE}")
+    additive = dashboards.from_cube_tables()
+
+    def table(name: str) -> DataFrame:
+        if cube is not None and name in additive:
+            return dashboards.cross_tab_from_cube(name, cube, settings)
+        return dashboards.cross_tab(name, fact, settings)
+
+    prefix = "cross_tab_"
+    comments = {prefix + name: text for name, text in dashboards.comments().items()}
+    steps = {prefix + name: partial(table, name) for name in dashboards.CROSS_TABS}
+    return _write_all(spark, steps, layers.gold, comments, at_once, fmt=fmt)
 
 
 def build_all(
@@ -137,13 +162,14 @@ def build_all(
     layers: Layers = Layers(),
     settings: dashboards.Settings = dashboards.Settings(),
     fmt: str = "parquet",
+    at_once: int = 4,
 ) -> dict[str, int]:
     return {
-        **build_silver(spark, layers, fmt),
-        **build_gold(spark, layers, fmt),
-        **build_dashboards(spark, layers, settings, fmt),
+        **build_silver(spark, layers, fmt, at_once),
+        **build_gold(spark, layers, fmt, at_once),
+        **build_dashboards(spark, layers, settings, fmt, at_once),
     }
 
 
-def layer_counts(spark: SparkSession, layer: str, counts: Mapping[str, int]) -> DataFrame:
-    return row_counts({name: spark.table(f"{layer}.{name}") for name in counts})
+def layer_counts(spark: SparkSession, layer: str, names: Iterable[str]) -> DataFrame:
+    return row_counts({name: spark.table(f"{layer}.{name}") for name in names})
