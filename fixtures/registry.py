@@ -186,8 +186,8 @@ def _csv_ingest_items(shop: Shop) -> DataFrame:
 
 
 def _bad_rows(shop: Shop) -> DataFrame:
-    """Reviews written as CSV with a timestamp in some score fields: the lines
-    that do not parse in full, with the fields that do."""
+    """Reviews written as CSV with a timestamp in every ninth score field: the
+    lines that do not parse in full, with the fields that do."""
     path = f"{scratch_dir(shop.spark)}/order_reviews"
     reviews = shop.raw("order_reviews").drop("review_comment_message")
     broken = F.col("review_id") % 9 == 0
@@ -201,7 +201,7 @@ def _bad_rows(shop: Shop) -> DataFrame:
         F.col("review_id").cast("long").alias("review_id"),
         F.col("order_id").cast("long").alias("order_id"),
         "review_score",
-        "_corrupt_record",
+        F.col("_corrupt_record").contains("2018-01-01 00:00:00").alias("raw_line_kept"),
     )
 
 

@@ -51,8 +51,8 @@ def test_payments_need_one_shuffle_with_partial_sums(spark):
 def test_cross_tabs_read_only_their_columns_and_push_filters(fact):
     text = plan(dashboards.cross_tab("state_by_category", fact, TEST_SETTINGS))
     assert scans(text) == {("category_english", "customer_state")}
-    assert re.search(r"PushedFilters: \[[^\]]*In\(customer_state", text)
-    assert re.search(r"PushedFilters: \[[^\]]*In\(category_english", text)
+    assert re.search(r"PushedFilters: .*In\(customer_state", text)
+    assert re.search(r"PushedFilters: .*In\(category_english", text)
     text = plan(dashboards.cross_tab("monthly_by_review", fact, TEST_SETTINGS))
     assert scans(text) == {("item_price", "review_score", "year_month")}
     assert "GreaterThanOrEqual(year_month,1997-01)" in text
