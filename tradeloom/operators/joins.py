@@ -16,6 +16,7 @@ SPREAD = "_spread"
 _TRACKED = 4096
 _TOP = 1024
 _SUMMARY_GROUPS = 256
+_FIRST_ROWS = 1 << 17
 _SPREAD_RANGE = 1 << 16
 # Slots per fair share of a partition: small slots even out where hashing puts
 # several of them into one partition.
@@ -49,10 +50,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[str, Data
 
     One pass over the key columns. Tasks summarise their rows with a mergeable
     frequent-items sketch and the summaries are merged in two steps, so neither
-    a task nor the driver sees more than a bounded number of keys. Only the
-    balance of later joins depends on the estimate, never their result.
+    a task nor the driver sees more than a bounded number of keys. A task looks
+    at its first rows and then at one row in eight, picked by a hash of the
+    position. Only the balance of later joins depends on the estimate, never
+    their result.
     """
-    by_task = df.select(*keys, (F.spark_partition_id() % _SUMMARY_GROUPS).alias("_g"))
+    by_task = df.select(
+        *keys,
+        (F.spark_partition_id() % _SUMMARY_GROUPS).alias("_g"),
+        (F.monotonically_increasing_id() % (1 << 33)).alias("_row"),
+    ).where((F.col("_row") < _FIRST_ROWS) | (F.xxhash64("_row") % 8 == 0))
     summaries = by_task.groupBy("_g").agg(
         F.count("*").alias("_n"),
         *[F.expr(f"approx_top_k_accumulate({k}, {_TRACKED})").alias(k) for k in keys],
