@@ -76,7 +76,7 @@ def test_copies_of_one_row_are_split_too(spark):
 def test_enriched_with_hot_order_product_seller_and_customer(spark, monkeypatch):
     """A third of the items in one order, of one product and one seller; one
     customer with a third of the orders. Same rows as with plain joins."""
-    monkeypatch.setattr(joins, "_fits_broadcast", lambda df: False)
+    monkeypatch.setattr(joins, "_estimated_size", lambda df: 1 << 40)
     third = F.col("product_id") % 3 == 0
     items = raw_table(spark, SF, "order_items")
     items = items.withColumns({
@@ -103,3 +103,18 @@ def test_enriched_with_hot_order_product_seller_and_customer(spark, monkeypatch)
     plain = silver.enrich_orders(orders, items, lookups).collect()
     assert len(split) == len(plain) > 5000
     assert sorted(map(str, split)) == sorted(map(str, plain))
+
+
+def test_search_only_where_a_join_shuffles_much(spark, monkeypatch):
+    left, right = skewed(spark), dimension(spark)
+    searched = []
+    monkeypatch.setattr(joins, "hot_keys", lambda df, keys, share: searched.append(keys) or {})
+    sizes = {id(left): 1 << 40, id(right): 1 << 30}
+    monkeypatch.setattr(joins, "_estimated_size", lambda df: sizes[id(df)])
+    hot_keys_for_joins(left, {"k": right})
+    assert searched == [["k"]]
+    sizes[id(right)] = 1 << 20
+    hot_keys_for_joins(left, {"k": right})
+    sizes.update({id(left): 1 << 20, id(right): 1 << 30})
+    hot_keys_for_joins(left, {"k": right})
+    assert searched == [["k"]]

@@ -18,6 +18,7 @@ _TOP = 1024
 _SUMMARY_GROUPS = 256
 _FIRST_ROWS = 1 << 17
 _SPREAD_RANGE = 1 << 16
+_ONE_TASK_BYTES = 64 << 20
 # Slots per fair share of a partition: small slots even out where hashing puts
 # several of them into one partition.
 _SLOTS_PER_SHARE = 4
@@ -34,14 +35,19 @@ def with_spread(df: DataFrame) -> DataFrame:
     )
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate puts ``df`` below the broadcast limit."""
+def _estimated_size(df: DataFrame) -> float:
+    """Catalyst's size estimate in bytes; infinite where there is none."""
     try:
-        limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. Spark Connect: no estimate at hand
-        return False
-    return 0 <= size <= limit
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. Spark Connect
+        return math.inf
+
+
+def _broadcast_limit(df: DataFrame) -> float:
+    try:
+        return df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+    except Exception:
+        return -1
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[str, DataFrame]:
@@ -89,9 +95,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[str, Data
 def hot_keys_for_joins(df: DataFrame, joins: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """``hot_keys`` of ``df`` for those joins, given as {key: right side}, that
     have to shuffle. A key is hot when it outweighs the fair share of one
-    shuffle partition.
+    shuffle partition. A small ``df`` is not searched: all of it would make one
+    ordinary task.
     """
-    shuffled = [key for key, right in joins.items() if not _fits_broadcast(right)]
+    limit = _broadcast_limit(df)
+    if not joins or _estimated_size(df) <= _ONE_TASK_BYTES:
+        return {}
+    shuffled = [key for key, right in joins.items() if _estimated_size(right) > limit]
     if not shuffled:
         return {}
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
