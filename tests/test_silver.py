@@ -1,5 +1,7 @@
 import datetime
 
+import pytest
+
 from tests import frames as fr
 from tests.frames import item, make, order, ts
 from tradeloom.operators.history import apply_changes
@@ -153,3 +155,18 @@ def test_apply_changes(spark):
         (2, "A", "x", d1, None, True), (3, None, "x", d1, None, True), (4, "A", "x", d1, None, True),
         (5, "N", "x", d3, None, True), (None, "A", "x", d1, None, True),
     ], key=str)
+
+
+def test_slices_add_items_up_per_order_and_category(spark):
+    tables = shop(spark)
+    keep = ["order_id", "category_english", "item_price", "freight_value", "review_score"]
+    rows = silver.enrich_orders(*tables, keep, sliced=True).collect()
+    got = {(r.order_id, r.category_english): (r.item_price, r.freight_value, r.review_score, r["items"])
+           for r in rows}
+    assert got == {("o1", "A"): (10.0, 1.0, 4, 1), ("o1", None): (2.5, 1.0, 4, 1),
+                   ("o2", "A"): (10.0, 1.0, None, 1), ("late", None): (10.0, 1.0, None, 1)}
+    whole = silver.enrich_orders(*tables, ["order_id", "item_price"], sliced=True)
+    assert {r.order_id: (r.item_price, r["items"]) for r in whole.collect()} == {
+        "o1": (12.5, 2), "o2": (10.0, 1), "late": (10.0, 1)}
+    with pytest.raises(ValueError):
+        silver.enrich_orders(*tables, ["seller_id"], sliced=True)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_EXACT_LIMIT = 1e12
+# A frame with this column holds several order items per row: their number
+# here, their summed price and freight in the money columns.
+ITEMS = "items"
+
+_EXACT_LIMIT = 1e15
 _FRACTION_UNITS = 1_000_000
 
 
@@ -16,7 +20,7 @@ def exact_sum(name: str) -> Column:
     another partitioning can turn x.50 into x.49999 and flip a rounding. Here
     whole units and millionths are added as longs, which is exact and costs
     about what a double sum costs, and joined as a decimal once per group.
-    Values beyond 1e12, NaN and infinities are added as doubles as usual.
+    Values beyond 1e15, NaN and infinities are added as doubles as usual.
     """
     value = F.col(name)
     fits = F.abs(value) < _EXACT_LIMIT
@@ -35,9 +39,21 @@ def exact_avg(name: str) -> Column:
     return F.try_divide(exact_sum(name), F.count(name))
 
 
-def rounded_avg(name: str, digits: int) -> Column:
-    """Average of an integer column, NULLs skipped."""
-    return F.round(F.avg(name), digits)
+def item_count(df: DataFrame, where: Column | None = None) -> Column:
+    """Number of order items in a group, or of those meeting a condition."""
+    if ITEMS not in df.columns:
+        return F.count("*") if where is None else F.count_if(where)
+    counted = F.col(ITEMS) if where is None else F.when(where, F.col(ITEMS))
+    return F.coalesce(F.sum(counted), F.lit(0))
+
+
+def item_avg(df: DataFrame, name: str, digits: int) -> Column:
+    """Rounded average of an integer column over order items, NULLs skipped."""
+    if ITEMS not in df.columns:
+        return F.round(F.avg(name), digits)
+    total = F.sum(F.col(name) * F.col(ITEMS))
+    known = F.sum(F.when(F.col(name).isNotNull(), F.col(ITEMS)))
+    return F.round(F.try_divide(total.cast("double"), known.cast("double")), digits)
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

@@ -1,4 +1,4 @@
-"""Three families of cross-tabs over an item-level fact table."""
+"""Three families of cross-tabs over order items, one or several per row."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.functions.measures import exact_sum, percent
+from tradeloom.functions.measures import exact_sum, item_count, percent
 
 
 def kpi_by(
@@ -57,7 +57,7 @@ def share_of_parent(pairs: DataFrame, parent: str, child: str, count: str) -> Da
 def share_within(
     fact: DataFrame, parent: Column, child: Column, where: Column | None = None
 ) -> DataFrame:
-    """Row count of each (parent, child) pair and its share within the parent."""
+    """Item count of each (parent, child) pair and its share within the parent."""
     rows = fact if where is None else fact.where(where)
-    pairs = rows.groupBy(parent, child).agg(F.count("*").alias("_n"))
+    pairs = rows.groupBy(parent, child).agg(item_count(rows).alias("_n"))
     return share_of_parent(pairs, pairs.columns[0], pairs.columns[1], "_n")

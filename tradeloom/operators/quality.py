@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.measures import exact_avg, exact_sum, percent, rounded_avg
+from tradeloom.functions.measures import exact_avg, exact_sum, item_avg, item_count, percent
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -61,8 +61,8 @@ def delivered_profile(enriched: DataFrame) -> DataFrame:
         F.countDistinct("category_english").alias("distinct_categories"),
         F.round(exact_sum("total_payment_value"), 0).alias("total_gmv_brl"),
         F.round(exact_avg("item_price"), 2).alias("avg_item_price"),
-        rounded_avg("review_score", 2).alias("avg_review_score"),
-        rounded_avg("delivery_days", 1).alias("avg_delivery_days"),
+        item_avg(enriched, "review_score", 2).alias("avg_review_score"),
+        item_avg(enriched, "delivery_days", 1).alias("avg_delivery_days"),
         F.count_if("is_late_delivery").alias("late_deliveries"),
         F.min("order_purchase_date").alias("earliest_order"),
         F.max("order_purchase_date").alias("latest_order"),
@@ -75,14 +75,14 @@ def fact_kpis(fact: DataFrame) -> DataFrame:
     The late share divides late items of any status by delivered items.
     """
     revenue, orders = exact_sum("item_price"), F.countDistinct("order_id")
-    late = F.count_if("is_late_delivery")
-    delivered = F.count_if(F.col("order_status") == "delivered")
+    late = item_count(fact, F.col("is_late_delivery"))
+    delivered = item_count(fact, F.col("order_status") == "delivered")
     return fact.agg(
         orders.alias("total_orders"),
         F.countDistinct("customer_unique_id").alias("unique_customers"),
         F.round(revenue, 0).alias("total_gmv_brl"),
         F.round(F.try_divide(revenue, orders), 2).alias("aov"),
-        rounded_avg("review_score", 2).alias("avg_review_score"),
-        rounded_avg("delivery_days", 1).alias("avg_delivery_days"),
+        item_avg(fact, "review_score", 2).alias("avg_review_score"),
+        item_avg(fact, "delivery_days", 1).alias("avg_delivery_days"),
         percent(late, delivered, 1).alias("late_delivery_pct"),
     )

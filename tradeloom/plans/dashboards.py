@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.buckets import Bands, ValueGroups
-from tradeloom.functions.measures import exact_sum, rounded_avg
+from tradeloom.functions.measures import ITEMS, exact_sum, item_avg, item_count
 from tradeloom.operators.crosstab import kpi_by, monthly_by, share_of_parent, share_within
 
 # Speed bands of the dashboard. Unlike the delivery report the
@@ -175,7 +175,7 @@ def cross_tab(name: str, fact: DataFrame, settings: Settings = Settings()) -> Da
         where = where if DIMENSIONS[axis].always else None
         result = monthly_by(fact, _axis(axis, settings), settings.months, where)
         return _with_band_order(result, settings, "bucket_sort") if axis == "delivery" else result
-    averages = [rounded_avg(*_AVERAGES[a]).alias(a) for a in KPI_TABLES[axis]]
+    averages = [item_avg(fact, *_AVERAGES[a]).alias(a) for a in KPI_TABLES[axis]]
     result = kpi_by(fact, _axis(axis, settings), averages, where)
     return _with_band_order(result, settings, "sort_order") if axis == "delivery" else result
 
@@ -205,7 +205,7 @@ def count_cube(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
         settings.categories.contains(F.col("category_english")).alias("_named"),
         F.when(shown_state, F.col("customer_state")).alias("customer_state"),
         "year_month",
-    ).agg(F.count("*").alias("items"), exact_sum("item_price").alias("item_price"))
+    ).agg(item_count(fact).alias(ITEMS), exact_sum("item_price").alias("item_price"))
 
 
 def cross_tab_from_cube(name: str, cube: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -222,7 +222,7 @@ def cross_tab_from_cube(name: str, cube: DataFrame, settings: Settings = Setting
         if DIMENSIONS[child].always:
             where = where & present[child]
         parent_name, child_name = DIMENSIONS[parent].name, DIMENSIONS[child].name
-        pairs = cube.where(where).groupBy(parent_name, child_name).agg(F.sum("items").alias("_n"))
+        pairs = cube.where(where).groupBy(parent_name, child_name).agg(F.sum(ITEMS).alias("_n"))
         result = share_of_parent(pairs, parent_name, child_name, "_n")
         return _with_band_order(result, settings, "bucket_sort") if child == "delivery" else result
     axis = name.split("_by_")[1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.measures import exact_sum, percent
+from tradeloom.functions.measures import exact_sum, item_count, percent
 from tradeloom.operators.history import year_over_year
 from tradeloom.plans.gold import _delivered, _on_time
 
@@ -19,9 +19,9 @@ def revenue_yoy(monthly: DataFrame) -> DataFrame:
 
 def monthly_on_time(enriched: DataFrame) -> DataFrame:
     """Late and on-time items and freight per order by purchase month."""
-    on_time = F.count_if(_on_time())
-    delivered = F.count_if(_delivered())
-    late = F.count_if(_delivered() & F.col("is_late_delivery"))
+    on_time = item_count(enriched, _on_time())
+    delivered = item_count(enriched, _delivered())
+    late = item_count(enriched, _delivered() & F.col("is_late_delivery"))
     freight = exact_sum("freight_value") / F.countDistinct("order_id")
     return enriched.groupBy(
         F.col("purchase_year").alias("year"), F.col("purchase_month").alias("month"), "year_month"

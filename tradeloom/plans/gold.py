@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.buckets import Bands
-from tradeloom.functions.measures import exact_avg, exact_sum, percent, rounded_avg
+from tradeloom.functions.measures import exact_avg, exact_sum, item_avg, item_count, percent
 from tradeloom.operators.joins import with_scalar
 
 # Columns and column order of the fact table.
@@ -62,14 +62,14 @@ def monthly_revenue(enriched: DataFrame) -> DataFrame:
         )
         .agg(
             orders.alias("total_orders"),
-            F.count("*").alias("total_items"),
+            item_count(enriched).alias("total_items"),
             F.round(revenue, 2).alias("total_revenue"),
             F.round(exact_sum("freight_value"), 2).alias("total_freight"),
             F.round(revenue / orders, 2).alias("avg_order_value"),
             F.countDistinct("customer_unique_id").alias("unique_customers"),
-            rounded_avg("review_score", 3).alias("avg_review_score"),
-            F.count_if(_on_time()).alias("on_time_deliveries"),
-            F.count_if(_delivered()).alias("delivered_orders"),
+            item_avg(enriched, "review_score", 3).alias("avg_review_score"),
+            item_count(enriched, _on_time()).alias("on_time_deliveries"),
+            item_count(enriched, _delivered()).alias("delivered_orders"),
         )
     )
 
@@ -94,8 +94,8 @@ def seller_performance(enriched: DataFrame, sellers: DataFrame | None = None) ->
             F.round(exact_avg("item_price"), 2).alias("avg_order_value"),
             F.countDistinct("category_english").alias("distinct_categories"),
             F.countDistinct("customer_unique_id").alias("unique_customers"),
-            rounded_avg("delivery_days", 2).alias("avg_delivery_days"),
-            rounded_avg("review_score", 3).alias("avg_review_score"),
+            item_avg(enriched, "delivery_days", 2).alias("avg_delivery_days"),
+            item_avg(enriched, "review_score", 3).alias("avg_review_score"),
             on_time.alias("on_time_deliveries"),
             delivered.alias("delivered_orders"),
             percent(on_time, delivered, 1).alias("on_time_pct"),
@@ -131,9 +131,9 @@ def product_category(enriched: DataFrame, all_items: DataFrame | None = None) ->
             revenue.alias("_revenue"),
             F.round(revenue / orders, 2).alias("avg_order_value"),
             F.countDistinct("seller_id").alias("distinct_sellers"),
-            rounded_avg("review_score", 3).alias("avg_review_score"),
-            rounded_avg("delivery_days", 1).alias("avg_delivery_days"),
-            rounded_avg("product_weight_g", 0).alias("avg_weight_g"),
+            item_avg(enriched, "review_score", 3).alias("avg_review_score"),
+            item_avg(enriched, "delivery_days", 1).alias("avg_delivery_days"),
+            item_avg(enriched, "product_weight_g", 0).alias("avg_weight_g"),
         )
     )
     share = F.try_divide(F.col("_revenue") * 100.0, F.col("_grand_total"))
@@ -173,7 +173,7 @@ def delivery_performance(
         )
         .agg(
             F.countDistinct("order_id").alias("order_count"),
-            rounded_avg("review_score", 2).alias("avg_review_score"),
+            item_avg(enriched, "review_score", 2).alias("avg_review_score"),
         )
     )
     return with_scalar(by_band, total).select(
