@@ -46,19 +46,19 @@ class Shop:
         return silver.payments_by_order(self.raw("order_payments"))
 
     def enriched(
-        self, keep: Collection[str] = silver.ENRICHED_COLUMNS, sliced: bool = False
+        self, keep: Collection[str] = silver.ENRICHED_COLUMNS, per_order: bool = False
     ) -> DataFrame:
         lookups = {name: getattr(self, name)() for name in silver.lookups_for(keep)}
         return silver.enrich_orders(
-            self.raw("orders"), self.raw("order_items"), lookups, keep, sliced
+            self.raw("orders"), self.raw("order_items"), lookups, keep, per_order
         )
 
-    def slices(self, keep: Collection[str]) -> DataFrame:
-        return self.enriched(keep, sliced=True)
+    def by_order(self, keep: Collection[str]) -> DataFrame:
+        return self.enriched(keep, per_order=True)
 
 
 # Columns each aggregate reads, so that unused lookups are not joined. Aggregates
-# that need no column of a single item work on slices of orders.
+# that need no column of a single item work on items added up per order.
 _MONTHLY = {
     "order_id", "purchase_year", "purchase_month", "year_month", "item_price",
     "freight_value", "customer_unique_id", "review_score", "is_late_delivery", "order_status",
@@ -89,20 +89,20 @@ def _on_shop(build: Callable[[Shop], DataFrame]) -> Query:
 
 
 def _product_category(shop: Shop) -> DataFrame:
-    return gold.product_category(shop.enriched(_CATEGORY), shop.slices({"item_price"}))
+    return gold.product_category(shop.enriched(_CATEGORY), shop.by_order({"item_price"}))
 
 
 def _delivery_performance(shop: Shop) -> DataFrame:
     return gold.delivery_performance(
-        shop.slices(_DELIVERY), shop.slices(_DELIVERY - {"review_score"})
+        shop.by_order(_DELIVERY), shop.by_order(_DELIVERY - {"review_score"})
     )
 
 
 def _cross_tab(name: str) -> Query:
+    keep = dashboards.columns_for(name)
+    per_order = "category_english" not in keep
     return _on_shop(
-        lambda shop: dashboards.cross_tab(
-            name, shop.slices(dashboards.columns_for(name)), TEST_SETTINGS
-        )
+        lambda shop: dashboards.cross_tab(name, shop.enriched(keep, per_order), TEST_SETTINGS)
     )
 
 
@@ -135,7 +135,7 @@ def _reconcile_counts(shop: Shop) -> DataFrame:
 
 def _top_categories(shop: Shop) -> DataFrame:
     return (
-        shop.slices({"category_english", "item_price"})
+        shop.enriched({"category_english", "item_price"})
         .where(F.col("category_english").isNotNull())
         .groupBy("category_english")
         .agg(F.round(exact_sum("item_price"), 2).alias("total_revenue"))
@@ -226,10 +226,10 @@ def _report_export(shop: Shop) -> DataFrame:
     }
     axes = {"delivery_days", "review_score", "category_english", "customer_state"}
     path = f"{scratch_dir(shop.spark)}/cube"
-    fact = shop.slices(axes | {"year_month", "item_price"})
+    fact = shop.enriched(axes | {"year_month", "item_price"})
     dashboards.count_cube(fact, TEST_SETTINGS).write.parquet(path)
     cube = shop.spark.read.parquet(path)
-    kpi_fact = shop.slices(dashboards.columns_for("kpi_by_delivery"))
+    kpi_fact = shop.by_order(dashboards.columns_for("kpi_by_delivery"))
     sections = {"kpi": dashboards.cross_tab("kpi_by_delivery", kpi_fact, TEST_SETTINGS)}
     for section, name in names.items():
         sections[section] = dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS)
@@ -238,7 +238,7 @@ def _report_export(shop: Shop) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {
-        "monthly_revenue": _on_shop(lambda s: gold.monthly_revenue(s.slices(_MONTHLY))),
+        "monthly_revenue": _on_shop(lambda s: gold.monthly_revenue(s.by_order(_MONTHLY))),
         "dim_customers": _on_shop(Shop.customers),
         "dim_products": _on_shop(Shop.products),
         "dim_sellers": _on_shop(Shop.sellers),
@@ -251,17 +251,17 @@ def queries() -> dict[str, Query]:
         "delivery_performance": _on_shop(_delivery_performance),
         **{name: _cross_tab(name) for name in dashboards.CROSS_TABS},
         "silver_profile": _on_shop(lambda s: quality.delivered_profile(s.enriched(_PROFILE))),
-        "gold_kpis": _on_shop(lambda s: quality.fact_kpis(s.slices(_KPIS))),
+        "gold_kpis": _on_shop(lambda s: quality.fact_kpis(s.by_order(_KPIS))),
         "layer_counts": _on_shop(_layer_counts),
         "reconcile_counts": _on_shop(_reconcile_counts),
         "csv_ingest_items": _on_shop(_csv_ingest_items),
         "top_categories": _on_shop(_top_categories),
         "order_level_kpis": _on_shop(lambda s: extras.order_level_kpis(
-            s.slices({"order_id", "order_status", "is_late_delivery", "total_payment_value"}))),
+            s.by_order({"order_id", "order_status", "is_late_delivery", "total_payment_value"}))),
         "scd2_apply": _on_shop(_scd2),
         "revenue_yoy": _on_shop(
-            lambda s: extras.revenue_yoy(gold.monthly_revenue(s.slices(_MONTHLY)))),
-        "monthly_on_time": _on_shop(lambda s: extras.monthly_on_time(s.slices(_MONTHLY))),
+            lambda s: extras.revenue_yoy(gold.monthly_revenue(s.by_order(_MONTHLY)))),
+        "monthly_on_time": _on_shop(lambda s: extras.monthly_on_time(s.by_order(_MONTHLY))),
         "seller_products": _on_shop(
             lambda s: extras.seller_products(s.enriched({"seller_id", "product_id"}))),
         "category_photos": _on_shop(

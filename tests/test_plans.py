@@ -74,10 +74,11 @@ def test_unused_lookups_are_not_read(spark, no_broadcast):
     assert text.count("FileScan") == 2 and text.count("Join") == 1
 
 
-def test_slices_are_added_up_before_they_are_shuffled(spark, no_broadcast):
+def test_items_are_added_up_before_they_are_shuffled(spark, no_broadcast):
     text = re.sub(r"#\d+L?", "", plan(queries()["monthly_by_delivery"](spark, SF)))
     item_scan = text.index("lineitem" if "lineitem" in text else "l_extendedprice")
     assert "partial_sum" in text[text.rindex("Exchange", 0, item_scan):item_scan]
+    assert text.count("Exchange hashpartitioning(order_id,") == 2
 
 
 def test_wide_table_meets_its_order_lookups_in_one_exchange(spark, no_broadcast):

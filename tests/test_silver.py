@@ -157,16 +157,12 @@ def test_apply_changes(spark):
     ], key=str)
 
 
-def test_slices_add_items_up_per_order_and_category(spark):
+def test_items_added_up_per_order(spark):
     tables = shop(spark)
-    keep = ["order_id", "category_english", "item_price", "freight_value", "review_score"]
-    rows = silver.enrich_orders(*tables, keep, sliced=True).collect()
-    got = {(r.order_id, r.category_english): (r.item_price, r.freight_value, r.review_score, r["items"])
-           for r in rows}
-    assert got == {("o1", "A"): (10.0, 1.0, 4, 1), ("o1", None): (2.5, 1.0, 4, 1),
-                   ("o2", "A"): (10.0, 1.0, None, 1), ("late", None): (10.0, 1.0, None, 1)}
-    whole = silver.enrich_orders(*tables, ["order_id", "item_price"], sliced=True)
-    assert {r.order_id: (r.item_price, r["items"]) for r in whole.collect()} == {
-        "o1": (12.5, 2), "o2": (10.0, 1), "late": (10.0, 1)}
-    with pytest.raises(ValueError):
-        silver.enrich_orders(*tables, ["seller_id"], sliced=True)
+    keep = ["order_id", "item_price", "freight_value", "review_score", "delivery_days"]
+    rows = silver.enrich_orders(*tables, keep, per_order=True).collect()
+    assert {tuple(r) for r in rows} == {
+        ("o1", 12.5, 2.0, 4, 4, 2), ("o2", 10.0, 1.0, None, None, 1), ("late", 10.0, 1.0, None, 4, 1)}
+    for column in ("seller_id", "category_english"):
+        with pytest.raises(ValueError):
+            silver.enrich_orders(*tables, [column], per_order=True)

@@ -158,10 +158,8 @@ LOOKUP_COLUMNS = {
 }
 
 
-_MONEY_COLUMNS = {"item_price", "freight_value"}
 _SINGLE_ITEM_COLUMNS = {
-    "order_item_id", "product_id", "seller_id", "product_photos_qty", "product_weight_g",
-    "volume_cm3", "seller_city", "seller_state",
+    "order_item_id", "product_id", "seller_id", *LOOKUP_COLUMNS["products"], *LOOKUP_COLUMNS["sellers"],
 }
 
 
@@ -176,7 +174,7 @@ def enrich_orders(
     order_items: DataFrame,
     lookups: Mapping[str, DataFrame],
     keep: Collection[str] = ENRICHED_COLUMNS,
-    sliced: bool = False,
+    per_order: bool = False,
 ) -> DataFrame:
     """One row per order item with everything known about it.
 
@@ -190,13 +188,13 @@ def enrich_orders(
     level and item lookups at item level, so each row is widened before the one
     join that brings the two together on ``order_id``.
 
-    ``sliced`` gives one row per order and category instead, with the number of
-    its ``items`` and their summed price and freight. Counts, sums and averages
-    over items follow from it, and items are added up before they are shuffled,
-    so it serves aggregates best; columns of single items cannot be kept.
+    ``per_order`` gives one row per order instead, with the number of its
+    ``items`` and their summed price and freight. Counts, sums and averages over
+    items follow from it, and items are added up before they are shuffled, so it
+    serves aggregates best; columns of single items cannot be kept.
     """
     single = set(keep) & _SINGLE_ITEM_COLUMNS
-    if sliced and single:
+    if per_order and single:
         raise ValueError(f"not known for several items together: {sorted(single)}")
     kept = set(keep)
     keep = [c for c in ENRICHED_COLUMNS if c in kept]
@@ -226,21 +224,17 @@ def enrich_orders(
         keep,
     )
     item_lookups = {**lookup("products", "product_id"), **lookup("sellers", "seller_id")}
-    # Slices have a few rows per order, whatever the number of its items.
-    searched = item_lookups if sliced else {**item_lookups, "order_id": order_level}
-    hot = hot_keys_for_joins(order_items, searched)
+    if per_order:
+        money = {"item_price": "price", "freight_value": "freight_value"}
+        sums = [exact_sum(money[c]).alias(c) for c in keep if c in money]
+        added_up = order_items.groupBy("order_id").agg(F.count("*").alias(ITEMS), *sums)
+        return added_up.join(order_level, "order_id").select(*keep, ITEMS)
+    hot = hot_keys_for_joins(order_items, {**item_lookups, "order_id": order_level})
     item_level = with_spread(order_items) if hot else order_items
     for key, table in item_lookups.items():
         item_level = fk_join(item_level, table, key, hot=hot.get(key))
     item_level = item_level.withColumnRenamed("price", "item_price")
     item_columns = [c for c in keep if c in item_level.columns and c != "order_id"]
-    if sliced:
-        money = [c for c in item_columns if c in _MONEY_COLUMNS]
-        labels = [c for c in item_columns if c not in _MONEY_COLUMNS]
-        slices = item_level.groupBy("order_id", *labels).agg(
-            F.count("*").alias(ITEMS), *[exact_sum(c).alias(c) for c in money]
-        )
-        return fk_join(slices, order_level, "order_id", "inner").select(*keep, ITEMS)
     item_level = item_level.select("order_id", *item_columns, *([SPREAD] if hot else []))
     return fk_join(item_level, order_level, "order_id", "inner", hot.get("order_id")).select(*keep)
 
