@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import simhash
+from tradeloom.llm import simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_simhash": lambda spark, sf: simhash.near_duplicates(_documents(spark, sf)),
+        "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
     }
 
 
