@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import simhash, substrings
+from tradeloom.llm import packing, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_simhash": lambda spark, sf: simhash.near_duplicates(_documents(spark, sf)),
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
+        "op6_packing": lambda spark, sf: packing.pack(_documents(spark, sf)),
     }
 
 
