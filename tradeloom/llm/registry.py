@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import packing, simhash, substrings
+from tradeloom.llm import decontamination, packing, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +15,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": lambda spark, sf: decontamination.contained_items(
+            _documents(spark, sf), _benchmark(spark, sf)),
         "op3_simhash": lambda spark, sf: simhash.near_duplicates(_documents(spark, sf)),
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
         "op6_packing": lambda spark, sf: packing.pack(_documents(spark, sf)),
@@ -24,4 +30,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontamination": decontamination.contained_sql()}
