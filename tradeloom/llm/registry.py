@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import decontamination, packing, simhash, substrings
+from tradeloom.llm import decontamination, packing, quality, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,8 @@ def queries() -> dict[str, Query]:
         "op3_simhash": lambda spark, sf: simhash.near_duplicates(_documents(spark, sf)),
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
         "op6_packing": lambda spark, sf: packing.pack(_documents(spark, sf)),
+        "op10_quality": lambda spark, sf: quality.scores(
+            _documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")),
     }
 
 
