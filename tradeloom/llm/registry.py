@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import decontamination, packing, quality, simhash, substrings
+from tradeloom.llm import decontamination, packing, quality, sharding, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": lambda spark, sf: decontamination.contained_items(
             _documents(spark, sf), _benchmark(spark, sf)),
         "op3_simhash": lambda spark, sf: simhash.near_duplicates(_documents(spark, sf)),
+        "op4_sharding": lambda spark, sf: sharding.shards(_documents(spark, sf)),
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
         "op6_packing": lambda spark, sf: packing.pack(_documents(spark, sf)),
         "op10_quality": lambda spark, sf: quality.scores(
