@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import (
-    decontamination, language, packing, quality, sharding, simhash, substrings,
+    decontamination, language, licenses, packing, quality, sharding, simhash, substrings,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
         "op6_packing": lambda spark, sf: packing.pack(_documents(spark, sf)),
         "op8_language": lambda spark, sf: language.languages(_documents(spark, sf)),
+        "op9_licenses": lambda spark, sf: licenses.labels(_documents(spark, sf)),
         "op10_quality": lambda spark, sf: quality.scores(
             _documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")),
     }
