@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import (
-    decontamination, language, licenses, packing, quality, sharding, simhash, substrings,
+    chat, decontamination, language, licenses, packing, quality, sharding, simhash, substrings,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,8 @@ def queries() -> dict[str, Query]:
         "op4_sharding": lambda spark, sf: sharding.shards(_documents(spark, sf)),
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
         "op6_packing": lambda spark, sf: packing.pack(_documents(spark, sf)),
+        "op7_chat": lambda spark, sf: chat.digests(
+            chat.with_control(spark.read.parquet(f"{sf}/conversations.parquet"))),
         "op8_language": lambda spark, sf: language.languages(_documents(spark, sf)),
         "op9_licenses": lambda spark, sf: licenses.labels(_documents(spark, sf)),
         "op10_quality": lambda spark, sf: quality.scores(
@@ -37,4 +39,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.contained_sql()}
+    return {
+        "op1_decontamination": decontamination.contained_sql(),
+        "op7_chat": chat.digests_sql(),
+    }
