@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import (
-    chat, decontamination, language, licenses, packing, quality, sharding, simhash, substrings,
+    chat, decontamination, language, licenses, packing, quality, sharding, simhash, spotsigs, substrings,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": lambda spark, sf: decontamination.contained_items(
             _documents(spark, sf), _benchmark(spark, sf)),
+        "op2_spotsigs": lambda spark, sf: spotsigs.fingerprints(_documents(spark, sf)),
         "op3_simhash": lambda spark, sf: simhash.near_duplicates(_documents(spark, sf)),
         "op4_sharding": lambda spark, sf: sharding.shards(_documents(spark, sf)),
         "op5_substrings": lambda spark, sf: substrings.digests(_documents(spark, sf)),
