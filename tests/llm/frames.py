@@ -1,0 +1,49 @@
+"""Small document frames with the awkward cases every operator must take."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import DataFrame, SparkSession
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORDS = ("the of and to in river stone house letter morning garden window people story road "
+         "number question answer winter summer bridge market village engine paper music").split()
+
+
+def prose(seed: int, n: int) -> str:
+    pick = random.Random(seed)
+    return " ".join(pick.choice(WORDS) + ("" if pick.random() < 0.7 else str(pick.randrange(300)))
+                    for _ in range(n))
+
+
+def awkward_rows() -> list[tuple]:
+    """NULLs, empty and long texts, copies, repeated rows, ids that clash."""
+    long_text = prose(1, 6000)
+    rows = [(i, prose(i, 40 + 7 * i), "en", f"src{i % 3}", None) for i in range(2, 40)]
+    rows += [
+        (100, long_text, "en", "src0", 5), (101, long_text, None, None, None),
+        (102, "", "en", "src1", 0), (103, None, "en", "src1", None), (104, "  \n\t ", None, "src1", 4),
+        (105, "word", "de", "src1", 4), (106, "two words", "de", None, 9), (107, "!!! ???", "fr", "x", 7),
+        (108, "Ünïcödé wörds ñandú été 日本語 テスト", "es", "x", 9), (109, "x" * 5000, "en", "x", 5000),
+        (110, rows[3][1], "en", "src0", 1), (110, rows[3][1], "en", "src0", 1),
+        (111, rows[4][1] + " tail words here", "en", "src0", 1), (112, rows[4][1].upper(), "en", "src0", 1),
+        (None, rows[5][1], "en", "src0", 1), (None, None, None, None, None), (-5, "negative id text", "en", "y", 3),
+    ]
+    return rows
+
+
+def awkward(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(awkward_rows(), SCHEMA)
+
+
+def with_clashes(docs: DataFrame, *names: str) -> DataFrame:
+    """Extra columns that have the names of results and helpers."""
+    for name in ("g", "key", "label", "part", "rank", "_n", "shard", "found", "carried", *names):
+        docs = docs.selectExpr("*", f"'clash' as {name}")
+    return docs
+
+
+def rows_of(df: DataFrame, *columns: str) -> list[tuple]:
+    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
+    return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))

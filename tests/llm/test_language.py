@@ -1,0 +1,66 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.frames import SCHEMA, awkward, awkward_rows, prose, with_clashes
+from tradeloom.llm import language
+
+OTHER = "el perro grande corre por la calle mientras que la niña mira hacia el cielo azul".split()
+
+
+def other(seed, n):
+    import random
+
+    pick = random.Random(seed)
+    return " ".join(pick.choice(OTHER) for _ in range(n))
+
+
+def corpus():
+    rows = [(i, prose(i, 5 + i % 40), "en", "s", 1) for i in range(150)]
+    return rows + [(1000 + i, other(i, 5 + i % 40), "es", "s", 1) for i in range(150)]
+
+
+def test_learns_and_predicts(spark):
+    docs = with_clashes(spark.createDataFrame(corpus() + awkward_rows(), SCHEMA), "h", "r", "score", "features")
+    rows = language.languages(docs).collect()
+    assert len(rows) == len(corpus()) + len(awkward_rows())
+    truth = {r[0]: r[2] for r in corpus() if r[0] not in {a[0] for a in awkward_rows()}}
+    held = [r for r in rows if r.doc_id in truth and r.held_out]
+    assert len(held) > 50 and sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+    for r in rows:
+        assert 0 <= r.score <= 1
+        assert r.held_out == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+    und = {r.doc_id for r in rows if r.lang_pred == "und"}
+    assert und >= {102, 103, 104, 107} and 105 not in und
+
+
+def test_held_out_labels_and_other_columns_change_nothing(spark):
+    rows = corpus()
+    changed = [(d, t, "es" if zlib.crc32(str(d).encode()) % 3 == 1 else g, "zz", 9) for d, t, g, _, _ in rows]
+    one, two = (sorted((r.doc_id, r.lang_pred, r.score) for r in language.languages(
+        spark.createDataFrame(x, SCHEMA)).collect()) for x in (rows, changed))
+    assert [r[:2] for r in one] == [r[:2] for r in two]
+    assert np.allclose([r[2] for r in one], [r[2] for r in two])
+
+
+def test_empty_and_unlabelled(spark):
+    assert language.languages(spark.createDataFrame([], SCHEMA)).collect() == []
+    rows = [(i, "some text", None, "s", 1) for i in range(5)]
+    assert {r.lang_pred for r in language.languages(spark.createDataFrame(rows, SCHEMA)).collect()} == {"und"}
+
+
+def test_weights_are_sparse_and_probabilities_calibrated(spark):
+    docs = spark.createDataFrame(corpus(), SCHEMA)
+    model = language.train(docs)
+    assert (model.weights == 0).mean() > 0.5 and 0.05 <= model.temperature <= 20
+    p = model.probabilities(language.term_counts("the river and the house"))
+    assert p.sum() == pytest.approx(1) and model.languages[int(p.argmax())] == "en"
+
+
+def test_chunks_count_like_the_whole(monkeypatch):
+    text = prose(3, 500) + " ñé日本🙂"
+    whole = language.term_counts(text)
+    monkeypatch.setattr(language, "_CHUNK", 100)
+    assert (whole == language.term_counts(text)).all()
+    assert whole.sum() == 3 * len(text) - 3

@@ -107,12 +107,12 @@ FORMS = (
     (2, 0.95, _GRANT + r" under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name}(?: licen[sc]e)?"),
     (2, 0.9, r"under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{name} licen[sc]e"),
     (3, 0.8, r"(?:the )?{name} licen[sc]e"),
-    (4, 0.6, r"{name}"),
+    (3, 0.6, r"(?:the )?{name}"),
 )
 _ALONE = ("general", "lesser", "affero", "mozilla", "cc", "commons", "cc0", "wtfpl", "unlicen")
 # Names of these keywords end in a version or "license" of their own.
 _WHOLE = ("apache",)
-_TIERS = 4
+_TIERS = 3
 
 # Statements without a license name.
 STATEMENTS = (
@@ -135,7 +135,7 @@ def rules() -> tuple[tuple[str, str, int, float, str], ...]:
     out = list(STATEMENTS)
     for strength, confidence, form in FORMS:
         for label, keyword, name, spdx in NAMES:
-            if form == "{name}" and keyword not in (*_ALONE, *_WHOLE):
+            if form.endswith("{name}") and keyword not in (*_ALONE, *_WHOLE):
                 continue
             # An identifier stands for its license wherever it follows the tag.
             gate = "spdx" if "{spdx}" in form else keyword

@@ -242,7 +242,7 @@ def remove_repeats(
     Each word is removed that is covered by a window which also starts in a
     document with a smaller doc_id; windows are judged on the input. ``kept``
     holds the other words joined by one space; without ``normalise`` a text
-    that loses nothing is kept as it is. ``carried`` is a struct of the
+    that loses nothing is kept as it is, NULL too. ``carried`` is a struct of the
     ``carry`` columns, NULL without any.
 
     A NULL text has no words. A row without doc_id counts as later than all
@@ -282,8 +282,13 @@ def remove_repeats(
         keep = np.cumsum(edges[:-1]) == 0
         removed = np.bincount(group.doc[~keep], minlength=len(group.texts))
         kept = []
-        for text, n, lost, start in zip(group.texts, group.counts, removed, group.starts):
-            if lost:
+        missing = table.column("text").is_null().to_pylist()
+        for text, null, n, lost, start in zip(
+            group.texts, missing, group.counts, removed, group.starts
+        ):
+            if null and not normalise:
+                text = None
+            elif lost:
                 words = text.split()
                 text = b" ".join([words[i] for i in np.flatnonzero(keep[start : start + n])])
             elif normalise:
