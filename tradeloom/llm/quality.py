@@ -8,7 +8,8 @@ perplexity of held-out trusted documents.
 Documents are dealt into groups of a few MB. A group sends its distinct n-grams
 with their trusted counts; counts are summed, turned into probabilities and
 looked up by joins on the n-gram, and each group gets back the probabilities
-of the n-grams it has, to score its documents. Texts move once.
+of the n-grams it has, to score its documents. Texts move to their group twice,
+to be counted and to be scored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ QUANTILE = 0.995
 # Languages with fewer held-out trusted documents take the quantile over all of them.
 LEAST = 100
 FOLDS = 5
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 16 << 20
 _CHUNK = 1 << 20
 
 
