@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import functools
-import tempfile
 import uuid
 from collections.abc import Callable, Collection
 
@@ -16,6 +15,7 @@ from tradeloom.functions.measures import exact_sum
 from tradeloom.operators import quality
 from tradeloom.operators.export import nest_by
 from tradeloom.operators.history import apply_changes
+from tradeloom.operators.ranking import top_values
 from tradeloom.plans import dashboards, extras, gold, silver
 from tradeloom.schemas import RAW_SCHEMAS
 from tradeloom.sources.csv_files import read_csv, split_bad_rows, with_audit_columns
@@ -88,36 +88,49 @@ def _on_shop(build: Callable[[Shop], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Shop(spark, sf_dir))
 
 
-def _product_category(shop: Shop) -> DataFrame:
-    return gold.product_category(shop.enriched(_CATEGORY), shop.by_order({"item_price"}))
-
-
-def _delivery_performance(shop: Shop) -> DataFrame:
-    return gold.delivery_performance(
-        shop.by_order(_DELIVERY), shop.by_order(_DELIVERY - {"review_score"})
-    )
+def _monthly(shop: Shop) -> DataFrame:
+    return gold.monthly_revenue(shop.by_order(_MONTHLY), silver.ITEMS)
 
 
 def _cross_tab(name: str) -> Query:
     keep = dashboards.columns_for(name)
     per_order = "category_english" not in keep
     return _on_shop(
-        lambda shop: dashboards.cross_tab(name, shop.enriched(keep, per_order), TEST_SETTINGS)
+        lambda shop: dashboards.cross_tab(
+            name, shop.enriched(keep, per_order), TEST_SETTINGS, silver.ITEMS if per_order else None)
     )
 
 
-def _layer_counts(shop: Shop) -> DataFrame:
+def _tables(shop: Shop) -> dict[str, DataFrame]:
+    """All 35 tables by layer and name."""
     tables = {f"bronze.{name}": shop.raw(name) for name in VIEWS}
     tables["silver.dim_customers"] = shop.customers()
     tables["silver.dim_products"] = shop.products()
     tables["silver.dim_sellers"] = shop.sellers()
     tables["silver.order_reviews_deduped"] = shop.reviews()
     tables["silver.order_payments_agg"] = shop.payments()
-    tables["silver.orders_enriched"] = shop.enriched()
-    return quality.row_counts(tables)
+    enriched = written(shop.enriched())
+    tables["silver.orders_enriched"] = enriched
+    tables["gold.fact_orders"] = gold.fact_orders(enriched)
+    tables["gold.agg_monthly_revenue"] = gold.monthly_revenue(enriched)
+    tables["gold.agg_seller_performance"] = gold.seller_performance(enriched, shop.sellers())
+    tables["gold.agg_product_category"] = gold.product_category(enriched)
+    tables["gold.agg_delivery_performance"] = gold.delivery_performance(enriched)
+    cube = written(dashboards.count_cube(enriched, TEST_SETTINGS))
+    for name in dashboards.CROSS_TABS:
+        from_cube = name in dashboards.from_cube_tables()
+        tables[f"gold.cross_tab_{name}"] = (
+            dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS) if from_cube
+            else dashboards.cross_tab(name, enriched, TEST_SETTINGS))
+    return tables
+
+
+def _layer_counts(shop: Shop) -> DataFrame:
+    return quality.row_counts(_tables(shop))
 
 
 def _reconcile_counts(shop: Shop) -> DataFrame:
+    """All nine raw tables and a last row for all of them together."""
     sources = {
         "orders": "orders",
         "order_items": "lineitem",
@@ -126,48 +139,75 @@ def _reconcile_counts(shop: Shop) -> DataFrame:
         "customers": "customer",
         "products": "part",
         "sellers": "supplier",
+        "geolocation": "nation",
     }
-    expected = quality.row_counts(
+    counted = quality.row_counts(
         {view: shop.spark.read.parquet(f"{shop.sf_dir}/{t}.parquet") for view, t in sources.items()}
     ).withColumnRenamed("row_count", "expected")
-    return quality.reconcile_counts(expected, {view: shop.raw(view) for view in sources})
+    fixed = quality.expected_counts(shop.spark, {"category_translation": 5})
+    report = quality.reconcile_counts(
+        counted.unionByName(fixed), {view: shop.raw(view) for view in [*sources, "category_translation"]})
+    return report.unionByName(quality.verdict(report))
 
 
 def _top_categories(shop: Shop) -> DataFrame:
-    return (
-        shop.enriched({"category_english", "item_price"})
-        .where(F.col("category_english").isNotNull())
-        .groupBy("category_english")
-        .agg(F.round(exact_sum("item_price"), 2).alias("total_revenue"))
-        .orderBy(F.col("total_revenue").desc(), "category_english")
-        .limit(5)
+    sold = shop.enriched({"category_english", "item_price"})
+    top = top_values(sold, "category_english", "item_price", 5, "total_revenue")
+    return top.withColumn("total_revenue", F.round("total_revenue", 2))
+
+
+def _money_sums(shop: Shop) -> DataFrame:
+    """Exact sums of values with eight places, of 1e-7, of 9e14, with NULL and NaN."""
+    line = F.col("l_linenumber").cast("double")
+    rows = shop.spark.read.parquet(f"{shop.sf_dir}/lineitem.parquet").select(
+        F.col("l_returnflag").alias("kind"),
+        ((line + 100000049) / 1e8).alias("eight_places"),
+        (line / 1e7).alias("tiny"),
+        (line + 9e14).alias("huge"),
+        F.when(line % 3 > 0, -line / 1e2).alias("negative_or_null"),
+        F.when(line == 1, F.lit(float("nan"))).otherwise(line).alias("not_a_number"),
     )
+    names = [c for c in rows.columns if c not in ("kind", "not_a_number")]
+    return rows.groupBy("kind").agg(
+        F.count("*").alias("n"), *[exact_sum(c).alias(c) for c in names],
+        F.isnan(exact_sum("not_a_number")).alias("not_a_number"))
 
 
 def _scd2(shop: Shop) -> DataFrame:
     """A later snapshot against the customers known before: every key divisible
-    by 5 is new, every key divisible by 7 has moved."""
+    by 5 is new, by 7 has moved and by 11 is gone; every key divisible by 6 also
+    has an older, closed version."""
     customers = shop.customers()
     key = F.col("customer_id")
-    moved = F.concat(F.lit("Moved To "), F.col("customer_city"))
-    snapshot = customers.withColumn(
-        "customer_city", F.when(key % 7 == 0, moved).otherwise(F.col("customer_city"))
-    )
+    city = F.when(key % 7 == 0, F.concat("customer_city", F.lit(" Moved"))).otherwise(
+        F.col("customer_city"))
+    closed = customers.where(key % 6 == 0).withColumns({
+        "customer_city": F.lit("Old Town"),
+        "valid_from": F.lit(datetime.date(1990, 1, 1)),
+        "valid_to": F.lit(datetime.date(1991, 1, 1)),
+        "is_current": F.lit(False),
+    })
     return apply_changes(
-        customers.where(key % 5 != 0),
-        snapshot,
+        customers.where(key % 5 != 0).unionByName(closed),
+        customers.where(key % 11 != 0).withColumn("customer_city", city),
         "customer_id",
         ["customer_city", "customer_state", "customer_zip_code_prefix"],
-        datetime.date(2002, 1, 1),
+        datetime.date(2020, 1, 1),
     )
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared scratch folder."""
+    path = f"{scratch_dir(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names; local in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="tradeloom-")
+    """A new folder in the place that all executors share: the session's
+    checkpoint folder, or its warehouse if it names none."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
@@ -197,48 +237,68 @@ def _bad_rows(shop: Shop) -> DataFrame:
     """Reviews written as CSV with a timestamp in every ninth score field: the
     lines that do not parse in full, with the fields that do."""
     path = f"{scratch_dir(shop.spark)}/order_reviews"
-    reviews = shop.raw("order_reviews").drop("review_comment_message")
+    reviews = shop.raw("order_reviews")
     broken = F.col("review_id") % 9 == 0
     score = F.when(broken, F.lit("2018-01-01 00:00:00")).otherwise(
         F.col("review_score").cast("string")
     )
     _write_csv(reviews.withColumn("review_score", score), path)
-    schema = RAW_SCHEMAS["order_reviews"].replace("review_comment_message STRING,", "")
-    _, bad = split_bad_rows(shop.spark, path, schema)
+    _, bad = split_bad_rows(shop.spark, path, RAW_SCHEMAS["order_reviews"])
     return bad.select(
         F.col("review_id").cast("long").alias("review_id"),
         F.col("order_id").cast("long").alias("order_id"),
         "review_score",
+        "review_comment_message",
         F.col("_corrupt_record").contains("2018-01-01 00:00:00").alias("raw_line_kept"),
     )
 
 
+# Axis -> its column and the cross-tabs that the report nests under its values.
+REPORT = {
+    "delivery": ("delivery_bucket", (
+        "kpi_by_delivery", "monthly_by_delivery", "category_by_delivery", "state_by_delivery",
+        "review_by_delivery")),
+    "review": ("review_score", (
+        "kpi_by_review", "monthly_by_review", "category_by_review", "state_by_review",
+        "delivery_by_review")),
+    "category": ("cat_group", (
+        "kpi_by_category", "monthly_by_category", "state_by_category", "delivery_by_category",
+        "review_by_category")),
+}
+
+
+def report_sections(shop: Shop, axis: str, cube: DataFrame) -> DataFrame:
+    """One row per value of an axis with all that the report shows for it, nested."""
+    dim, names = REPORT[axis]
+    kpi_fact = shop.enriched(dashboards.columns_for(names[0]))
+    sections = {names[0]: dashboards.cross_tab(names[0], kpi_fact, TEST_SETTINGS)}
+    for name in names[1:]:
+        sections[name] = dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS)
+    return nest_by(dim, sections)
+
+
 def _report_export(shop: Shop) -> DataFrame:
-    """Everything the report shows per delivery band, nested.
-
-    Four of the five parts come from one written cube.
-    """
-    names = {
-        "monthly": "monthly_by_delivery",
-        "categories": "category_by_delivery",
-        "states": "state_by_delivery",
-        "reviews": "review_by_delivery",
-    }
+    """The nested report of all three axes, opened again: number of entries and
+    their revenue or count for each value and section."""
     axes = {"delivery_days", "review_score", "category_english", "customer_state"}
-    path = f"{scratch_dir(shop.spark)}/cube"
     fact = shop.enriched(axes | {"year_month", "item_price"})
-    dashboards.count_cube(fact, TEST_SETTINGS).write.parquet(path)
-    cube = shop.spark.read.parquet(path)
-    kpi_fact = shop.by_order(dashboards.columns_for("kpi_by_delivery"))
-    sections = {"kpi": dashboards.cross_tab("kpi_by_delivery", kpi_fact, TEST_SETTINGS)}
-    for section, name in names.items():
-        sections[section] = dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS)
-    return nest_by("delivery_bucket", sections)
+    cube = written(dashboards.count_cube(fact, TEST_SETTINGS))
+    opened = None
+    for axis, (dim, names) in REPORT.items():
+        nested = report_sections(shop, axis, cube)
+        for name in names:
+            measure = "gmv" if name.startswith(("kpi", "monthly")) else "order_count"
+            rows = nested.select(F.col(dim).cast("string").alias("value"), F.explode(name).alias("row"))
+            rows = rows.select("value", F.col(f"row.{measure}").cast("double").alias("m")).groupBy("value").agg(
+                F.count("*").alias("entries"), F.round(F.sum("m"), 2).alias("total"))
+            rows = rows.select(F.lit(axis).alias("axis"), "value", F.lit(name).alias("section"), "entries", "total")
+            opened = rows if opened is None else opened.unionByName(rows)
+    return opened
 
 
 def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {
-        "monthly_revenue": _on_shop(lambda s: gold.monthly_revenue(s.by_order(_MONTHLY))),
+        "monthly_revenue": _on_shop(_monthly),
         "dim_customers": _on_shop(Shop.customers),
         "dim_products": _on_shop(Shop.products),
         "dim_sellers": _on_shop(Shop.sellers),
@@ -247,11 +307,12 @@ def queries() -> dict[str, Query]:
         "orders_enriched": _on_shop(Shop.enriched),
         "fact_orders": _on_shop(lambda s: gold.fact_orders(s.enriched(gold.FACT_COLUMNS))),
         "seller_performance": _on_shop(lambda s: gold.seller_performance(s.enriched(_SELLER), s.sellers())),
-        "product_category": _on_shop(_product_category),
-        "delivery_performance": _on_shop(_delivery_performance),
+        "product_category": _on_shop(lambda s: gold.product_category(s.enriched(_CATEGORY))),
+        "delivery_performance": _on_shop(
+            lambda s: gold.delivery_performance(s.by_order(_DELIVERY), silver.ITEMS)),
         **{name: _cross_tab(name) for name in dashboards.CROSS_TABS},
         "silver_profile": _on_shop(lambda s: quality.delivered_profile(s.enriched(_PROFILE))),
-        "gold_kpis": _on_shop(lambda s: quality.fact_kpis(s.by_order(_KPIS))),
+        "gold_kpis": _on_shop(lambda s: quality.fact_kpis(s.by_order(_KPIS), silver.ITEMS)),
         "layer_counts": _on_shop(_layer_counts),
         "reconcile_counts": _on_shop(_reconcile_counts),
         "csv_ingest_items": _on_shop(_csv_ingest_items),
@@ -259,9 +320,10 @@ def queries() -> dict[str, Query]:
         "order_level_kpis": _on_shop(lambda s: extras.order_level_kpis(
             s.by_order({"order_id", "order_status", "is_late_delivery", "total_payment_value"}))),
         "scd2_apply": _on_shop(_scd2),
+        "money_sums": _on_shop(_money_sums),
         "revenue_yoy": _on_shop(
-            lambda s: extras.revenue_yoy(gold.monthly_revenue(s.by_order(_MONTHLY)))),
-        "monthly_on_time": _on_shop(lambda s: extras.monthly_on_time(s.by_order(_MONTHLY))),
+            lambda s: extras.revenue_yoy(_monthly(s))),
+        "monthly_on_time": _on_shop(lambda s: extras.monthly_on_time(s.by_order(_MONTHLY), silver.ITEMS)),
         "seller_products": _on_shop(
             lambda s: extras.seller_products(s.enriched({"seller_id", "product_id"}))),
         "category_photos": _on_shop(

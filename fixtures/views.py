@@ -35,10 +35,10 @@ SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS produ
   l_extendedprice * (l_tax + CAST(0.01 AS DOUBLE)) AS freight_value
 FROM {lineitem}"""),
     "order_payments": (("lineitem",), """
-SELECT l_orderkey AS order_id, l_linenumber AS payment_sequential,
+SELECT CASE WHEN l_orderkey % 50 <> 7 THEN l_orderkey END AS order_id, l_linenumber AS payment_sequential,
   CASE l_returnflag WHEN 'R' THEN 'credit_card' WHEN 'A' THEN 'boleto' ELSE 'voucher' END AS payment_type,
   l_linenumber AS payment_installments, l_extendedprice AS payment_value
-FROM {lineitem} WHERE l_orderkey % 50 <> 7"""),
+FROM {lineitem}"""),
     "order_reviews": (("events", "orders"), """
 SELECT event_id AS review_id,
   (CASE WHEN event_id % 4 = 3 THEN event_id - 1 ELSE event_id END * 7919) % (SELECT count(*) FROM {orders}) AS order_id,

@@ -84,11 +84,21 @@ def test_exact_sum_edges(spark):
     assert total(None, 0.1, 0.2) == 0.3
     assert total(-1.25, -0.5) == -1.75
     assert total(2e15, 0.5) == 2e15 + 0.5
+    assert total(*[0.0000004] * 1000) == 0.0004
+    assert total(*[1.00000049] * 1000) == 1000.00049
+    assert total(*[9.0e14] * 20_000) == 1.8e19
+    assert total(9e14, 1e-7, -9e14) == 1e-7
     assert math.isnan(total(1.0, float("nan")))
     assert total(1.0, float("inf")) == float("inf")
     assert total(float("inf")) == float("inf")
 
 
+@pytest.mark.parametrize("value", [1e-19, 0.1234567890123456789e-5, 1e21])
+def test_exact_sum_refuses_what_it_cannot_hold(spark, value):
+    with pytest.raises(Exception, match="decimal places|OUT_OF_RANGE"):
+        make(spark, "x DOUBLE", (value,), (1.0,)).agg(exact_sum("x")).collect()
+
+
 def test_exact_avg_skips_nulls_and_empty_groups(spark):
     df = make(spark, "k INT, x DOUBLE", (1, 1.0), (1, None), (1, 2.0), (2, None))
     got = dict(df.groupBy("k").agg(exact_avg("x")).collect())

@@ -2,6 +2,7 @@
 
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.frames import make
@@ -32,16 +33,20 @@ def items(spark, *rows):
     return make(spark, DDL, *rows)
 
 
+def sellers(spark):
+    return make(spark, "seller_id STRING, seller_city STRING, seller_state STRING", ("s1", "City", "ST"))
+
+
 def test_seller_without_delivered_rows_has_no_percentage(spark):
     df = items(spark, row("o1", status="shipped", days=None), row("o1", status="shipped", days=None))
-    got = gold.seller_performance(df).first()
+    got = gold.seller_performance(df, sellers(spark)).first()
     assert (got.total_orders, got.total_items, got.delivered_orders, got.on_time_pct) == (1, 2, 0, None)
     assert got.avg_order_value == 10.0 and got.avg_delivery_days is None
 
 
 def test_seller_average_is_per_item_and_rate_counts_items(spark):
     df = items(spark, row("o1", price=1.0), row("o1", price=2.0, late=True), row("o2", price=6.0))
-    got = gold.seller_performance(df).first()
+    got = gold.seller_performance(df, sellers(spark)).first()
     assert (got.total_orders, got.avg_order_value, got.on_time_pct) == (2, 3.0, 66.7)
 
 
@@ -160,7 +165,7 @@ def test_year_over_year_needs_the_same_month(spark):
 
 def test_top_values(spark):
     df = make(spark, "c STRING, m DOUBLE", ("a", 1.0), ("a", 5.0), ("b", 6.0), ("c", 7.0), (None, 99.0))
-    assert top_values(df, "c", "m", 2) == ["c", "a"]
+    assert [tuple(r) for r in top_values(df, "c", "m", 2, "t").collect()] == [("c", 7.0), ("a", 6.0)]
 
 
 def test_share_within_on_any_columns(spark):
@@ -170,6 +175,40 @@ def test_share_within_on_any_columns(spark):
     assert got == {(1, 1): (2, 66.67), (1, 2): (1, 33.33), (2, 1): (1, 100.0)}
 
 
+def test_column_names_do_not_change_counts(spark):
+    df = make(spark, "p INT, c INT, items INT", (1, 1, 5), (1, 2, 1))
+    assert {r.order_count for r in share_within(df, F.col("p"), F.col("c")).collect()} == {1}
+    weighted = share_within(df, F.col("p"), F.col("c"), weight="items").collect()
+    assert {(r.c, r.order_count) for r in weighted} == {(1, 5), (2, 1)}
+    fact = varied(spark)
+    odd = fact.withColumn("items", F.lit(7))
+    for build in (gold.monthly_revenue, gold.delivery_performance, gold.product_category, fact_kpis):
+        assert as_set(build(fact)) == as_set(build(odd))
+
+
+def test_a_frame_per_order_gives_the_same_figures(spark):
+    """Order columns of ``varied`` are made equal within each order."""
+    fact = varied(spark).where("pmod(cast(substr(order_id, 2) as int), 2) = 0").withColumns({
+        c: F.first(c, ignorenulls=True).over(Window.partitionBy("order_id").orderBy("item_price").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing))
+        for c in ("review_score", "delivery_days", "purchase_month", "year_month")})
+    keys = [c for c in fact.columns if c not in (
+        "item_price", "freight_value", "category_english", "product_category_name", "customer_state")]
+    by_order = fact.groupBy(*keys).agg(
+        F.count("*").alias("items"), F.sum("item_price").alias("item_price"),
+        F.sum("freight_value").alias("freight_value"))
+    for build in (gold.monthly_revenue, gold.delivery_performance, fact_kpis):
+        assert as_set(build(fact)) == as_set(build(by_order, "items"))
+
+
+def test_nested_null_is_one_value(spark):
+    one = make(spark, "k STRING, n INT", ("a", 1), (None, 2))
+    two = make(spark, "k STRING, m INT", (None, 3), (None, 4))
+    got = {r.k: (r.one, r.two) for r in nest_by("k", {"one": one, "two": two}).collect()}
+    assert set(got) == {"a", None} and got["a"][1] is None
+    assert [x.m for x in got[None][1]] == [3, 4] and [x.n for x in got[None][0]] == [2]
+
+
 def test_row_counts(spark):
     got = row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert sorted(map(tuple, got.collect())) == [("a", 3), ("b", 0)]

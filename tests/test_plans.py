@@ -71,7 +71,7 @@ def test_shares_shuffle_only_aggregated_pairs(fact):
 def test_unused_lookups_are_not_read(spark, no_broadcast):
     shop = Shop(spark, SF)
     text = plan(shop.enriched({"order_id", "item_price", "year_month"}))
-    assert text.count("FileScan") == 2 and text.count("Join") == 1
+    assert set(re.findall(r"(\w+)\.parquet", text)) == {"orders", "lineitem"}
 
 
 def test_items_are_added_up_before_they_are_shuffled(spark, no_broadcast):
@@ -82,17 +82,31 @@ def test_items_are_added_up_before_they_are_shuffled(spark, no_broadcast):
 
 
 def test_wide_table_meets_its_order_lookups_in_one_exchange(spark, no_broadcast):
-    """Items, orders with customers, payments and reviews: four exchanges on
-    order_id, none of them of an already joined order row."""
+    """Orders with customers, payments and reviews: three exchanges on order_id
+    and one more to count hot ones; items and orders meet by order and slot."""
     text = re.sub(r"#\d+L?", "", plan(Shop(spark, SF).enriched()))
-    assert text.count("Exchange hashpartitioning(order_id,") == 4
+    main = text[:text.index("Subqueries")] if "Subqueries" in text else text
+    assert main.count("Exchange hashpartitioning(order_id, _slot,") == 2
+    assert main.count("Exchange hashpartitioning(order_id, ") - 2 <= 5
 
 
-@pytest.mark.parametrize("name,nested_loops", [
-    ("product_category", 1), ("delivery_performance", 1), ("seller_performance", 0),
-    ("silver_profile", 0), ("kpi_by_category", 0), ("scd2_apply", 0), ("revenue_yoy", 0)])
-def test_no_row_by_row_python_and_no_pair_generation(spark, no_broadcast, name, nested_loops):
-    """The only nested loops attach a one-row total to finished aggregates."""
+@pytest.mark.parametrize("name", [
+    "product_category", "delivery_performance", "seller_performance", "silver_profile",
+    "kpi_by_category", "scd2_apply", "revenue_yoy"])
+def test_no_row_by_row_python_and_no_pair_generation(spark, no_broadcast, name):
     text = plan(queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "Python" not in text
-    assert text.count("BroadcastNestedLoopJoin") == nested_loops
+    assert "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", [
+    "seller_performance", "silver_profile", "monthly_revenue", "gold_kpis", "delivery_performance"])
+def test_distinct_counts_do_not_copy_rows(spark, name):
+    text = plan(queries()[name](spark, SF))
+    assert text.count("Expand") <= (1 if name == "gold_kpis" else 0)
+
+
+@pytest.mark.parametrize("name", ["delivery_performance"])
+def test_shares_read_each_table_once(spark, no_broadcast, name):
+    text = plan(queries()[name](spark, SF))
+    assert text.count("lineitem.parquet") == 1

@@ -1,9 +1,9 @@
 """Joins with a key that holds a third of the rows, or with many NULL keys."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tradeloom.operators import joins
-from tradeloom.operators.joins import fk_join, hot_keys, hot_keys_for_joins, with_spread
+from tradeloom.operators.joins import fk_join, hot_keys, with_spread
 from tradeloom.plans import silver
 from fixtures.views import raw_table
 
@@ -24,24 +24,33 @@ def dimension(spark, rows=30_000):
 
 
 def test_hot_keys_finds_value_and_null(spark):
-    found = hot_keys(skewed(spark, null_share=4), ["k"], 1 / 8)
-    keys = {r._hot_key: r._ways for r in found["k"].collect()}
+    keys = {r._hot_key: r._ways for r in hot_keys(skewed(spark, null_share=4), "k", 8).collect()}
     assert set(keys) == {7, None}
     assert keys[7] >= 4
-    assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), ["k"], 1 / 8) == {}
-    assert hot_keys(spark.range(0).select(F.col("id").alias("k")), ["k"], 1 / 8) == {}
+    assert hot_keys(spark.range(1000).select(F.col("id").alias("k")), "k", 8).isEmpty()
+    assert hot_keys(spark.range(0).select(F.col("id").alias("k")), "k", 8).isEmpty()
 
 
-def test_hot_keys_of_text_columns_and_a_quarter_percent_share(spark):
-    df = spark.range(0, 400_000, 1, 8).select(
-        F.when(F.col("id") % 250 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    found = hot_keys(df, ["k"], 1 / 1000)
-    assert [r._hot_key for r in found["k"].collect()] == ["hot"]
+@pytest.mark.parametrize("every,partitions", [(5_000, 20_000), (20_000, 200_000)])
+def test_small_shares_are_hot_where_partitions_are_many(spark, every, partitions):
+    """Three keys of 0.02 % and of 0.005 % of the rows, above one partition's share."""
+    rows = spark.range(0, 2_000_000, 1, 8)
+    key = F.when(F.col("id") % every < 3, -1 - F.col("id") % every).otherwise(F.col("id"))
+    found = {r._hot_key: r._ways for r in hot_keys(rows.select(key.alias("k")), "k", partitions).collect()}
+    assert set(found) == {-1, -2, -3}
+    assert all(ways >= 2 for ways in found.values())
+
+
+def test_hot_keys_run_no_job_while_a_frame_is_built(spark):
+    before = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    left = with_spread(skewed(spark))
+    fk_join(left, dimension(spark), "k", "left", hot_keys(left, "k"))
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() == before
 
 
 def test_split_join_equals_plain_join_and_spreads_the_hot_key(spark):
     left, right = skewed(spark, null_share=5), dimension(spark)
-    hot = hot_keys(left, ["k"], 1 / 8)["k"]
+    hot = hot_keys(left, "k", 8)
     for how in ("left", "inner"):
         plain = left.join(right, "k", how)
         split = fk_join(with_spread(left), right, "k", how, hot).select(*plain.columns)
@@ -69,14 +78,13 @@ def test_copies_of_one_row_are_split_too(spark):
     hot = spark.createDataFrame([(1, 8)], "_hot_key INT, _ways INT")
     right = spark.createDataFrame([(1, "one")], "k INT, name STRING")
     assert fk_join(left, right, "k", "inner", hot).count() == 9000
-    slots = left.groupBy((F.col("_spread") % 8).alias("slot")).count().collect()
+    slots = left.groupBy(F.pmod(F.xxhash64("_spread"), F.lit(8)).alias("slot")).count().collect()
     assert len(slots) == 8 and max(r["count"] for r in slots) < 1200
 
 
 def test_enriched_with_hot_order_product_seller_and_customer(spark, monkeypatch):
     """A third of the items in one order, of one product and one seller; one
     customer with a third of the orders. Same rows as with plain joins."""
-    monkeypatch.setattr(joins, "_estimated_size", lambda df: 1 << 40)
     third = F.col("product_id") % 3 == 0
     items = raw_table(spark, SF, "order_items")
     items = items.withColumns({
@@ -96,25 +104,9 @@ def test_enriched_with_hot_order_product_seller_and_customer(spark, monkeypatch)
             raw_table(spark, SF, "products"), raw_table(spark, SF, "category_translation")),
         "sellers": silver.dim_sellers(raw_table(spark, SF, "sellers")),
     }
-    found = hot_keys_for_joins(items, {"order_id": orders, "product_id": orders, "seller_id": orders})
-    assert set(found) == {"order_id", "product_id", "seller_id"}
+    assert [r._hot_key for r in hot_keys(items, "order_id").collect()] == [1]
     split = silver.enrich_orders(orders, items, lookups).collect()
-    monkeypatch.setattr(silver, "hot_keys_for_joins", lambda df, joins: {})
+    monkeypatch.setattr(silver, "hot_keys", lambda df, key: None)
     plain = silver.enrich_orders(orders, items, lookups).collect()
     assert len(split) == len(plain) > 5000
     assert sorted(map(str, split)) == sorted(map(str, plain))
-
-
-def test_search_only_where_a_join_shuffles_much(spark, monkeypatch):
-    left, right = skewed(spark), dimension(spark)
-    searched = []
-    monkeypatch.setattr(joins, "hot_keys", lambda df, keys, share: searched.append(keys) or {})
-    sizes = {id(left): 1 << 40, id(right): 1 << 30}
-    monkeypatch.setattr(joins, "_estimated_size", lambda df: sizes[id(df)])
-    hot_keys_for_joins(left, {"k": right})
-    assert searched == [["k"]]
-    sizes[id(right)] = 1 << 20
-    hot_keys_for_joins(left, {"k": right})
-    sizes.update({id(left): 1 << 20, id(right): 1 << 30})
-    hot_keys_for_joins(left, {"k": right})
-    assert searched == [["k"]]

@@ -1,58 +1,60 @@
-"""Aggregate expressions."""
+"""Aggregate expressions.
+
+Functions over order items take a ``weight``: a column that says how many items
+a row stands for, for frames that hold several items per row with their summed
+price and freight. Without it a row is one item.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import math
 
-# A frame with this column holds several order items per row: their number
-# here, their summed price and freight in the money columns.
-ITEMS = "items"
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-_EXACT_LIMIT = 1e15
-_FRACTION_UNITS = 1_000_000
+# Decimal places kept by exact sums; 20 digits are left before the point.
+MONEY_SCALE = 18
 
 
-def exact_sum(name: str) -> Column:
+def exact_sum(name: str, scale: int = MONEY_SCALE) -> Column:
     """SUM of a double column of money, independent of the order of addition.
 
     Adding doubles in another order moves the last digits, so a retried task or
-    another partitioning can turn x.50 into x.49999 and flip a rounding. Here
-    whole units and millionths are added as longs, which is exact and costs
-    about what a double sum costs, and joined as a decimal once per group.
-    Values beyond 1e15, NaN and infinities are added as doubles as usual.
+    another partitioning can turn x.50 into x.49999 and flip a rounding. Values
+    are added as the decimals they are written as, with ``scale`` places, and
+    the total is turned back into a double. A value that ``scale`` places do not
+    hold in full raises an error; none is rounded. NaN and infinities make the
+    total what adding doubles makes of them.
     """
-    value = F.col(name)
-    fits = F.abs(value) < _EXACT_LIMIT
-    whole = F.floor(value)
-    millionths = F.floor((value - whole) * F.lit(float(_FRACTION_UNITS)) + F.lit(0.5))
-    exact = (
-        F.sum(F.when(fits, whole)).cast("decimal(20,0)")
-        + F.sum(F.when(fits, millionths)).cast("decimal(20,0)")
-        * F.lit("0.000001").cast("decimal(7,6)")
-    ).cast("double")
-    rest = F.sum(F.when(~fits, value))
-    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
+    value = F.col(name).cast("double")
+    finite = F.abs(value) < F.lit(math.inf)
+    written = F.when(finite, value).cast(f"decimal(38,{scale})")
+    message = F.concat(F.lit(f"{name} has more than {scale} decimal places: "), value.cast("string"))
+    held = F.when(written.cast("double") == value, written).otherwise(
+        F.when(finite, F.raise_error(message).cast(f"decimal(38,{scale})")))
+    total = F.sum(held).cast("double")
+    rest = F.sum(F.when(~finite, value))
+    return F.coalesce(rest, total)
 
 
 def exact_avg(name: str) -> Column:
     return F.try_divide(exact_sum(name), F.count(name))
 
 
-def item_count(df: DataFrame, where: Column | None = None) -> Column:
+def item_count(where: Column | None = None, weight: str | None = None) -> Column:
     """Number of order items in a group, or of those meeting a condition."""
-    if ITEMS not in df.columns:
+    if weight is None:
         return F.count("*") if where is None else F.count_if(where)
-    counted = F.col(ITEMS) if where is None else F.when(where, F.col(ITEMS))
+    counted = F.col(weight) if where is None else F.when(where, F.col(weight))
     return F.coalesce(F.sum(counted), F.lit(0))
 
 
-def item_avg(df: DataFrame, name: str, digits: int) -> Column:
+def item_avg(name: str, digits: int, weight: str | None = None) -> Column:
     """Rounded average of an integer column over order items, NULLs skipped."""
-    if ITEMS not in df.columns:
+    if weight is None:
         return F.round(F.avg(name), digits)
-    total = F.sum(F.col(name) * F.col(ITEMS))
-    known = F.sum(F.when(F.col(name).isNotNull(), F.col(ITEMS)))
+    total = F.sum(F.col(name) * F.col(weight))
+    known = F.sum(F.when(F.col(name).isNotNull(), F.col(weight)))
     return F.round(F.try_divide(total.cast("double"), known.cast("double")), digits)
 
 

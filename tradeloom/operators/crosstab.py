@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.measures import exact_sum, item_count, percent
@@ -43,10 +43,13 @@ def monthly_by(
 def share_of_parent(pairs: DataFrame, parent: str, child: str, count: str) -> DataFrame:
     """Percentage of each pair's ``count`` in its parent's total.
 
-    Meant for aggregated pairs: the window sorts one row per child label.
+    Totals are added up with map-side combine and joined, so that a parent with
+    any number of children stays in as many tasks as its pairs are in.
     """
-    in_parent = F.sum(count).over(Window.partitionBy(parent))
-    return pairs.select(
+    totals = pairs.groupBy(F.col(parent).alias("_parent")).agg(F.sum(count).alias("_total"))
+    in_parent = F.col("_total")
+    joined = pairs.join(totals, F.col(parent).eqNullSafe(F.col("_parent")))
+    return joined.select(
         parent,
         child,
         F.col(count).alias("order_count"),
@@ -55,9 +58,13 @@ def share_of_parent(pairs: DataFrame, parent: str, child: str, count: str) -> Da
 
 
 def share_within(
-    fact: DataFrame, parent: Column, child: Column, where: Column | None = None
+    fact: DataFrame,
+    parent: Column,
+    child: Column,
+    where: Column | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Item count of each (parent, child) pair and its share within the parent."""
     rows = fact if where is None else fact.where(where)
-    pairs = rows.groupBy(parent, child).agg(item_count(rows).alias("_n"))
+    pairs = rows.groupBy(parent, child).agg(item_count(weight=weight).alias("_n"))
     return share_of_parent(pairs, pairs.columns[0], pairs.columns[1], "_n")

@@ -15,13 +15,19 @@ def nest_by(dim: str, sections: Mapping[str, DataFrame]) -> DataFrame:
     For finished cross-tabs, which hold a few rows per value. A value missing
     from a section has NULL there.
     """
-    nested = [
-        df.groupBy(dim).agg(
-            F.array_sort(F.collect_list(F.struct(*[c for c in df.columns if c != dim]))).alias(name)
-        )
+    rows = [
+        df.select(dim, *[
+            (F.struct(*[c for c in df.columns if c != dim]) if other == name else F.lit(None)).alias(other)
+            for other in sections
+        ])
         for name, df in sections.items()
     ]
-    return reduce(lambda left, right: left.join(right, dim, "full"), nested)
+    # One aggregation over the stacked sections, so that NULL is one value like others.
+    stacked = reduce(DataFrame.unionByName, rows)
+    nested = [F.array_sort(F.collect_list(name)) for name in sections]
+    return stacked.groupBy(dim).agg(*[
+        F.when(F.size(array) > 0, array).alias(name) for name, array in zip(sections, nested)
+    ])
 
 
 def write_json(df: DataFrame, path: str) -> None:

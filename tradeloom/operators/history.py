@@ -30,9 +30,12 @@ def apply_changes(
     has one row per key. Where a tracked column differs (NULLs compared as
     values) the current version is closed on ``as_of`` and a new one opened; new
     keys get a first version. Keys missing from the snapshot stay as they are.
+    An ``as_of`` before the start of a version to close raises an error.
     Returns the whole new dimension; write it to another place than the old one.
     """
     day = F.lit(as_of) if isinstance(as_of, datetime.date) else as_of
+    early = F.raise_error(F.lit("as_of is before the start of a version that it would close"))
+    day_after = F.when(day >= F.col("old.valid_from"), day).otherwise(early.cast("date"))
     attributes = [c for c in dimension.columns if c not in ("valid_from", "valid_to", "is_current")]
     closed = dimension.where(~F.col("is_current"))
     old = dimension.where(F.col("is_current")).withColumn("_here", F.lit(True)).alias("old")
@@ -44,7 +47,7 @@ def apply_changes(
     old_version = F.struct(
         *[F.col(f"old.{c}").alias(c) for c in attributes],
         F.col("old.valid_from").alias("valid_from"),
-        F.when(changed, day).otherwise(F.col("old.valid_to")).alias("valid_to"),
+        F.when(changed, day_after).otherwise(F.col("old.valid_to")).alias("valid_to"),
         (~changed).alias("is_current"),
     )
     new_version = F.struct(

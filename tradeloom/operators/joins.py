@@ -1,111 +1,46 @@
-"""Foreign-key joins that stay balanced when a few keys hold most rows."""
+"""Foreign-key joins that stay balanced when a few keys hold most rows.
 
-from __future__ import annotations
+A join with an exchange of its own on both sides is left to adaptive execution,
+which splits its skewed partitions. That cannot be done where one side keeps the
+partitioning of the joins below it. ``fk_join`` splits hot keys there itself.
+"""
 
-import math
-from collections.abc import Mapping, Sequence
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 SPREAD = "_spread"
 
-# Size of the frequent-items summary: a key above roughly 0.2 % of the rows is
-# always found, and at most _TOP keys are reported.
-_TRACKED = 4096
-_TOP = 1024
-_SUMMARY_GROUPS = 256
-_FIRST_ROWS = 1 << 17
-_SPREAD_RANGE = 1 << 16
-_ONE_TASK_BYTES = 64 << 20
 # Slots per fair share of a partition: small slots even out where hashing puts
 # several of them into one partition.
 _SLOTS_PER_SHARE = 4
 
 
 def with_spread(df: DataFrame) -> DataFrame:
-    """Add a small number that varies from row to row, used to split hot keys.
+    """Add a number that differs from row to row, used to split hot keys.
 
     Add it right on a scan: there the row order, and so the number, is the same
     when a lost task is run again. Identical rows still get different numbers.
     """
-    return df.withColumn(
-        SPREAD, (F.monotonically_increasing_id() % _SPREAD_RANGE).cast("int")
-    )
-
-
-def _estimated_size(df: DataFrame) -> float:
-    """Catalyst's size estimate in bytes; infinite where there is none."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. Spark Connect
-        return math.inf
-
-
-def _broadcast_limit(df: DataFrame) -> float:
-    try:
-        return df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    except Exception:
-        return -1
+    return df.withColumn(SPREAD, F.monotonically_increasing_id())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> dict[str, DataFrame]:
-    """Per key column, the values holding more than ``share`` of the rows and
-    the number of ways to split each. Columns without such a value are left out.
+def hot_keys(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """(_hot_key, _ways): every value, NULL too, that holds more than the fair
+    share of one of ``partitions`` (the session's shuffle partitions), and the
+    number of ways to split it.
 
-    One pass over the key columns. Tasks summarise their rows with a mergeable
-    frequent-items sketch and the summaries are merged in two steps, so neither
-    a task nor the driver sees more than a bounded number of keys. A task looks
-    at its first rows and then at one row in eight, picked by a hash of the
-    position. Only the balance of later joins depends on the estimate, never
-    their result.
+    Counted exactly, with map-side combine, as a part of the plan that uses it.
+    Fewer values than ``partitions`` can hold more than that share.
     """
-    by_task = df.select(
-        *keys,
-        (F.spark_partition_id() % _SUMMARY_GROUPS).alias("_g"),
-        (F.monotonically_increasing_id() % (1 << 33)).alias("_row"),
-    ).where((F.col("_row") < _FIRST_ROWS) | (F.xxhash64("_row") % 8 == 0))
-    summaries = by_task.groupBy("_g").agg(
-        F.count("*").alias("_n"),
-        *[F.expr(f"approx_top_k_accumulate({k}, {_TRACKED})").alias(k) for k in keys],
-    )
-    # Grouping by a constant gives no row, rather than no summary, for an empty input.
-    merged = summaries.groupBy(F.lit("all")).agg(
-        F.sum("_n").alias("_n"),
-        *[F.expr(f"approx_top_k_combine({k}, {_TRACKED})").alias(k) for k in keys],
-    )
-    row = merged.select(
-        "_n", *[F.expr(f"approx_top_k_estimate({k}, {_TOP})").alias(k) for k in keys]
-    ).first()
-    found = {}
-    for key in keys if row is not None else ():
-        shares = [(item["item"], item["count"] / row["_n"]) for item in row[key]]
-        ways = [
-            (value, min(math.ceil(_SLOTS_PER_SHARE * part / share), _SPREAD_RANGE))
-            for value, part in shares
-            if part > share
-        ]
-        if ways:
-            schema = df.select(F.col(key).alias("_hot_key")).schema.add("_ways", IntegerType())
-            found[key] = df.sparkSession.createDataFrame(ways, schema)
-    return found
-
-
-def hot_keys_for_joins(df: DataFrame, joins: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """``hot_keys`` of ``df`` for those joins, given as {key: right side}, that
-    have to shuffle. A key is hot when it outweighs the fair share of one
-    shuffle partition. A small ``df`` is not searched: all of it would make one
-    ordinary task.
-    """
-    limit = _broadcast_limit(df)
-    if not joins or _estimated_size(df) <= _ONE_TASK_BYTES:
-        return {}
-    shuffled = [key for key, right in joins.items() if _estimated_size(right) > limit]
-    if not shuffled:
-        return {}
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return hot_keys(df, shuffled, 1 / max(partitions, 2))
+    if partitions is None:
+        partitions = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    total = df.agg(F.count("*")).scalar()
+    shares = F.col("_n") * F.lit(partitions) / total
+    counts = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count("*").alias("_n"))
+    return counts.where(shares > 1).select(
+        "_hot_key", F.ceil(shares * _SLOTS_PER_SHARE).cast("int").alias("_ways"))
 
 
 def fk_join(
@@ -118,25 +53,21 @@ def fk_join(
     """Join rows to the one ``right`` row of their key ("left" or "inner").
 
     Without hot keys this is an ordinary join and Catalyst picks broadcast or
-    sort-merge. A hot key is split: its left rows go to several partitions by
-    their ``_spread`` number, and its single right row is copied to each of
-    them. All copies together number about four times the shuffle partitions. Rows
-    whose key is NULL are split the same way in a left join.
+    sort-merge. With ``hot_keys``, the left rows of a hot key go to several
+    partitions by their ``_spread`` number, and its single right row is copied
+    to each of them. All copies together number about four times the shuffle
+    partitions. Rows whose key is NULL are split the same way in a left join.
     """
     if hot is None:
         return left.join(right, key, how)
-    marks = F.broadcast(hot)  # at most _TOP rows
+    marks = F.broadcast(hot)  # fewer rows than partitions
+    slot = F.pmod(F.xxhash64(SPREAD), F.col("_ways")).cast("int")
     left_marked = left.join(
         marks, left[key].eqNullSafe(F.col("_hot_key")), "left"
-    ).withColumn("_slot", F.coalesce(F.col(SPREAD) % F.col("_ways"), F.lit(0)))
+    ).withColumn("_slot", F.coalesce(slot, F.lit(0)))
     right_copies = right.join(marks, right[key] == F.col("_hot_key"), "left").withColumn(
         "_slot", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1))
     )
     return left_marked.drop("_hot_key", "_ways").join(
         right_copies.drop("_hot_key", "_ways"), [key, "_slot"], how
     ).drop("_slot")
-
-
-def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(one_row))

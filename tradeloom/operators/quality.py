@@ -37,6 +37,14 @@ def reconcile_counts(expected: DataFrame, tables: Mapping[str, DataFrame]) -> Da
     )
 
 
+def verdict(report: DataFrame, name: str = "all tables") -> DataFrame:
+    """One more row for a report: how many tables were expected and passed."""
+    passed = F.count_if(F.col("status") == "PASS")
+    return report.agg(F.count("*").alias("expected"), passed.alias("actual")).select(
+        F.lit(name).alias("table_name"), "expected", "actual",
+        F.when(F.col("actual") == F.col("expected"), "PASS").otherwise("MISMATCH").alias("status"))
+
+
 def all_passed(report: DataFrame) -> bool:
     return report.where(F.col("status") != "PASS").isEmpty()
 
@@ -53,36 +61,46 @@ def delivered_profile(enriched: DataFrame) -> DataFrame:
     ``total_gmv_brl`` adds the order's payment once per item, so an order with
     several items counts several times: it is a check figure, not revenue.
     """
-    return enriched.where(F.col("order_status") == "delivered").agg(
+    rows = enriched.where(F.col("order_status") == "delivered")
+    sums = rows.agg(
         F.count("*").alias("total_rows"),
-        F.countDistinct("order_id").alias("distinct_orders"),
-        F.countDistinct("customer_unique_id").alias("distinct_customers"),
-        F.countDistinct("seller_id").alias("distinct_sellers"),
-        F.countDistinct("category_english").alias("distinct_categories"),
         F.round(exact_sum("total_payment_value"), 0).alias("total_gmv_brl"),
         F.round(exact_avg("item_price"), 2).alias("avg_item_price"),
-        item_avg(enriched, "review_score", 2).alias("avg_review_score"),
-        item_avg(enriched, "delivery_days", 1).alias("avg_delivery_days"),
+        item_avg("review_score", 2).alias("avg_review_score"),
+        item_avg("delivery_days", 1).alias("avg_delivery_days"),
         F.count_if("is_late_delivery").alias("late_deliveries"),
         F.min("order_purchase_date").alias("earliest_order"),
         F.max("order_purchase_date").alias("latest_order"),
     )
-
-
-def fact_kpis(fact: DataFrame) -> DataFrame:
+    counted = {
+        "distinct_orders": "order_id",
+        "distinct_customers": "customer_unique_id",
+        "distinct_sellers": "seller_id",
+        "distinct_categories": "category_english",
+    }
+    # One kind of value at a time: several in one aggregation would copy every item.
+    distinct = {
+        name: rows.select(column).distinct().agg(F.count(column)).scalar().alias(name)
+        for name, column in counted.items()
+    }
+    return sums.select(
+        "total_rows", *distinct.values(), *[c for c in sums.columns if c != "total_rows"])
+
+
+def fact_kpis(fact: DataFrame, weight: str | None = None) -> DataFrame:
     """One-row summary of all items.
 
     The late share divides late items of any status by delivered items.
     """
     revenue, orders = exact_sum("item_price"), F.countDistinct("order_id")
-    late = item_count(fact, F.col("is_late_delivery"))
-    delivered = item_count(fact, F.col("order_status") == "delivered")
+    late = item_count(F.col("is_late_delivery"), weight)
+    delivered = item_count(F.col("order_status") == "delivered", weight)
     return fact.agg(
         orders.alias("total_orders"),
         F.countDistinct("customer_unique_id").alias("unique_customers"),
         F.round(revenue, 0).alias("total_gmv_brl"),
         F.round(F.try_divide(revenue, orders), 2).alias("aov"),
-        item_avg(fact, "review_score", 2).alias("avg_review_score"),
-        item_avg(fact, "delivery_days", 1).alias("avg_delivery_days"),
+        item_avg("review_score", 2, weight).alias("avg_review_score"),
+        item_avg("delivery_days", 1, weight).alias("avg_delivery_days"),
         percent(late, delivered, 1).alias("late_delivery_pct"),
     )

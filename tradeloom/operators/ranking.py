@@ -38,8 +38,9 @@ def dominant_by(
 
     ``carry`` maps output names to columns of the row with the greatest
     measure (NULL counts as smallest). Ties go to the smallest of the numeric
-    ``first`` columns. One aggregation with map-side combine: no window sort
-    over all rows of a key.
+    ``first`` columns. One aggregation with map-side combine, so a key with very
+    many rows costs one row per task. As the picked columns hold text, Spark
+    aggregates by sorting each task's rows first.
     """
     tie_break = [(-F.col(c)).alias(f"_tie_{c}") for c in first]
     payload = [F.col(source).alias(out) for out, source in carry.items()]
@@ -54,13 +55,13 @@ def dominant_by(
     )
 
 
-def top_values(df: DataFrame, column: str, measure: str, k: int) -> list:
-    """The ``k`` values of ``column`` with the greatest total measure."""
-    ranked = (
+def top_values(df: DataFrame, column: str, measure: str, k: int, total: str) -> DataFrame:
+    """The ``k`` values of ``column`` with the greatest sum of the measure, which
+    is returned as ``total``, unrounded. Ties go to the smaller value."""
+    return (
         df.where(F.col(column).isNotNull())
         .groupBy(column)
-        .agg(exact_sum(measure).alias("_total"))
-        .orderBy(F.col("_total").desc_nulls_last(), F.col(column))
+        .agg(exact_sum(measure).alias(total))
+        .orderBy(F.col(total).desc_nulls_last(), F.col(column))
         .limit(k)
     )
-    return [row[0] for row in ranked.select(column).collect()]

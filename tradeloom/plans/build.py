@@ -25,6 +25,7 @@ SILVER_COMMENTS = {
     "order_reviews_deduped": "Newest review of each order",
     "order_payments_agg": "Payments summed per order, with the largest part's type",
     "orders_enriched": "Order items with all dimensions and delivery measures",
+    "orders_added_up": "Items added up per order, with order measures",
 }
 GOLD_COMMENTS = {
     "fact_orders": "Order items for reporting",
@@ -34,6 +35,12 @@ GOLD_COMMENTS = {
     "agg_delivery_performance": "Orders and reviews per delivery speed band",
 }
 CUBE = "item_count_cube"
+# Items added up per order, for aggregates that need no single item.
+BY_ORDER = "orders_added_up"
+ORDER_COLUMNS = (
+    "order_id", "order_status", "purchase_year", "purchase_month", "year_month", "item_price",
+    "freight_value", "customer_unique_id", "review_score", "delivery_days", "is_late_delivery",
+)
 
 
 @dataclass(frozen=True)
@@ -82,18 +89,20 @@ def build_silver(
         "order_reviews_deduped": lambda: silver.reviews_latest(raw("order_reviews")),
         "order_payments_agg": lambda: silver.payments_by_order(raw("order_payments")),
     }
+    def enriched(keep, per_order: bool) -> DataFrame:
+        tables = {
+            "payments": "order_payments_agg",
+            "reviews": "order_reviews_deduped",
+            "customers": "dim_customers",
+            "products": "dim_products",
+            "sellers": "dim_sellers",
+        }
+        found = {name: clean(tables[name]) for name in silver.lookups_for(keep)}
+        return silver.enrich_orders(raw("orders"), raw("order_items"), found, keep, per_order)
+
     wide = {
-        "orders_enriched": lambda: silver.enrich_orders(
-            raw("orders"),
-            raw("order_items"),
-            {
-                "payments": clean("order_payments_agg"),
-                "reviews": clean("order_reviews_deduped"),
-                "customers": clean("dim_customers"),
-                "products": clean("dim_products"),
-                "sellers": clean("dim_sellers"),
-            },
-        )
+        "orders_enriched": lambda: enriched(silver.ENRICHED_COLUMNS, False),
+        BY_ORDER: lambda: enriched(ORDER_COLUMNS, True),
     }
     options = {"fmt": fmt, "stamp": True}
     counts = _write_all(spark, lookups, layers.silver, SILVER_COMMENTS, at_once, **options)
@@ -109,12 +118,14 @@ def build_gold(
 ) -> dict[str, int]:
     """``fact_partitions=("year_month",)`` lets month filters skip files."""
     enriched = spark.table(f"{layers.silver}.orders_enriched")
+    by_order = spark.table(f"{layers.silver}.{BY_ORDER}")
+    sellers = spark.table(f"{layers.silver}.dim_sellers")
     fact = {"fact_orders": lambda: gold.fact_orders(enriched)}
     aggregates = {
-        "agg_monthly_revenue": lambda: gold.monthly_revenue(enriched),
-        "agg_seller_performance": lambda: gold.seller_performance(enriched),
+        "agg_monthly_revenue": lambda: gold.monthly_revenue(by_order, silver.ITEMS),
+        "agg_seller_performance": lambda: gold.seller_performance(enriched, sellers),
         "agg_product_category": lambda: gold.product_category(enriched),
-        "agg_delivery_performance": lambda: gold.delivery_performance(enriched),
+        "agg_delivery_performance": lambda: gold.delivery_performance(by_order, silver.ITEMS),
     }
     options = {"fmt": fmt, "stamp": True}
     if not fact_partitions:

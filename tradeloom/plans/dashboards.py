@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.buckets import Bands, ValueGroups
-from tradeloom.functions.measures import ITEMS, exact_sum, item_avg, item_count
+from tradeloom.functions.measures import exact_sum, item_avg, item_count
 from tradeloom.operators.crosstab import kpi_by, monthly_by, share_of_parent, share_within
 
 # Speed bands of the dashboard. Unlike the delivery report the
@@ -110,7 +110,7 @@ _AVERAGES = {
     "avg_review": ("review_score", 2),
     "avg_delivery_days": ("delivery_days", 1),
 }
-# Display order of each table when read.
+# Display order of each table when read.
 SORT_KEYS = {
     "kpi_by_delivery": ("sort_order",),
     "kpi_by_review": ("review_score",),
@@ -158,7 +158,9 @@ def _share_filter(parent: str, child: str, settings: Settings) -> Column:
     return condition
 
 
-def cross_tab(name: str, fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def cross_tab(
+    name: str, fact: DataFrame, settings: Settings = Settings(), weight: str | None = None
+) -> DataFrame:
     """One of ``CROSS_TABS`` computed from the fact table, rows in no order."""
     if name in SHARE_TABLES:
         parent, child = SHARE_TABLES[name]
@@ -167,6 +169,7 @@ def cross_tab(name: str, fact: DataFrame, settings: Settings = Settings()) -> Da
             _axis(parent, settings),
             _axis(child, settings),
             _share_filter(parent, child, settings),
+            weight,
         )
         return _with_band_order(result, settings, "bucket_sort") if child == "delivery" else result
     family, axis = name.split("_by_")
@@ -175,7 +178,7 @@ def cross_tab(name: str, fact: DataFrame, settings: Settings = Settings()) -> Da
         where = where if DIMENSIONS[axis].always else None
         result = monthly_by(fact, _axis(axis, settings), settings.months, where)
         return _with_band_order(result, settings, "bucket_sort") if axis == "delivery" else result
-    averages = [item_avg(fact, *_AVERAGES[a]).alias(a) for a in KPI_TABLES[axis]]
+    averages = [item_avg(*_AVERAGES[a], weight).alias(a) for a in KPI_TABLES[axis]]
     result = kpi_by(fact, _axis(axis, settings), averages, where)
     return _with_band_order(result, settings, "sort_order") if axis == "delivery" else result
 
@@ -188,6 +191,9 @@ def in_display_order(name: str, df: DataFrame) -> DataFrame:
     )
 
 
+CUBE_COUNT = "items"
+
+
 def count_cube(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Item count and revenue per combination of all axes and month.
 
@@ -205,7 +211,7 @@ def count_cube(fact: DataFrame, settings: Settings = Settings()) -> DataFrame:
         settings.categories.contains(F.col("category_english")).alias("_named"),
         F.when(shown_state, F.col("customer_state")).alias("customer_state"),
         "year_month",
-    ).agg(item_count(fact).alias(ITEMS), exact_sum("item_price").alias("item_price"))
+    ).agg(item_count().alias(CUBE_COUNT), exact_sum("item_price").alias("item_price"))
 
 
 def cross_tab_from_cube(name: str, cube: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -222,7 +228,7 @@ def cross_tab_from_cube(name: str, cube: DataFrame, settings: Settings = Setting
         if DIMENSIONS[child].always:
             where = where & present[child]
         parent_name, child_name = DIMENSIONS[parent].name, DIMENSIONS[child].name
-        pairs = cube.where(where).groupBy(parent_name, child_name).agg(F.sum(ITEMS).alias("_n"))
+        pairs = cube.where(where).groupBy(parent_name, child_name).agg(F.sum(CUBE_COUNT).alias("_n"))
         result = share_of_parent(pairs, parent_name, child_name, "_n")
         return _with_band_order(result, settings, "bucket_sort") if child == "delivery" else result
     axis = name.split("_by_")[1]

@@ -17,11 +17,11 @@ def revenue_yoy(monthly: DataFrame) -> DataFrame:
     )
 
 
-def monthly_on_time(enriched: DataFrame) -> DataFrame:
+def monthly_on_time(enriched: DataFrame, weight: str | None = None) -> DataFrame:
     """Late and on-time items and freight per order by purchase month."""
-    on_time = item_count(enriched, _on_time())
-    delivered = item_count(enriched, _delivered())
-    late = item_count(enriched, _delivered() & F.col("is_late_delivery"))
+    on_time = item_count(_on_time(), weight)
+    delivered = item_count(_delivered(), weight)
+    late = item_count(_delivered() & F.col("is_late_delivery"), weight)
     freight = exact_sum("freight_value") / F.countDistinct("order_id")
     return enriched.groupBy(
         F.col("purchase_year").alias("year"), F.col("purchase_month").alias("month"), "year_month"

@@ -17,8 +17,8 @@ from tradeloom.functions.columns import (
     tidy_state,
     volume,
 )
-from tradeloom.functions.measures import ITEMS, exact_sum
-from tradeloom.operators.joins import SPREAD, fk_join, hot_keys_for_joins, with_spread
+from tradeloom.functions.measures import exact_sum
+from tradeloom.operators.joins import SPREAD, fk_join, hot_keys, with_spread
 from tradeloom.operators.ranking import dominant_by, latest_by
 
 # Fixed value: start of validity of a customer without any order.
@@ -70,10 +70,7 @@ def dim_products(products: DataFrame, category_translation: DataFrame) -> DataFr
     A category without translation keeps its own name.
     """
     key = "product_category_name"
-    hot = hot_keys_for_joins(products, {key: category_translation}).get(key)
-    if hot is not None:
-        products = with_spread(products)
-    return fk_join(products, category_translation, key, hot=hot).select(
+    return fk_join(products, category_translation, key).select(
         "product_id",
         key,
         F.coalesce("product_category_name_english", key).alias("category_english"),
@@ -163,6 +160,10 @@ _SINGLE_ITEM_COLUMNS = {
 }
 
 
+# Number of items per row of a frame with one row per order.
+ITEMS = "items"
+
+
 def lookups_for(keep: Collection[str]) -> list[str]:
     """The lookup tables that ``enrich_orders`` needs for these columns."""
     kept = set(keep)
@@ -229,14 +230,15 @@ def enrich_orders(
         sums = [exact_sum(money[c]).alias(c) for c in keep if c in money]
         added_up = order_items.groupBy("order_id").agg(F.count("*").alias(ITEMS), *sums)
         return added_up.join(order_level, "order_id").select(*keep, ITEMS)
-    hot = hot_keys_for_joins(order_items, {**item_lookups, "order_id": order_level})
-    item_level = with_spread(order_items) if hot else order_items
+    item_level = with_spread(order_items)
     for key, table in item_lookups.items():
-        item_level = fk_join(item_level, table, key, hot=hot.get(key))
+        item_level = fk_join(item_level, table, key)
     item_level = item_level.withColumnRenamed("price", "item_price")
     item_columns = [c for c in keep if c in item_level.columns and c != "order_id"]
-    item_level = item_level.select("order_id", *item_columns, *([SPREAD] if hot else []))
-    return fk_join(item_level, order_level, "order_id", "inner", hot.get("order_id")).select(*keep)
+    item_level = item_level.select("order_id", *item_columns, SPREAD)
+    # Orders come partitioned by the joins below, so adaptive execution cannot split them.
+    hot = hot_keys(order_items, "order_id")
+    return fk_join(item_level, order_level, "order_id", "inner", hot).select(*keep)
 
 
 def _order_level(
@@ -249,12 +251,9 @@ def _order_level(
     usable = orders.where(
         F.col("order_id").isNotNull() & F.col("order_purchase_timestamp").isNotNull()
     )
-    hot = hot_keys_for_joins(orders, by_customer)
-    if hot:
-        usable = with_spread(usable)
     # Customers first: the order_id joins that follow share one exchange.
     for key, table in by_customer.items():
-        usable = fk_join(usable, table, key, hot=hot.get(key)).drop(SPREAD)
+        usable = fk_join(usable, table, key)
     for table in by_order:
         usable = usable.join(table, "order_id", "left")
     purchase, delivered, promised = (
