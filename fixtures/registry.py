@@ -18,6 +18,7 @@ from tradeloom.operators.history import apply_changes
 from tradeloom.operators.ranking import top_values
 from tradeloom.plans import dashboards, extras, gold, silver
 from tradeloom.schemas import RAW_SCHEMAS
+from tradeloom.sources import tables
 from tradeloom.sources.csv_files import read_csv, split_bad_rows, with_audit_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,26 +104,26 @@ def _cross_tab(name: str) -> Query:
 
 def _tables(shop: Shop) -> dict[str, DataFrame]:
     """All 35 tables by layer and name."""
-    tables = {f"bronze.{name}": shop.raw(name) for name in VIEWS}
-    tables["silver.dim_customers"] = shop.customers()
-    tables["silver.dim_products"] = shop.products()
-    tables["silver.dim_sellers"] = shop.sellers()
-    tables["silver.order_reviews_deduped"] = shop.reviews()
-    tables["silver.order_payments_agg"] = shop.payments()
+    found = {f"bronze.{name}": shop.raw(name) for name in VIEWS}
+    found["silver.dim_customers"] = shop.customers()
+    found["silver.dim_products"] = shop.products()
+    found["silver.dim_sellers"] = shop.sellers()
+    found["silver.order_reviews_deduped"] = shop.reviews()
+    found["silver.order_payments_agg"] = shop.payments()
     enriched = written(shop.enriched())
-    tables["silver.orders_enriched"] = enriched
-    tables["gold.fact_orders"] = gold.fact_orders(enriched)
-    tables["gold.agg_monthly_revenue"] = gold.monthly_revenue(enriched)
-    tables["gold.agg_seller_performance"] = gold.seller_performance(enriched, shop.sellers())
-    tables["gold.agg_product_category"] = gold.product_category(enriched)
-    tables["gold.agg_delivery_performance"] = gold.delivery_performance(enriched)
+    found["silver.orders_enriched"] = enriched
+    found["gold.fact_orders"] = gold.fact_orders(enriched)
+    found["gold.agg_monthly_revenue"] = gold.monthly_revenue(enriched)
+    found["gold.agg_seller_performance"] = gold.seller_performance(enriched, shop.sellers())
+    found["gold.agg_product_category"] = gold.product_category(enriched)
+    found["gold.agg_delivery_performance"] = gold.delivery_performance(enriched)
     cube = written(dashboards.count_cube(enriched, TEST_SETTINGS))
     for name in dashboards.CROSS_TABS:
         from_cube = name in dashboards.from_cube_tables()
-        tables[f"gold.cross_tab_{name}"] = (
+        found[f"gold.cross_tab_{name}"] = (
             dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS) if from_cube
             else dashboards.cross_tab(name, enriched, TEST_SETTINGS))
-    return tables
+    return found
 
 
 def _layer_counts(shop: Shop) -> DataFrame:
@@ -210,10 +211,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+def _write_csv(df: DataFrame, path: str, **options: str) -> None:
     fmt = "yyyy-MM-dd HH:mm:ss"
     (
-        df.write.option("header", True)
+        df.write.options(header=True, **options)
         .option("timestampFormat", fmt)
         .option("timestampNTZFormat", fmt)
         .csv(path)
@@ -233,6 +234,54 @@ def _csv_ingest_items(shop: Shop) -> DataFrame:
     )
 
 
+def _ingest_tables(shop: Shop) -> DataFrame:
+    """All nine raw tables written as CSV and ingested: rows, rows with both
+    audit columns, and the reviews once more with a line break in each message,
+    read with and without quoted line breaks."""
+    spark, home = shop.spark, scratch_dir(shop.spark)
+    layer = f"ingest_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {layer}")
+    for name in VIEWS:
+        _write_csv(shop.raw(name), f"{home}/{name}")
+    tables.ingest_all(spark, home, {name: f"{name}/" for name in VIEWS}, layer=layer)
+    broken = F.concat(F.lit('"say, '), "review_comment_message", F.lit('",\nsecond line'))
+    reviews = shop.raw("order_reviews").withColumn("review_comment_message", broken)
+    _write_csv(reviews, f"{home}/broken", escape='"')  # quotes are doubled
+    extra = {"reviews_multiline": True, "reviews_by_line": False}
+    for name, multiline in extra.items():
+        tables.ingest(spark, f"{home}/broken", RAW_SCHEMAS["order_reviews"], f"{layer}.{name}",
+                      multiline=multiline)
+    audited = F.count_if(F.col("_ingestion_ts").isNotNull() & F.col("_source_file").isNotNull())
+    counts = [
+        spark.table(f"{layer}.{name}").agg(F.count("*").alias("row_count"), audited.alias("audited"))
+        .select(F.lit(name).alias("table_name"), "row_count", "audited")
+        for name in [*VIEWS, *extra]
+    ]
+    whole = spark.table(f"{layer}.reviews_multiline").where(
+        F.col("review_comment_message").endswith("\nsecond line")
+        & F.col("review_comment_message").startswith('"say, ') & F.col("review_answer_timestamp").isNotNull())
+    counts.append(whole.agg(F.count("*").alias("row_count")).select(
+        F.lit("whole_messages").alias("table_name"), "row_count", F.col("row_count").alias("audited")))
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+def _cross_tabs_from_cube(shop: Shop) -> DataFrame:
+    """The twelve additive cross-tabs from one written cube, as text rows."""
+    fact = shop.enriched(
+        {"delivery_days", "review_score", "category_english", "customer_state", "year_month", "item_price"})
+    cube = written(dashboards.count_cube(fact, TEST_SETTINGS))
+    rows = []
+    for name in dashboards.from_cube_tables():
+        table = dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS)
+        dims = [c for c in table.columns if c not in ("gmv", "order_count", "pct", "bucket_sort")]
+        measure = "gmv" if "gmv" in table.columns else "order_count"
+        rows.append(table.select(
+            F.lit(name).alias("table_name"), F.col(dims[0]).cast("string").alias("first_label"),
+            F.col(dims[1]).cast("string").alias("second_label"),
+            F.col(measure).cast("double").alias("value")))
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 def _bad_rows(shop: Shop) -> DataFrame:
     """Reviews written as CSV with a timestamp in every ninth score field: the
     lines that do not parse in full, with the fields that do."""
@@ -329,6 +378,8 @@ def queries() -> dict[str, Query]:
         "category_photos": _on_shop(
             lambda s: extras.category_photos(
                 s.enriched({"category_english", "product_photos_qty"}))),
+        "ingest_tables": _on_shop(_ingest_tables),
+        "cross_tabs_from_cube": _on_shop(_cross_tabs_from_cube),
         "bad_rows": _on_shop(_bad_rows),
         "report_export": _on_shop(_report_export),
     }
