@@ -61,6 +61,7 @@ def test_similar_classes_equal_all_pairs(spark):
     rows += [(100 + i, t + " the new ending of it", "en", "s", 1) for i, t in enumerate(base[:12])]
     rows += [(200 + i, t, "en", "s", 1) for i, t in enumerate(base[:5])]
     rows += [(300 + i, " ".join(t.split()[:70]), "en", "s", 1) for i, t in enumerate(base[:8])]
+    rows = [(1000 + r[0], *r[1:]) for r in rows]
     docs = spark.createDataFrame(rows + awkward_rows(), SCHEMA)
     members, pairs = spotsigs.similar_classes(docs)
     sets = {r.doc_id: frozenset(r.found) for r in docs.where("doc_id is not null").select(
