@@ -1,8 +1,8 @@
 """License detection by ordered signature rules, in DataFrame functions only.
 
-Texts become lower-case words with single spaces. A keyword anywhere in the raw
-text lets a document into the scan, each rule is tried only where its own
-keyword occurs, and overlapping detections are settled by position: one that
+A keyword anywhere in the raw text lets a document into the scan. Its text then
+becomes lower-case words with single spaces, each rule is tried only where its
+own keyword occurs, and overlapping detections are settled by position: one that
 lies inside another of the same or a stronger form is dropped.
 """
 
@@ -125,7 +125,7 @@ STATEMENTS = (
     ("zlib", "warranty", 2, 0.8, r"provided as is without any express or implied warranty"),
     ("public-domain", "domain", 2, 0.8, r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", "domain", 3, 0.6, r"this (?:work|text|document) is (?:in|part of) the public domain"),
-    ("unlicense", "unencumbered", 2, 0.9, r"free and unencumbered software released into the public domain"),
+    ("unlicense", "domain", 2, 0.9, r"free and unencumbered software released into the public domain"),
 )
 
 
@@ -143,11 +143,19 @@ def rules() -> tuple[tuple[str, str, int, float, str], ...]:
     return tuple(dict.fromkeys(out))
 
 
-def _keyword_gate() -> str:
-    """Matches raw texts with any keyword; short ones only as whole words."""
-    words = sorted({r[1] for r in rules()} | {"licen", "apache", "cc"})
-    short = [rf"(?<!{_WORD}){w}(?!{_WORD})" for w in words if len(w) < 4]
-    return "(?i)(?:" + "|".join([w for w in words if len(w) >= 4] + short) + ")"
+# Keywords that open a document by themselves. The others are ordinary words or
+# names and count only in documents that speak of a license.
+_OPENING = ("spdx", "apache", "commons", "wtfpl", "reserved", "permission", "redistribution",
+            "warranty", "domain", "proprietary", "licen")
+_CC = rf"(?i)(?<!{_WORD})cc0?(?!{_WORD})"
+
+
+def _speaks(text: Column) -> Column:
+    """Does a raw text have a keyword? Plain searches, as every text takes them."""
+    gate = F.contains(text, F.lit(_OPENING[0]))
+    for word in _OPENING[1:]:
+        gate = gate | F.contains(text, F.lit(word))
+    return gate | (F.contains(text, F.lit("cc")) & F.regexp_like(text, F.lit(_CC)))
 
 
 def _bounded(regex: str) -> str:
@@ -184,10 +192,12 @@ def detections(words: Column) -> Column:
     without those that lie inside one of the same or a stronger form."""
     table = F.array(*[
         F.struct(F.lit(a).alias("label"), F.lit(b).alias("keyword"), F.lit(c).alias("strength"),
-                 F.lit(d).alias("confidence"), F.lit(_bounded(e)).alias("regex"))
+                 F.lit(d).alias("confidence"), F.lit(_bounded(e)).alias("regex"),
+                 F.lit(b in (*_OPENING, "cc", "cc0")).alias("opens"))
         for a, b, c, d, e in rules()
     ])
-    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]))
+    licensed = F.contains(words, F.lit("licen"))
+    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]) & (r["opens"] | licensed))
     found = F.flatten(F.transform(gated, lambda r: F.transform(
         _places(words, r["regex"]), lambda p: F.struct(
             p["first"].alias("first"), (-p["stop"]).alias("back"), r["strength"].alias("strength"),
@@ -243,8 +253,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def both(words: Column) -> Column:
         return F.struct(base(words).alias("base"), detections(words).alias("more"))
 
-    gate = F.regexp_like(text, F.lit(_keyword_gate()))
-    found = F.when(gate, let(normalised(text), both)).otherwise(
+    found = F.when(let(F.lower(text), _speaks), let(normalised(text), both)).otherwise(
         F.struct(F.array().cast(place).alias("base"), none.alias("more")))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
