@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.shared import WORDS
+from tradeloom.llm.shared import WORDS, written
 
 BUDGET = 512
 HISTORY_TURNS = 2
@@ -102,7 +102,7 @@ def windows(conversations: DataFrame) -> DataFrame:
     first as a turn, counts as empty as a role or text, and is a conversation
     of its own as conv_id. Equal rows are equal turns.
     """
-    turns = _placed(conversations)
+    turns = written(_placed(conversations))  # read by four branches below
     block = F.concat(F.lit(OPEN), escaped(F.col("role"), _ROLE_ENTITIES), F.lit("\n"),
                      escaped(F.col("text")), F.lit(CLOSE))
     blocks = turns.select(
