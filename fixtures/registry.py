@@ -355,12 +355,13 @@ def queries() -> dict[str, Query]:
         "payments_dominant": _on_shop(Shop.payments),
         "orders_enriched": _on_shop(Shop.enriched),
         "fact_orders": _on_shop(lambda s: gold.fact_orders(s.enriched(gold.FACT_COLUMNS))),
-        "seller_performance": _on_shop(lambda s: gold.seller_performance(s.enriched(_SELLER), s.sellers())),
+        "seller_performance": _on_shop(lambda s: gold.seller_performance(
+            written(s.enriched(_SELLER)), s.sellers())),
         "product_category": _on_shop(lambda s: gold.product_category(s.enriched(_CATEGORY))),
         "delivery_performance": _on_shop(
             lambda s: gold.delivery_performance(s.by_order(_DELIVERY), silver.ITEMS)),
         **{name: _cross_tab(name) for name in dashboards.CROSS_TABS},
-        "silver_profile": _on_shop(lambda s: quality.delivered_profile(s.enriched(_PROFILE))),
+        "silver_profile": _on_shop(lambda s: quality.delivered_profile(written(s.enriched(_PROFILE)))),
         "gold_kpis": _on_shop(lambda s: quality.fact_kpis(s.by_order(_KPIS), silver.ITEMS)),
         "layer_counts": _on_shop(_layer_counts),
         "reconcile_counts": _on_shop(_reconcile_counts),
