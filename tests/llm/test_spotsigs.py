@@ -14,6 +14,7 @@ def parts(fingerprint):
 @pytest.mark.parametrize("bucket_bytes", [300, spotsigs.BUCKET_BYTES])
 def test_edited_texts_and_likeness(spark, monkeypatch, bucket_bytes):
     monkeypatch.setattr(spotsigs, "BUCKET_BYTES", bucket_bytes)
+    monkeypatch.setattr(spotsigs, "BROADCAST_BUCKETS", 0 if bucket_bytes == 300 else 250_000)
     docs = with_clashes(awkward(spark), "bucket", "ghost", "next_text", "fingerprint", "n")
     rows = {}
     for r in spotsigs.fingerprints(docs).collect():

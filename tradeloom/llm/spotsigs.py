@@ -21,6 +21,8 @@ REACH = 10
 SIMILAR = 0.8
 BUCKET_BYTES = 8 << 20
 _QUANTILES = 100
+# Buckets whose first ids (16 bytes each) may be broadcast; with more they are joined by shuffle.
+BROADCAST_BUCKETS = 250_000
 # The commonest words of English, German, French and Spanish.
 ANCHORS = tuple("""
     the of and to in a is that it was for on are as with his they at be this from or one had by
@@ -61,8 +63,9 @@ def jaccard(one: Column, other: Column) -> Column:
         F.size(one) + F.size(other) - both))
 
 
-def _in_order(docs: DataFrame) -> DataFrame:
-    """Documents with ``bucket``, which grows with doc_id; -1 without one.
+def _in_order(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Documents with ``bucket``, which grows with doc_id, -1 without one, and
+    the greatest number of buckets.
 
     Quantiles of the ids bound a hundred ranges, each of which is cut evenly.
     """
@@ -71,7 +74,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     low, high, found = docs.agg(
         F.min("doc_id"), F.max("doc_id"), F.percentile_approx("doc_id", shares, 10_000)).first()
     if low is None:
-        return docs.withColumn("bucket", F.lit(-1).cast("long"))
+        return docs.withColumn("bucket", F.lit(-1).cast("long")), 1
     bounds = sorted({*found, high})
     lows = [low, *[b + 1 for b in bounds[:-1]]]
     steps = [(b - a) // cuts + 1 for a, b in zip(lows, bounds)]
@@ -79,8 +82,9 @@ def _in_order(docs: DataFrame) -> DataFrame:
     which = F.size(F.filter(table[0], lambda b: b < F.col("doc_id")))
     bucket = let(which, lambda k: (k * cuts + F.floor(
         (F.col("doc_id") - F.get(table[1], k)) / F.get(table[2], k))).cast("long"))
-    return docs.withColumn(
+    bucketed = docs.withColumn(
         "bucket", F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(bucket))
+    return bucketed, 1 + len(bounds) * cuts
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -93,14 +97,16 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     named = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = _in_order(named)
+    rows, buckets = _in_order(named)
     first = rows.groupBy("bucket").agg(F.max("doc_id").alias("first"))
     # One row per bucket from here on.
     before = Window.orderBy(F.col("bucket").desc())
     linked = first.select(
         F.col("bucket").alias("of"), F.coalesce(F.lag("bucket").over(before), F.min(
             "bucket").over(Window.partitionBy())).alias("to"))
-    heads = rows.join(first.withColumnRenamed("bucket", "of"), (F.col("bucket") == F.col("of"))
+    firsts = first.withColumnRenamed("bucket", "of")
+    firsts = F.broadcast(firsts) if buckets <= BROADCAST_BUCKETS else firsts
+    heads = rows.join(firsts, (F.col("bucket") == F.col("of"))
                       & F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("of").agg(
         F.min("text").alias("text"), F.first("doc_id").alias("doc_id"))
     ghosts = heads.join(linked, "of").select(
