@@ -72,5 +72,24 @@ def test_keyword_gate(spark):
     assert all(r.wanted == r.got for r in found), found
 
 
+def gated_and_not(spark, texts):
+    """Detections by the query, and by every rule on every text."""
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], SCHEMA)
+    one = {r.doc_id: r.detections for r in licenses.scan(docs).collect()}
+    words = licenses.normalised(F.col("text"))
+    other = docs.select("doc_id", licenses.detections(words, by_keyword=False).alias("d")).collect()
+    return [one[k] for k in range(len(texts))], [r.d for r in sorted(other)]
+
+
+def test_keywords_count_without_a_word_for_license(spark):
+    texts = ["released under the 3-clause BSD", "Distributed under BSD-2-Clause.", "available under the Mozilla Public",
+             "published under the Artistic", "the GNU General Public, version x", "see the Mozilla Public",
+             "used under zlib/libpng", "covered under OpenSSL", "a general in public", "no such thing"]
+    gated, every = gated_and_not(spark, texts)
+    assert gated == every
+    assert [d[0].label if d else None for d in gated] == [
+        "bsd-3-clause", "bsd-2-clause", "mpl", "artistic", "gpl", "mpl", "zlib", "openssl", None, None]
+
+
 def test_empty(spark):
     assert licenses.labels(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -143,19 +143,20 @@ def rules() -> tuple[tuple[str, str, int, float, str], ...]:
     return tuple(dict.fromkeys(out))
 
 
-# Keywords that open a document by themselves. The others are ordinary words or
-# names and count only in documents that speak of a license.
-_OPENING = ("spdx", "apache", "commons", "wtfpl", "reserved", "permission", "redistribution",
-            "warranty", "domain", "proprietary", "licen")
+# Each rule's regex needs one of: a keyword of these, "general" with "public", the word cc or cc0, or a grant.
+_OPENING = ("spdx", "apache", "commons", "mozilla", "gpl", "wtfpl", "fuck", "reserved", "permission",
+            "redistribution", "warranty", "domain", "proprietary", "licen")
 _CC = rf"(?i)(?<!{_WORD})cc0?(?!{_WORD})"
 
 
 def _speaks(text: Column) -> Column:
-    """Does a raw text have a keyword? Plain searches, as every text takes them."""
+    """May a lower-case raw text match a rule? Plain searches, as every text takes them."""
     gate = F.contains(text, F.lit(_OPENING[0]))
     for word in _OPENING[1:]:
         gate = gate | F.contains(text, F.lit(word))
-    return gate | (F.contains(text, F.lit("cc")) & F.regexp_like(text, F.lit(_CC)))
+    gate = gate | (F.contains(text, F.lit("general")) & F.contains(text, F.lit("public")))
+    gate = gate | (F.contains(text, F.lit("cc")) & F.regexp_like(text, F.lit(_CC)))
+    return gate | (F.contains(text, F.lit("under")) & F.regexp_like(text, F.lit(f"{_GRANT}{_BETWEEN}under")))
 
 
 def _bounded(regex: str) -> str:
@@ -187,17 +188,15 @@ def _places(words: Column, regex: Column) -> Column:
 _DETECTION = "label:string,strength:int,confidence:double,first:int,stop:int"
 
 
-def detections(words: Column) -> Column:
+def detections(words: Column, by_keyword: bool = True) -> Column:
     """All rule matches of normalised words, strongest form first within a place,
     without those that lie inside one of the same or a stronger form."""
     table = F.array(*[
         F.struct(F.lit(a).alias("label"), F.lit(b).alias("keyword"), F.lit(c).alias("strength"),
-                 F.lit(d).alias("confidence"), F.lit(_bounded(e)).alias("regex"),
-                 F.lit(b in (*_OPENING, "cc", "cc0")).alias("opens"))
+                 F.lit(d).alias("confidence"), F.lit(_bounded(e)).alias("regex"))
         for a, b, c, d, e in rules()
     ])
-    licensed = F.contains(words, F.lit("licen"))
-    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]) & (r["opens"] | licensed))
+    gated = F.filter(table, lambda r: F.contains(words, r["keyword"])) if by_keyword else table
     found = F.flatten(F.transform(gated, lambda r: F.transform(
         _places(words, r["regex"]), lambda p: F.struct(
             p["first"].alias("first"), (-p["stop"]).alias("back"), r["strength"].alias("strength"),
