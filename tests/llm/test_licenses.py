@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -91,5 +92,44 @@ def test_keywords_count_without_a_word_for_license(spark):
         "bsd-3-clause", "bsd-2-clause", "mpl", "artistic", "gpl", "mpl", "zlib", "openssl", None, None]
 
 
+def spelled(pick, parsed):
+    """A random string that a parsed regex matches."""
+    out = ""
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            out += chr(pick.choice([x for kind, x in arg if str(kind) == "LITERAL"] or [arg[0][1][0]]))
+        elif op == "BRANCH":
+            out += spelled(pick, pick.choice(arg[1]))
+        elif op == "SUBPATTERN":
+            out += spelled(pick, arg[-1])
+        else:
+            assert op == "MAX_REPEAT"
+            out += "".join(spelled(pick, arg[2]) for _ in range(pick.randint(arg[0], arg[1])))
+    return out
+
+
+def test_every_spelling_of_a_rule_has_its_keyword(spark):
+    pick = random.Random(1)
+    texts = []
+    for _, keyword, _, _, regex in licenses.rules():
+        for _ in range(40):
+            texts.append(spelled(pick, re._parser.parse(regex)))
+            assert re.fullmatch(regex, texts[-1]) and keyword in texts[-1], (regex, texts[-1])
+    frame = spark.createDataFrame([(t,) for t in sorted(set(texts))], "t string")
+    assert frame.where(~licenses._speaks(F.col("t"))).collect() == []
+
+
+def test_keyword_gate_loses_nothing(spark):
+    texts = ["licensed under the GNU GPL version 3", "GNU GPL v2", "Creative Commons Zero license", "released under MIT",
+             "the Do What The Fuck You Want To Public License", "GNU Library General Public License v2",
+             "GNU Library General Public License", *TEXTS.values()]
+    gated, every = gated_and_not(spark, texts)
+    assert gated == every
+    assert [d[0].label for d in gated[:7]] == ["gpl-3", "gpl-2", "cc0", "mit", "wtfpl", "lgpl-2", "lgpl"]
+
+
 def test_empty(spark):
     assert licenses.labels(spark.createDataFrame([], SCHEMA)).collect() == []

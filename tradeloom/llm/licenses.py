@@ -24,7 +24,8 @@ BASE = {
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-# (label, keyword, name as it is written out, SPDX identifier), over words with single spaces.
+# (label, keyword, name as it is written out, SPDX identifier), over words with single spaces. Each spelling
+# of a name holds the keyword; "licen" stands for a name without one.
 _V = r"(?: v| version)? ?"
 NAMES = (
     ("mit", "licen", r"(?:mit|expat|mit x11|x11)", r"mit"),
@@ -38,15 +39,15 @@ NAMES = (
     ("bsd-0-clause", "bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)", r"0bsd"),
     ("bsd", "bsd", r"bsd(?: style)?", r"bsd"),
     ("isc", "licen", r"(?:isc|internet systems consortium)", r"isc"),
-    ("gpl-1", "general", rf"gnu (?:general public|gpl)(?: licen[sc]e)?{_V}1(?: 0)?", r"gpl 1 0(?: only| or later)?"),
-    ("gpl-2", "general", rf"gnu (?:general public|gpl)(?: licen[sc]e)?{_V}2(?: 0)?", r"gpl 2 0(?: only)?"),
-    ("gpl-2-or-later", "general", rf"gnu general public licen[sc]e{_V}2(?: 0)? or (?:any )?later", r"gpl 2 0 or later"),
-    ("gpl-3", "general", rf"gnu (?:general public|gpl)(?: licen[sc]e)?{_V}3(?: 0)?", r"gpl 3 0(?: only)?"),
-    ("gpl-3-or-later", "general", rf"gnu general public licen[sc]e{_V}3(?: 0)? or (?:any )?later", r"gpl 3 0 or later"),
+    ("gpl-1", "gnu", rf"gnu (?:general public|gpl)(?: licen[sc]e)?{_V}1(?: 0)?", r"gpl 1 0(?: only| or later)?"),
+    ("gpl-2", "gnu", rf"gnu (?:general public|gpl)(?: licen[sc]e)?{_V}2(?: 0)?", r"gpl 2 0(?: only)?"),
+    ("gpl-2-or-later", "gnu", rf"gnu general public licen[sc]e{_V}2(?: 0)? or (?:any )?later", r"gpl 2 0 or later"),
+    ("gpl-3", "gnu", rf"gnu (?:general public|gpl)(?: licen[sc]e)?{_V}3(?: 0)?", r"gpl 3 0(?: only)?"),
+    ("gpl-3-or-later", "gnu", rf"gnu general public licen[sc]e{_V}3(?: 0)? or (?:any )?later", r"gpl 3 0 or later"),
     ("gpl", "general", r"(?:gnu )?general public", r"gpl"),
-    ("lgpl-2", "lesser", rf"(?:gnu )?(?:lesser|library) general public licen[sc]e{_V}2(?: [01])?", r"lgpl 2 [01](?: only| or later)?"),
+    ("lgpl-2", "general", rf"(?:gnu )?(?:lesser|library) general public licen[sc]e{_V}2(?: [01])?", r"lgpl 2 [01](?: only| or later)?"),
     ("lgpl-3", "lesser", rf"(?:gnu )?lesser general public licen[sc]e{_V}3(?: 0)?", r"lgpl 3 0(?: only| or later)?"),
-    ("lgpl", "lesser", r"(?:gnu )?lesser general public", r"lgpl"),
+    ("lgpl", "general", r"(?:gnu )?(?:lesser|library) general public", r"lgpl"),
     ("agpl-3", "affero", rf"(?:gnu )?affero general public licen[sc]e{_V}3(?: 0)?", r"agpl 3 0(?: only| or later)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public", r"agpl"),
     ("gfdl", "documentation", r"(?:gnu )?free documentation", r"gfdl 1 [123](?: only| or later)?"),
@@ -78,7 +79,8 @@ NAMES = (
     ("ncsa", "licen", r"(?:university of illinois ncsa|ncsa)(?: open source)?", r"ncsa"),
     ("postgresql", "licen", r"postgresql", r"postgresql"),
     ("unlicense", "unlicen", r"unlicense", r"unlicense"),
-    ("wtfpl", "wtfpl", r"(?:do what the fuck you want to public|wtfpl)", r"wtfpl"),
+    ("wtfpl", "fuck", r"do what the fuck you want to public", r"wtfpl"),
+    ("wtfpl", "wtfpl", r"wtfpl", r"wtfpl"),
     ("odbl", "licen", r"open (?:data commons open )?database", r"odbl 1 0"),
     ("pddl", "licen", r"(?:open data commons )?public domain dedication", r"pddl 1 0"),
     ("ofl", "licen", r"(?:sil )?open font", r"ofl 1 [01]"),
@@ -86,7 +88,8 @@ NAMES = (
     ("ms-rl", "licen", r"microsoft reciprocal", r"ms rl"),
     ("ecl-2", "licen", r"educational community", r"ecl 2 0"),
     ("openrail", "licen", r"(?:creativeml open rail m|openrail(?: m)?|open rail m)", r"openrail"),
-    ("cc0", "cc0", r"(?:cc0(?: 1 0)?(?: universal)?|creative commons zero)", r"cc0 1 0"),
+    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?", r"cc0 1 0"),
+    ("cc0", "commons", r"creative commons zero", r"cc0 1 0"),
     ("cc-by", "cc", r"cc by(?: [1-4] [05])?", r"cc by [1-4] [05]"),
     ("cc-by-sa", "cc", r"cc by sa(?: [1-4] [05])?", r"cc by sa [1-4] [05]"),
     ("cc-by-nd", "cc", r"cc by nd(?: [1-4] [05])?", r"cc by nd [1-4] [05]"),
@@ -109,7 +112,7 @@ FORMS = (
     (3, 0.8, r"(?:the )?{name} licen[sc]e"),
     (3, 0.6, r"(?:the )?{name}"),
 )
-_ALONE = ("general", "lesser", "affero", "mozilla", "cc", "commons", "cc0", "wtfpl", "unlicen")
+_ALONE = ("general", "lesser", "affero", "mozilla", "cc", "commons", "cc0", "wtfpl", "fuck", "gnu", "unlicen")
 # Names of these keywords end in a version or "license" of their own.
 _WHOLE = ("apache",)
 _TIERS = 3
@@ -139,6 +142,8 @@ def rules() -> tuple[tuple[str, str, int, float, str], ...]:
                 continue
             # An identifier stands for its license wherever it follows the tag.
             gate = "spdx" if "{spdx}" in form else keyword
+            # A grant need not say "license".
+            gate = "under" if gate == "licen" and not form.endswith(" licen[sc]e") else gate
             out.append((label, gate, strength, confidence, form.format(name=name, spdx=spdx)))
     return tuple(dict.fromkeys(out))
 
