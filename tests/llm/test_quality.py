@@ -112,6 +112,24 @@ def test_thresholds_by_language(spark, monkeypatch):
         assert all(r.keep == (r.perplexity <= wanted) for r in judged if r.lang == lang)
 
 
+def test_rare_languages_have_thresholds_of_their_own(spark):
+    """Each trusted document of a rare language counts, under a model without its fold."""
+    rows = corpus(spark, 60)
+    rows += [(3000 + i, f"qx{i}zj wk{i * 7}vq " * 20, "xx", "s", 1) for i in range(8)]
+    rows += [(4000 + i, f"yy{i} " * 30, "yy", "s", 1) for i in range(3)]
+    marks = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] < 2000 or 3000 <= r[0] < 4000], LABELS)
+    judged = {r.doc_id: r for r in quality.scores(spark.createDataFrame(rows, SCHEMA), marks).collect()}
+    folds = {r.doc_id: r.fold for r in quality.trusted_ids(marks).collect()}
+    texts = {r[0]: r[1].encode() for r in rows}
+    models = [PlainModel([texts[i] for i, f in folds.items() if f != k], quality.ORDER) for k in range(quality.FOLDS)]
+    for lang in ("en", "de", "xx"):
+        wanted = max(models[f].perplexity(texts[i]) for i, f in folds.items() if judged[i].lang == lang)
+        assert all(r.threshold == pytest.approx(wanted, rel=1e-9) for r in judged.values() if r.lang == lang)
+    assert all(judged[3000 + i].keep for i in range(8))
+    own = max(r.perplexity for r in judged.values() if r.lang == "yy")
+    assert {r.threshold for r in judged.values() if r.lang == "yy"} == {own}
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert quality.scores(none, spark.createDataFrame([(1, 1, 0)], LABELS)).collect() == []

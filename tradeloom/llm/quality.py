@@ -3,7 +3,10 @@
 The model is an interpolated modified Kneser-Ney model over bytes. Its counts
 come from every trusted document (labelled good and not toxic) but one fold in
 five, which is held out to set the thresholds: per language a quantile of the
-perplexity of held-out trusted documents.
+perplexity of held-out trusted documents. A language with few of those takes all
+its trusted documents, each scored by a model of the other folds; one without
+trusted documents takes all its documents. Only rows without a language take the
+quantile over all languages.
 
 Documents are dealt into groups of a few MB. A group sends its distinct n-grams
 with their trusted counts; counts are summed, turned into probabilities and
@@ -28,7 +31,7 @@ ORDER = 4
 SYMBOLS = 256
 # Quantile of held-out trusted documents above which a document is rejected.
 QUANTILE = 0.995
-# Languages with fewer held-out trusted documents take the quantile over all of them.
+# Languages with fewer held-out trusted documents take all their trusted ones, cross-fitted.
 LEAST = 100
 FOLDS = 5
 GROUP_BYTES = 16 << 20
@@ -36,14 +39,14 @@ _CHUNK = 1 << 20
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """(doc_id, trains): documents that every label row calls good and none
+    """(doc_id, trains, fold): documents that every label row calls good and none
     toxic; one fold in five is held out (``trains`` false)."""
     votes = labels.where("doc_id is not null").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min(F.coalesce("quality", F.lit(0))).alias("good"),
         F.max(F.coalesce("toxic", F.lit(0))).alias("bad"))
-    trains = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) > 0
-    return votes.where("good = 1 and bad = 0").select("doc_id", trains.alias("trains"))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
+    return votes.where("good = 1 and bad = 0").select("doc_id", (fold > 0).alias("trains"), fold.alias("fold"))
 
 
 class _Group:
@@ -91,6 +94,19 @@ def _request(table: pa.Table, labels: pa.Table) -> pa.Table:
     })
 
 
+def _fold_request(table: pa.Table, ids: pa.Table) -> pa.Table:
+    """N-grams of a group's trusted texts with their counts by fold."""
+    folds = dict(zip(ids.column("doc_id").to_pylist(), ids.column("fold").to_pylist()))
+    mine = np.array([folds.get(d, -1) for d in table.column("doc_id").to_pylist()], dtype=np.int32)
+    out = [pa.table({"fold": pa.array([], pa.int32()), "gram": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})]
+    for fold in np.unique(mine[mine >= 0]):
+        part = table.filter(pa.array(mine == fold))
+        every = pa.table({"doc_id": part.column("doc_id"), "trains": pa.array(np.ones(len(part), dtype=bool))})
+        found = _request(part, every)
+        out.append(found.set_column(0, "fold", pa.array(np.full(len(found), fold, dtype=np.int32))))
+    return pa.concat_tables(out)
+
+
 def _score(table: pa.Table, known: pa.Table) -> pa.Table:
     group = _Group(table)
     grams, logs = known.column("gram").to_numpy(), known.column("log_p").to_numpy()
@@ -200,13 +216,48 @@ def perplexities(
         _score, f"doc_id long, carried {kept}, n_bytes long, perplexity double")
 
 
+def cross_fitted(docs: DataFrame, labels: DataFrame, langs: DataFrame, lang: str) -> DataFrame:
+    """(lang, perplexity) of the trusted documents of ``langs`` outside fold 0,
+    each under the model of the trusted documents of all folds but its own."""
+    ids = trusted_ids(labels)
+    groups = text_groups(docs, GROUP_BYTES)
+    deal = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int").alias("g")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(lang).alias("lang"))
+    dealt = named.where("doc_id is not null").select("doc_id", "text", deal("doc_id"))
+    counts = written(dealt.groupBy("g").cogroup(ids.select("doc_id", "fold", deal("doc_id")).groupBy("g")).applyInArrow(
+        _fold_request, "fold int, gram long, n long").groupBy("fold", "gram").agg(F.sum("n").alias("c")))
+    rare = written(named.join(langs, "lang", "left_semi").join(ids.select("doc_id", "fold"), "doc_id").select(
+        "doc_id", "text", F.struct("lang").alias("carried"), deal("doc_id"), "fold"))
+    out = None
+    for fold in range(1, FOLDS):
+        part = rare.where(F.col("fold") == fold).drop("fold")
+        if part.isEmpty():
+            continue
+        others = counts.where((F.col("fold") != fold) & (F.col("c") > 0))
+        model = kneser_ney(written(others.groupBy("gram").agg(F.sum("c").alias("c"))))
+        none = ids.where("false").select("doc_id", "trains", deal("doc_id"))
+        requests = written(part.groupBy("g").cogroup(none.groupBy("g")).applyInArrow(
+            _request, "g int, gram long, n long"))
+        known = requests.select("g", "gram").join(
+            log_probabilities(requests.select("gram").distinct(), model), "gram")
+        kept = part.schema["carried"].dataType.simpleString()
+        found = written(part.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(
+            _score, f"doc_id long, carried {kept}, n_bytes long, perplexity double"))
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return langs.select("lang", F.lit(None).cast("double").alias("perplexity")).where("false")
+    return out.select("carried.lang", "perplexity")
+
+
 def judged(
     docs: DataFrame, labels: DataFrame, carry: list[str] | tuple[str, ...] = (),
     quantile: float = QUANTILE,
 ) -> DataFrame:
     """(doc_id, lang, n_bytes, perplexity, threshold, keep, carried) per document.
 
-    A document is kept if its perplexity is at most its language's threshold.
+    A document is kept if its perplexity is at most its language's threshold,
+    which comes from that language alone at any number of documents; rows
+    without a language take the quantile over all held-out trusted documents.
     Documents without text are rejected. Without any trusted text nothing is
     known and every document with text is kept. Rows without doc_id are scored
     but never trained on; repeated rows come back repeated.
@@ -214,12 +265,19 @@ def judged(
     lang = next(c for c in docs.columns if c.lower() == "lang")
     columns = list(dict.fromkeys([*carry, lang]))
     scored = written(perplexities(docs, labels, columns)).withColumn("lang", F.col("carried")[lang])
-    held = scored.join(trusted_ids(labels).where("not trains").select("doc_id"), "doc_id").where(
-        "perplexity is not null")
+    trusted = written(scored.join(trusted_ids(labels).select("doc_id", "trains"), "doc_id").where(
+        "perplexity is not null").select("lang", "trains", "perplexity"))
+    held = trusted.where("not trains").select("lang", "perplexity")
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000))
     pooled = held.agg(limit.alias("pooled")).first()[0]
-    by_lang = held.groupBy(F.col("lang").alias("_lang")).agg(
-        limit.alias("_limit"), F.count("*").alias("_n")).where(F.col("_n") >= LEAST)
+    counts = written(trusted.where("lang is not null").groupBy("lang").agg(F.count_if(~F.col("trains")).alias("n")))
+    rare = counts.where(F.col("n") < LEAST).select("lang")
+    if not rare.isEmpty():
+        held = held.unionByName(cross_fitted(docs, labels, rare, lang).where("perplexity is not null"))
+    if not counts.isEmpty():
+        held = held.unionByName(scored.where("perplexity is not null").select("lang", "perplexity").join(
+            counts, "lang", "left_anti").where("lang is not null"))
+    by_lang = written(held.groupBy(F.col("lang").alias("_lang")).agg(limit.alias("_limit")))
     threshold = F.coalesce(F.col("_limit"), F.lit(pooled).cast("double"))
     judged_ = scored.join(by_lang, F.col("lang") == F.col("_lang"), "left").withColumn(
         "threshold", threshold)
