@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import (
     chat, decontamination, language, licenses, packing, quality, sharding, simhash, spotsigs, substrings,
+    wavelet,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op9_licenses": lambda spark, sf: licenses.labels(_documents(spark, sf)),
         "op10_quality": lambda spark, sf: quality.scores(
             _documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")),
+        "op12_wavelet": lambda spark, sf: wavelet.token_files(_documents(spark, sf)),
     }
 
 
