@@ -1,0 +1,55 @@
+import random
+
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tradeloom.llm import tokens
+
+PIECES = [" ", "  ", "\n", " \n", "\n ", "\t", "a", "the", "don't", "x1", "42", "é", "日本", ".", "!!", " ", "　",
+          "<|endoftext|>", "Straße", "'s", "\r\n", "🙂", "\x1c", "\x85", "\x00", "word" * 30]
+
+
+def lists(encoded):
+    ids, bounds = encoded
+    return [ids[a:b].tolist() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+
+
+@pytest.mark.parametrize("special_text", [False, True])
+@pytest.mark.parametrize("lead", [False, True])
+def test_equals_the_library(special_text, lead):
+    pick = random.Random(1)
+    texts = ["".join(pick.choice(PIECES) for _ in range(pick.randrange(12))) for _ in range(5000)]
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    library.encode_special_tokens = special_text
+    own, found = tokens.Tokens(special_text=special_text, lead=lead), []
+    for i in range(0, len(texts), 700):
+        found += lists(own.encode(pa.array(texts[i : i + 700])))
+    wanted = library.encode_batch([" " * lead + t for t in texts], add_special_tokens=False)
+    assert found == [e.ids for e in wanted]
+
+
+def test_long_runs_nulls_and_none():
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    own = tokens.tokens_of()
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" * 500_000, None, "", "plain words"]
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert lists(own.encode(pa.array(texts))) == wanted
+    assert lists(own.encode(pa.array([], pa.string()))) == []
+    assert lists(own.encode(pa.array([None], pa.string()))) == [[]]
+
+
+def test_memory_starts_anew(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    own = tokens.Tokens()
+    texts = pa.array([f"w{i} x{i % 7}" for i in range(300)])
+    parts = [lists(own.encode(texts.slice(i, 20))) for i in range(0, 300, 20)]
+    assert [x for p in parts for x in p] == lists(tokens.Tokens().encode(texts))
+
+
+def test_slices():
+    texts = pa.array(["a" * n for n in (5, 5, 30, 1, 1, 0)] + [None])
+    cut = tokens.slices(texts, 10)
+    assert cut[0][0] == 0 and cut[-1][1] == 7 and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
+    assert tokens.slices(pa.array([], pa.string()), 10) == []

@@ -2,33 +2,92 @@
 
 A byte-level tokenizer never joins a space with what stands before it, unless the
 space lies inside a run of white space. Texts without such runs are put together
-from chunks, a space and the word after it, so that a word met again costs a
-lookup. All other texts go to the library whole.
+from the ids of their words, each with the space before it, so that a word met
+again costs a lookup. All other texts go to the library whole.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words remembered by one worker; beyond it they are forgotten and learned anew.
+#: Words and ids that one worker remembers; beyond either it starts anew.
 REMEMBERED = 600_000
+REMEMBERED_IDS = 8_000_000
 _JOINED = 200
-# A space inside a run of white space, or at the end of one that ends the text.
-_RUN = re.compile(r"(?<=\s) (?:\s|\Z)")
+# Unicode white space, and what Python counts as such.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# A space inside a run of white space, or after white space at the end of the text.
+_RUN = f"{_SPACE} (?:{_SPACE}|\\z)"
+
+Encoded = tuple[np.ndarray, np.ndarray]  # all ids, and where each text's or word's ids begin and end
+
+
+def bounds_of(sizes: Sequence[int] | np.ndarray) -> np.ndarray:
+    return np.r_[0, np.cumsum(np.asarray(sizes, dtype=np.int64))]
+
+
+def together(parts: Sequence[Sequence[int] | np.ndarray]) -> Encoded:
+    flat = [np.asarray(p, dtype=np.uint32) for p in parts]
+    return np.concatenate([np.empty(0, np.uint32), *flat]), bounds_of([len(p) for p in flat])
+
+
+class Memory:
+    """Ids of words, learned once by ``encode``, which takes new words to their ids."""
+
+    def __init__(self, encode: Callable[[list[str]], Encoded]):
+        self.encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def look(self, words: list[str]) -> np.ndarray:
+        """Number of each of the distinct ``words``."""
+        if len(self.number) > REMEMBERED or len(self.ids) > REMEMBERED_IDS:
+            self._forget()
+        new = [w for w in words if w not in self.number]
+        if new:
+            ids, bounds = self.encode(new)
+            self.number.update(zip(new, range(len(self.bounds) - 1, len(self.bounds) - 1 + len(new))))
+            self.bounds = np.concatenate([self.bounds, bounds[1:] + len(self.ids)])
+            self.ids = np.concatenate([self.ids, ids])
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def expand(self, numbers: np.ndarray) -> Encoded:
+        """Ids of a row of words."""
+        starts = self.bounds[numbers]
+        sizes = self.bounds[numbers + 1] - starts
+        bounds = bounds_of(sizes)
+        at = np.arange(bounds[-1]) + np.repeat(starts - bounds[:-1], sizes)
+        return self.ids[at], bounds
+
+
+def splice(chosen: np.ndarray, one: Encoded, other: Encoded) -> Encoded:
+    """Texts in order again: those ``chosen`` from ``one``, the rest from ``other``."""
+    sizes = np.empty(len(chosen), dtype=np.int64)
+    sizes[chosen], sizes[~chosen] = np.diff(one[1]), np.diff(other[1])
+    mine = np.repeat(chosen, sizes)
+    ids = np.empty(len(mine), dtype=np.uint32)
+    ids[mine], ids[~mine] = one[0], other[0]
+    return ids, bounds_of(sizes)
 
 
 class Tokens:
     """Ids of texts, as ``tokenizers`` gives them without special tokens added.
 
     ``special_text`` leaves the strings of special tokens in a text ordinary text;
-    the library's default gives them their special ids.
+    the library's default gives them their special ids. ``lead`` puts a space
+    before each text.
     """
 
-    def __init__(self, tokenizer: str = TOKENIZER, special_text: bool = False):
+    def __init__(self, tokenizer: str = TOKENIZER, special_text: bool = False, lead: bool = False):
         import os
 
         import public_tokenizers
@@ -36,55 +95,83 @@ class Tokens:
         from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.lead = lead
         self.library = Tokenizer.from_file(public_tokenizers.path(tokenizer))
         self.library.encode_special_tokens = special_text
         added = self.library.get_added_tokens_decoder().values()
         self.special = [] if special_text else [t.content for t in added]
-        self.known: dict[str, bytes] = {}
         letters = set(ByteLevel.alphabet())
         self.lengths = np.zeros(self.library.get_vocab_size(), dtype=np.int64)
         for piece, number in self.library.get_vocab().items():
-            plain = set(piece) <= letters
-            self.lengths[number] = len(piece) if plain else len(piece.encode())
-
-    def _whole(self, texts: Sequence[str]) -> list[np.ndarray]:
-        found = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4") for e in found]
-
-    def _learn(self, chunks: Iterable[str]) -> None:
-        """Chunks with plain ends are encoded many at a time: their bytes tell the ids apart."""
-        plain, rest = [], []
-        for c in chunks:
-            (plain if len(c) < 64 and not (c[1:2] or " ").isspace() and not c[-1].isspace() else rest).append(c)
-        runs = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        for run, ids in zip(runs, self._whole(["".join(run) for run in runs])):
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.cumsum([len(c.encode()) for c in run])
-            raw, start = ids.tobytes(), 0
-            for chunk, stop in zip(run, (np.searchsorted(ends, cuts, "right") * 4).tolist()):
-                self.known[chunk] = raw[start:stop]
-                start = stop
-        for chunk, ids in zip(rest, self._whole(rest)):
-            self.known[chunk] = ids.tobytes()
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split: list[list[str] | None] = []
-        slow = []
-        for text in texts:
-            if _RUN.search(text) or any(s in text for s in self.special):
-                split.append(None)
-                slow.append(text)
-            else:
-                head, *tail = text.split(" ")
-                split.append([head, *[" " + w for w in tail]] if head else [" " + w for w in tail])
-        new = {c for chunks in split if chunks for c in chunks}.difference(self.known)
-        if new:
-            first = {c for c in new if not c.startswith(" ")}
-            self._learn(new - first)
-            self.known.update(zip(first, (i.tobytes() for i in self._whole(list(first)))))
-        whole = iter(self._whole(slow))
-        look = self.known.__getitem__
-        return [next(whole).tobytes() if c is None else b"".join(map(look, c)) for c in split]
+            self.lengths[number] = len(piece) if set(piece) <= letters else len(piece.encode())
+        self.words, self.heads = Memory(self._words), Memory(self._whole)
+
+    def _whole(self, texts: Sequence[str]) -> Encoded:
+        return together([e.ids for e in self.library.encode_batch_fast(list(texts), add_special_tokens=False)])
+
+    def _words(self, words: list[str]) -> Encoded:
+        """Words without white space at their ends are encoded many at a time: their
+        bytes tell the ids apart."""
+        plain = np.array([
+            0 < len(w) < 64 and (w.isprintable() or not (w[0].isspace() or w[-1].isspace())) for w in words])
+        joined = [" " + w for w, p in zip(words, plain) if p]
+        ids, _ = self._whole(["".join(joined[i : i + _JOINED]) for i in range(0, len(joined), _JOINED)])
+        ends = bounds_of([len(w.encode()) for w in joined])
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends[1:], "right")
+        rest = self._whole([" " + w for w, p in zip(words, plain) if not p])
+        return splice(plain, (ids, np.r_[0, cuts]), rest)
+
+    def encode(self, texts: pa.Array) -> Encoded:
+        """All ids of an Arrow array of texts and the bounds of each text's; NULL counts as empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        slow = pc.match_substring_regex(texts, _RUN)
+        if self.lead:
+            slow = pc.or_(slow, pc.starts_with(texts, " "))
+        for text in self.special:
+            slow = pc.or_(slow, pc.match_substring(texts, text))
+        fast = ~slow.to_numpy(zero_copy_only=False)
+        some = texts if fast.all() else texts.filter(pa.array(fast))
+        words = pc.split_pattern(some, " ")
+        coded = words.flatten().dictionary_encode()
+        numbers = self.words.look(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(some) else \
+            np.empty(0, np.int64)
+        ids, bounds = self.words.expand(numbers)
+        lists = words.offsets.to_numpy() - (words.offsets[0].as_py() if len(some) else 0)
+        found = ids, bounds[lists]
+        if not self.lead and len(some):
+            # The first word has no space before it: its ids take the place of those above.
+            head = pc.list_element(words, 0).dictionary_encode()
+            first = self.heads.expand(self.heads.look(head.dictionary.to_pylist())[head.indices.to_numpy()])
+            found = _with_heads(found, bounds[lists[:-1] + 1], first)
+        if fast.all():
+            return found
+        space = " " if self.lead else ""
+        return splice(fast, found, self._whole([space + t for t in texts.filter(slow).to_pylist()]))
+
+
+def _with_heads(found: Encoded, stops: np.ndarray, heads: Encoded) -> Encoded:
+    """The ids of each text up to ``stops`` replaced by those in ``heads``."""
+    ids, bounds = found
+    own, front, tail = np.diff(heads[1]), stops - bounds[:-1], bounds[1:] - stops
+
+    def firsts(first: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        return np.repeat(np.tile([True, False], len(first)), np.c_[first, rest].ravel())
+
+    new = np.empty(own.sum() + tail.sum(), dtype=np.uint32)
+    mine = firsts(own, tail)
+    new[mine], new[~mine] = heads[0], ids[~firsts(front, tail)]
+    return new, bounds_of(own + tail)
+
+
+@lru_cache(maxsize=2)
+def tokens_of(tokenizer: str = TOKENIZER, special_text: bool = False, lead: bool = False) -> Tokens:
+    """The tokenizer of this process: a worker keeps it, and its words, from task to task."""
+    return Tokens(tokenizer, special_text, lead)
+
+
+def slices(texts: pa.Array, size: int) -> list[tuple[int, int]]:
+    """Neighbouring texts of about ``size`` bytes together; a longer text alone."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    cuts = np.unique(np.r_[0, np.flatnonzero(np.diff(ends // size)) + 1, len(texts)]).tolist()
+    return list(zip(cuts, cuts[1:]))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.shared import shared_folder, text_groups, written
-from tradeloom.llm.tokens import TOKENIZER, Tokens
+from tradeloom.llm.tokens import TOKENIZER, slices, tokens_of
 
 END = 2
 MAGIC = b"WMAT0001"
@@ -32,10 +32,14 @@ BLOCK_BITS = 1 << 16
 FILE_TOKENS = 1 << 22
 #: Text bytes in a shard, which one task writes and one task reads.
 SHARD_BYTES = 24_000_000
-_ENCODED = 4_000_000
+_ENCODED = 8_000_000
 _KEPT_BLOCKS = 64
 
 
+def _code_type(names: int) -> type:
+    return np.uint16 if names <= 1 << 16 else np.uint32
+
+
 def build(ids: np.ndarray, starts: Sequence[tuple[int | None, int]] = (), carried: int = 0) -> bytes:
     """The file of ``ids``.
 
@@ -45,8 +49,14 @@ def build(ids: np.ndarray, starts: Sequence[tuple[int | None, int]] = (), carrie
     import zstandard
 
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    names, codes = np.unique(ids, return_inverse=True)
-    codes = codes.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32).reshape(-1)
+    codes: np.ndarray
+    if len(ids) and ids.max() < 1 << 22:
+        seen = np.bincount(ids) > 0
+        names = np.flatnonzero(seen)
+        codes = (np.cumsum(seen) - 1).astype(_code_type(len(names)))[ids]
+    else:
+        names, codes = np.unique(ids, return_inverse=True)
+        codes = codes.astype(_code_type(len(names))).reshape(-1)
     planes = max(1, int(len(names) - 1).bit_length())
     body, zeros, ranks, sizes = [], [], [], []
     for plane in range(planes):
@@ -188,7 +198,7 @@ class TokenFile:
 
     def all(self) -> np.ndarray:
         """All ids in order: the planes undone from the last to the first."""
-        codes = np.zeros(self.tokens, dtype=np.uint16 if len(self.names) <= 1 << 16 else np.uint32)
+        codes = np.zeros(self.tokens, dtype=_code_type(len(self.names)))
         for plane in range(self.planes - 1, -1, -1):
             self._source.seek(int(self._places[plane, 0]))
             raw = self._source.read(int(self._sizes[plane].sum()))
@@ -231,7 +241,7 @@ def write_files(
 
         system, path = file_system(folder)
         system.create_dir(path, recursive=True)
-        tokens = Tokens(tokenizer)
+        tokens = tokens_of(tokenizer)
         shard = TaskContext.get().partitionId()
         end = np.array([END], dtype="<u4").tobytes()
         made = []
@@ -255,14 +265,12 @@ def write_files(
             del waiting[: 4 * most]
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            sizes = np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in texts])
-            cuts = np.unique(np.r_[0, np.flatnonzero(np.diff(sizes // _ENCODED)) + 1, len(ids)]).tolist()
-            for a, b in zip(cuts, cuts[1:]):
-                some = [t or "" for t in texts.slice(a, b - a).to_pylist()]
-                for doc, raw in zip(ids[a:b], tokens.encode(some)):
-                    starts.append((doc, len(raw) // 4 + 1))
-                    waiting += raw + end
+            docs, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in slices(texts, _ENCODED):
+                ids, cuts = tokens.encode(texts.slice(a, b - a))
+                for doc, start, stop in zip(docs[a:b], cuts.tolist(), cuts[1:].tolist()):
+                    starts.append((doc, stop - start + 1))
+                    waiting += ids[start:stop].tobytes() + end
                     while len(waiting) >= 4 * file_tokens:
                         flush(file_tokens)
         if waiting:
