@@ -212,11 +212,11 @@ def _assign(points: np.ndarray, book: np.ndarray):
     return codes, squares, sums, counts
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Arrow rows by the block, with their vectors; the embedding is the last column.
-    Rows with vectors of another size than ``size`` stand in blocks of their own, without vectors."""
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Table, np.ndarray | None]]:
+    """Arrow rows by the block, with their vectors. Rows with vectors of another
+    size than ``size`` stand in blocks of their own, without vectors."""
     held: list[pa.RecordBatch] = []
-    for batch in [*batches, None] if False else batches:
+    for batch in batches:
         held.append(batch)
         if sum(map(len, held)) >= BLOCK_ROWS:
             yield from _settled(pa.Table.from_batches(held), size)
@@ -371,9 +371,10 @@ def product_codes(
         return rows.sparkSession.createDataFrame(
             [], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
     found = written(encoded(rows, books, size, scale))
+    total = F.sum(F.col("error").cast("decimal(20,0)"))
     sums = written(found.groupBy(F.col("label").alias("_label")).agg(
-        F.least(F.sum(F.col("error").cast("decimal(20,0)")), F.lit(_LONG).cast("decimal(30,0)"))
-        .cast("long").alias("label_error"), F.count("*").alias("_n")))
+        F.when(total > F.lit(_LONG).cast("decimal(30,0)"), F.lit(_LONG)).otherwise(total.cast("long"))
+        .alias("label_error"), F.count("*").alias("_n")))
     # Fewer than a thousand labels have over a thousandth of all rows each: those are
     # broadcast, so that no label that many rows share is joined by shuffle.
     share = found.count() // 1000
