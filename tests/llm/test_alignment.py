@@ -1,0 +1,130 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer, decoders
+
+from tests.llm.frames import SCHEMA, awkward, awkward_rows, with_clashes
+from tradeloom.llm import alignment, tokens
+
+ODD = [
+    (300, "  two  spaces ", "en", "s", 1), (301, "a ▁ piece mark", "en", "s", 1), (302, "<|endoftext|> is plain </s>", "en", "s", 1),
+    (303, "line\nbreak\t\ttabs \n x", "en", "s", 1), (304, "emoji 🙂🙃 and 漢字かな交じり文", "en", "s", 1),
+    (305, "nul \x00 byte", "en", "s", 1), (306, " " * 700 + "x" + "\n" * 300, "en", "s", 1), (307, "<0x41> <unk> <s>", "en", "s", 1),
+    (308, "ﬁne ½ é é   nbsp", "en", "s", 1),
+]
+
+
+def plain(rows):
+    """The contract, text by text."""
+    a_lib = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    a_lib.encode_special_tokens = True
+    b_lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.PIECES))
+    table = alignment._piece_bytes(tokens.TOKENIZER)
+    texts = []
+    for doc, text in rows:
+        wanted = (" " + (text or "")).encode()
+        a, b = a_lib.encode(" " + (text or ""), add_special_tokens=False).ids, b_lib.encode(text or "")
+        raw_a = [table[i] for i in a]
+        raw_b = [bytes([int(b_lib.id_to_piece(i)[3:5], 16)]) if b_lib.is_byte(i)
+                 else b_lib.id_to_piece(i).replace("▁", " ").encode() for i in b]
+        if not text or b"".join(raw_a) != wanted or b"".join(raw_b) != wanted:
+            texts.append((doc, [], [], []))
+            continue
+        count = lambda raw: {int(e): k + 1 for k, e in enumerate(np.cumsum([len(x) for x in raw]))}
+        upto_a, upto_b = count(raw_a), count(raw_b)
+        cuts = sorted(upto_a.keys() & upto_b.keys())
+        groups, x, y = [], 0, 0
+        for cut in cuts:
+            p, q = upto_a[cut], upto_b[cut]
+            groups.append((a[x:p], b[y:q]))
+            x, y = p, q
+        texts.append((doc, a, b, groups))
+    held = Counter()
+    for _, _, _, groups in texts:
+        held.update({(i, j) for g in groups for i in g[0] for j in g[1]})
+    best = {}
+    for (i, _), n in held.items():
+        best[i] = max(best.get(i, 0), n)
+    out = []
+    for doc, a, b, groups in texts:
+        links = Counter()
+        for one, other in groups:
+            for i, n in Counter(one).items():
+                for j, m in Counter(other).items():
+                    links[i, j] += n * m
+        line = ";".join(f"{','.join(map(str, g[0]))}|{','.join(map(str, g[1]))}" for g in groups)
+        out.append((doc, len(a), len(b), len(groups), sum(links.values()),
+                    sum(n for p, n in links.items() if held[p] == best[p[0]]),
+                    sum(n * held[p] for p, n in links.items()),
+                    hashlib.sha256(line.encode()).hexdigest() if line else ""))
+    return out
+
+
+def key(row):
+    return tuple((x is not None, x) for x in row)
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def test_equals_brute_force(spark):
+    docs = with_clashes(awkward(spark).unionByName(spark.createDataFrame(ODD, SCHEMA)), "g", "at", "pairs", "docs", "n_a")
+    found = alignment.alignments(docs.repartition(3)).select(*COLUMNS).collect()
+    rows = awkward_rows() + ODD
+    assert sorted((tuple(r) for r in found), key=key) == sorted(plain([r[:2] for r in rows]), key=key)
+    by_id = {r[0]: r for r in plain([r[:2] for r in ODD])}
+    assert by_id[301][1] == 0 and by_id[302][1] > 0 and by_id[306][1] > 0
+
+
+def test_bytes_of_tokens():
+    table = alignment._piece_bytes(tokens.TOKENIZER)
+    library, decoder = tokens.tokens_of(tokens.TOKENIZER, True, True).library, decoders.ByteLevel()
+    pick = random.Random(1)
+    for number in pick.sample(range(50_000), 500):
+        assert decoder.decode([library.id_to_token(number)]) == table[number].decode(errors="replace")
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 5), min_size=1, max_size=30), st.randoms())
+def test_groups_end_where_both_rows_end(sizes, pick):
+    total = sum(sizes)
+    ends = sorted({pick.randrange(1, total + 1) for _ in range(pick.randrange(20))} | {total})
+    other = np.diff([0, *ends])
+    a, b = alignment.coalesce(np.array(sizes), other)
+    cuts = sorted(set(np.cumsum(sizes).tolist()) & set(ends))
+    assert a.tolist() == [sum(c < e for c in cuts) for e in np.cumsum(sizes).tolist()]
+    assert b.tolist() == [sum(c < e for c in cuts) for e in ends]
+
+
+def test_pairs_of_large_groups_and_small_slices():
+    """One group of thousands of tokens; expansion a few pairs at a time."""
+    pick = np.random.default_rng(1)
+    a, b = pick.integers(0, 30, 4000).astype(np.uint32), pick.integers(0, 20, 3000).astype(np.uint32)
+    found = alignment.Aligned(a, b, np.array([0, 4000]), np.array([0, 3000]), np.zeros(4000, np.int64),
+                              np.zeros(3000, np.int64), np.array([0, 1]), np.array([9]))
+    wanted = {(i, j): n * m for i, n in Counter(a.tolist()).items() for j, m in Counter(b.tolist()).items()}
+    for most in (7, 10**6):
+        _, pair, links = alignment.linked_pairs(found, 100, most)
+        assert {(p // 100, p % 100): n for p, n in zip(pair.tolist(), links.tolist())} == wanted
+
+
+def test_spans(spark):
+    docs = spark.createDataFrame([(1, "Straße und 漢字", None, None, None), (2, None, None, None, None)], SCHEMA)
+    rows = {r.doc_id: r for r in alignment.groups(docs).collect()}
+    assert rows[2].a_ids == [] and rows[2].ends == []
+    r = rows[1]
+    assert r.ends[-1] == len(" Straße und 漢字".encode()) and r.ends == sorted(set(r.ends))
+    assert sum(r.n_a) == len(r.a_ids) and sum(r.n_b) == len(r.b_ids) and len(r.n_a) == len(r.ends)
+
+
+def test_none(spark):
+    assert alignment.alignments(spark.createDataFrame([], SCHEMA)).collect() == []
+    none = alignment.align(pa.array([None, ""], pa.string()))
+    assert none.group_bounds.tolist() == [0, 0, 0]

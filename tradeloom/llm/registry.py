@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import (
-    chat, codes, decontamination, language, licenses, packing, quality, sharding, simhash, spotsigs,
-    substrings, wavelet,
+    alignment, chat, codes, decontamination, language, licenses, packing, quality, sharding, simhash,
+    spotsigs, substrings, wavelet,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,9 @@ def queries() -> dict[str, Query]:
         "op9_licenses": lambda spark, sf: licenses.labels(_documents(spark, sf)),
         "op10_quality": lambda spark, sf: quality.scores(
             _documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")),
-        "op13_codes": lambda spark, sf: codes.product_codes(spark.read.parquet(f"{sf}/embeddings.parquet")),
+        "op11_alignment": lambda spark, sf: alignment.alignments(_documents(spark, sf)),
         "op12_wavelet": lambda spark, sf: wavelet.token_files(_documents(spark, sf)),
+        "op13_codes": lambda spark, sf: codes.product_codes(spark.read.parquet(f"{sf}/embeddings.parquet")),
     }
 
 
