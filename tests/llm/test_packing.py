@@ -1,4 +1,3 @@
-import random
 import zlib
 
 import numpy as np
@@ -14,14 +13,7 @@ from tradeloom.llm import packing
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
-    return t
-
-
-@pytest.fixture(scope="module")
-def tokens():
-    return packing._Tokens(packing.TOKENIZER, packing.RANKS)
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 
 
 def ids(tokenizer, text):
@@ -81,13 +73,17 @@ def test_plan_is_best_fit(lengths):
     assert len(filled) == plain_best_fit(lengths, 20)
 
 
-def test_chunks_make_the_same_ids(tokens, tokenizer):
-    pick = random.Random(1)
-    pieces = [" ", "  ", "\n", " \n", "\n ", "\t", "a", "the", "don't", "x1", "42", "é", "日本", ".", "!!", " ", "　",
-              "<|endoftext|>", "Straße", "'s", "\r\n", "🙂", "\x1c"]
-    for _ in range(3000):
-        text = "".join(pick.choice(pieces) for _ in range(pick.randrange(12)))
-        assert tokens.of(text) == ids(tokenizer, text)[:-1].tobytes(), repr(text)
+def test_long_runs_and_special_strings(spark, tokenizer):
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" * 1_000_000, "<|endoftext|>", "a<|endoftext|> b <|endoftext|>"]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    found = {(r.doc_id, r.start): (r.length, r.ids_crc32) for r in packing.pieces(docs).collect()}
+    for i, text in enumerate(texts):
+        own = ids(tokenizer, text)
+        bounds = [0, *range((len(own) - 1) % 1024 + 1, len(own) + 1, 1024)]
+        for a, b in zip(bounds, bounds[1:]):
+            assert found.pop((i, a)) == (b - a, zlib.crc32(own[a:b].tobytes()))
+    assert not found
+    assert ids(tokenizer, "<|endoftext|>").tolist() == [50256, 2]
 
 
 def test_empty(spark):

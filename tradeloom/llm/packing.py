@@ -20,78 +20,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.shared import gapless_rank, written
+from tradeloom.llm.tokens import TOKENIZER, slices, tokens_of
 
 CAPACITY = 1024
 END = 2
-TOKENIZER = "byte_bpe_50k.json"
-RANKS = "byte_bpe_50k.tiktoken"
 _RANK_ROWS = 20_000
-_CACHED = 400_000
+_ENCODED = 8_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class _Tokens(dict):
-    """Ids of text chunks as little-endian bytes, remembered."""
-
-    def __init__(self, tokenizer: str, ranks: str):
-        import base64
-
-        import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        self.tokenizer.encode_special_tokens = True
-        with open(public_tokenizers.path(ranks), "rb") as lines:
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.fast = tiktoken.Encoding(
-            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-
-    def encode(self, text: str) -> bytes:
-        # Both have the same vocabulary; for rarer scripts their Unicode tables could differ.
-        if text and max(text) > "ɏ":
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= _CACHED:
-            self.clear()
-        ids = self.encode(chunk)
-        if len(chunk) < 64:
-            self[chunk] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        """A space starts a new pre-token unless it stands beside another one or at
-        the end, so texts without such spaces are put together from chunks."""
-        if "  " in text or text.endswith(" "):
-            return self.encode(text)
-        chunks = text.split(" ")
-        return self[chunks[0]] + b"".join(map(self.__getitem__, [f" {c}" for c in chunks[1:]]))
-
-
-def pieces(
-    docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, ranks: str = RANKS
-) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Documents as token ids with an end token, cut where longer than ``capacity``:
-    the first piece takes what is left over. NULL texts count as empty."""
+    the first piece takes what is left over. NULL texts count as empty. The strings
+    of special tokens in a text have their special ids, the library's default."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _Tokens(tokenizer, ranks)
+        tokens = tokens_of(tokenizer)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.of(text.as_py() or "") + end
-                n = len(ids) // 4
-                stop = (n - 1) % capacity + 1
-                start = piece = 0
-                while start < n:
-                    crc = zlib.crc32(ids[4 * start : 4 * stop])
-                    rows.append((doc, piece, start, stop - start, crc))
-                    piece, start, stop = piece + 1, stop, stop + capacity
+            docs_, texts, rows = batch.column(0).to_pylist(), batch.column(1), []
+            for first, last in slices(texts, _ENCODED):
+                found, cuts = tokens.encode(texts.slice(first, last - first))
+                for doc, a, b in zip(docs_[first:last], cuts.tolist(), cuts[1:].tolist()):
+                    ids = found[a:b].astype("<u4").tobytes() + end
+                    n = b - a + 1
+                    stop = (n - 1) % capacity + 1
+                    start = piece = 0
+                    while start < n:
+                        crc = zlib.crc32(ids[4 * start : 4 * stop])
+                        rows.append((doc, piece, start, stop - start, crc))
+                        piece, start, stop = piece + 1, stop, stop + capacity
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
