@@ -26,10 +26,10 @@ from tradeloom.llm.tokens import TOKENIZER, Encoded, Memory, bounds_of, slices,
 
 PIECES = "piece_bpe_32k.model"
 #: Text bytes aligned at once, and whose pairs are named together.
-ALIGNED_BYTES = 4_000_000
-CHUNK_BYTES = 16_000_000
+ALIGNED_BYTES = 2_000_000
+CHUNK_BYTES = 8_000_000
 #: Pairs expanded at once.
-PAIRS = 4_000_000
+PAIRS = 2_000_000
 # In groups with more links than this equal ids are put together before they are paired.
 _LARGE = 256
 _SPACE = "▁"
@@ -178,6 +178,12 @@ def align(texts: pa.Array, tokenizer: str = TOKENIZER, model: str = PIECES) -> A
     return Aligned(a, b, a_bounds, b_bounds, a_group, b_group, bounds_of(sizes), ends)
 
 
+@lru_cache(maxsize=1)
+def _marked(most: int) -> np.ndarray:
+    """Every id below ``most`` as a decimal, followed by each mark."""
+    return np.array([f"{i}{mark}".encode() for i in range(most) for mark in (",", "|", ";", "")])
+
+
 def group_texts(found: Aligned) -> list[bytes]:
     """Each text's groups as ``a1,a2|b1;a3|b2,b3``."""
     groups = int(found.group_bounds[-1])
@@ -194,13 +200,7 @@ def group_texts(found: Aligned) -> list[bytes]:
     mark[ends - n_b - 1] = 1
     cuts = found.a_bounds + found.b_bounds
     mark[cuts[1:][np.diff(cuts) > 0] - 1] = 3
-    width = len(str(ids.max())) + 1
-    names = np.array([f"{i}{c}" for i in range(ids.max() + 1) for c in (",", "|", ";", "")], dtype=f"S{width}") \
-        if len(ids) > 200_000 else None
-    if names is not None:
-        text = names[ids * 4 + mark]
-    else:
-        text = np.array([f"{i}{',|;'[m] if m < 3 else ''}" for i, m in zip(ids.tolist(), mark.tolist())], dtype=f"S{width}")
+    text = _marked(1 << int(ids.max()).bit_length())[ids * 4 + mark]
     bounds = cuts.tolist()
     return [text[x:y].tobytes().replace(b"\0", b"") for x, y in zip(bounds, bounds[1:])]
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Words and ids that one worker remembers; beyond either it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 REMEMBERED_IDS = 8_000_000
 _JOINED = 200
 # Unicode white space, and what Python counts as such.
