@@ -89,14 +89,35 @@ def test_every_near_pair_shares_a_signature(spark):
 
 
 def test_one_per_group(spark):
-    docs = awkward(spark)
+    docs = with_clashes(awkward(spark), "fp", "row", "root", "first")
     kept = simhash.one_per_group(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    known = [i for i in ids if i is not None]
-    assert len(known) == len(set(known)) and ids.count(None) == 2
-    assert 5 in known and 110 not in known and 112 not in known
-    assert 102 in known and 103 not in known  # empty texts are one group
+    rows = kept.collect()
+    assert {r.fp for r in rows} == {"clash"}
+    group = dict(zip(range(len(awkward_rows())), plain_groups()))
+    members = {}
+    for at, r in enumerate(awkward_rows()):
+        members.setdefault(group[at], []).append(r)
+    wanted = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in members.values()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted([(r.doc_id, r.text) for r in rows], key=key) == sorted([r[:2] for r in wanted], key=key)
+    ids = [r.doc_id for r in rows]
+    assert 5 in ids and 110 not in ids and 112 not in ids
+    assert 102 in ids and 103 not in ids  # empty texts are one group
+
+
+def plain_groups():
+    """The group of each awkward row, known id or not."""
+    prints = [(i, plain_fingerprint(r[1])) for i, r in enumerate(awkward_rows())]
+    return plain_components(prints)
+
+
+def test_one_per_group_of_repeated_and_unknown_ids(spark):
+    """Unlike texts under one id both stay; copies without any id leave one row."""
+    a, b, c = prose(50, 200), prose(51, 200), prose(52, 200)
+    rows = [(7, a), (7, b), (None, c), (None, c), (7, b), (9, b.upper())]
+    kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept) == sorted([a, b, c])
 
 
 def test_empty(spark):

@@ -11,12 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from tradeloom.llm.shared import components, written
+from tradeloom.llm.shared import components, fresh, written
 
 BITS = 4
 SHINGLE = 4
@@ -47,6 +49,11 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(">u8")[0])
 
 
+@F.pandas_udf(LongType())
+def _fingerprint_of(texts: pd.Series) -> pd.Series:
+    return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of whole texts; ``fp`` is the fingerprint as a signed long."""
 
@@ -168,7 +175,10 @@ def links(fps: DataFrame, run: int = RUN) -> DataFrame:
     hash and each pair of blocks is compared in a task of its own, so nothing
     is left out and no task holds the whole run.
     """
-    distinct = fps.select("fp").distinct()
+    # Adaptive execution would merge the few bytes of fingerprints into few tasks, each of
+    # which makes 64 rows of every fingerprint: they are dealt over all tasks first.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = fps.select("fp").distinct().repartition(tasks)
     keyed = distinct.select(F.explode(F.array(*signatures())).alias("key"), "fp")
     schema = "kind int, a long, b long"
     found = written(
@@ -209,10 +219,23 @@ def near_duplicates(docs: DataFrame, run: int = RUN) -> DataFrame:
     )
 
 
-def one_per_group(docs: DataFrame) -> DataFrame:
-    """The documents without near copies: of each group the one with the
-    smallest doc_id, once if its row is repeated. Rows without doc_id stay."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null")
-    chosen = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(docs.columns).unionByName(docs.where("doc_id is null"))
+def one_per_group(docs: DataFrame, run: int = RUN) -> DataFrame:
+    """The documents without near copies: of each group of linked rows the one with
+    the smallest doc_id stays, once if that id is repeated, and one without doc_id
+    if no row of the group has one. Empty and NULL texts are one group. All columns
+    come back as they were, whatever their names.
+    """
+    row, fp = (fresh(docs, name) for name in ("row", "fp"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Written, so that a row keeps its number however often it is read.
+    rows = written(docs.select(
+        *columns, F.monotonically_increasing_id().alias(row), _fingerprint_of("text").alias(fp)))
+    named = rows.select(F.col(row).alias("row"), F.col(fp).alias("fp"), F.col("doc_id").cast("long").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("first")
+    members = written(named.groupBy("fp").agg(first))
+    roots = components(links(members, run)).withColumnRenamed("node", "fp")
+    kept = (
+        members.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+        .agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    )
+    return rows.join(kept, row, "left_semi").select(*columns)
