@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import decontamination, packing, quality, resemblance, shared, substrings
+from tradeloom.llm import decontamination, packing, quality, shared, simhash, substrings
 
 #: SQL can't express the language model or the packing plan; tests compare with plain versions.
 ORACLE_SQL = None
@@ -16,8 +16,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts at least 0.8 alike on 5-word shingles."""
-    return resemblance.one_per_group(docs)
+    """One document of each group that links of at most four differing SimHash bits join."""
+    return simhash.one_per_group(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
