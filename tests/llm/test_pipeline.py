@@ -16,7 +16,7 @@ def test_stages_are_registered_in_order():
     queries = contract.queries()
     assert queries["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
