@@ -225,17 +225,21 @@ def one_per_group(docs: DataFrame, run: int = RUN) -> DataFrame:
     if no row of the group has one. Empty and NULL texts are one group. All columns
     come back as they were, whatever their names.
     """
-    row, fp = (fresh(docs, name) for name in ("row", "fp"))
+    keys = [fresh(docs, name) for name in ("fp", "known", "id")]
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    # Written, so that a row keeps its number however often it is read.
-    rows = written(docs.select(
-        *columns, F.monotonically_increasing_id().alias(row), _fingerprint_of("text").alias(fp)))
-    named = rows.select(F.col(row).alias("row"), F.col(fp).alias("fp"), F.col("doc_id").cast("long").alias("doc_id"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("first")
-    members = written(named.groupBy("fp").agg(first))
+    own = F.col("doc_id").cast("long")
+    values = (_fingerprint_of("text"), own.isNotNull(), F.coalesce(own, F.lit(0)))
+    marked = docs.select(*columns, *[v.alias(k) for k, v in zip(keys, values)])
+    fp, known, doc = map(F.col, keys)
+    first = F.min(F.struct((~known).alias("unknown"), doc.alias("doc"), fp.alias("own"))).alias("first")
+    members = written(marked.groupBy(fp.alias("fp")).agg(first))
     roots = components(links(members, run)).withColumnRenamed("node", "fp")
     kept = (
         members.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
-        .agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.own").alias(keys[0]), (~F.col("first.unknown")).alias(keys[1]),
+                F.col("first.doc").alias(keys[2]))
     )
-    return rows.join(kept, row, "left_semi").select(*columns)
+    # Rows of one id and fingerprint are cut to one by each task, so that no key is hot in
+    # the exchange, which the join then needs no second time.
+    return marked.dropDuplicates(keys).join(kept, keys, "left_semi").select(*columns)
