@@ -158,13 +158,16 @@ def _top_categories(shop: Shop) -> DataFrame:
 
 
 def _money_sums(shop: Shop) -> DataFrame:
-    """Exact sums of values with eight places, of 1e-7, of 9e14, with NULL and NaN."""
+    """Exact sums of values with eight places, of 1e-30, 1e-7, thirds, 9e14 and 1e22, with NULL and NaN."""
     line = F.col("l_linenumber").cast("double")
     rows = shop.spark.read.parquet(f"{shop.sf_dir}/lineitem.parquet").select(
         F.col("l_returnflag").alias("kind"),
         ((line + 100000049) / 1e8).alias("eight_places"),
         (line / 1e7).alias("tiny"),
         (line + 9e14).alias("huge"),
+        (line * 1e22).alias("astronomic"),
+        (line * 1e-30).alias("minute"),
+        (line / 3e-6).alias("thirds"),
         F.when(line % 3 > 0, -line / 1e2).alias("negative_or_null"),
         F.when(line == 1, F.lit(float("nan"))).otherwise(line).alias("not_a_number"),
     )

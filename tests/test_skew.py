@@ -1,6 +1,12 @@
 """Joins with a key that holds a third of the rows, or with many NULL keys."""
 
+import math
+import random
+from collections import Counter
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tradeloom.operators.joins import fk_join, hot_keys, with_spread
@@ -31,6 +37,43 @@ def test_hot_keys_finds_value_and_null(spark):
     assert hot_keys(spark.range(0).select(F.col("id").alias("k")), "k", 8).isEmpty()
 
 
+def exact_hot_keys(rows, partitions):
+    counts = Counter(rows)
+    return {k: math.ceil(n * partitions / len(rows) * 4) for k, n in counts.items() if n * partitions > len(rows)}
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.integers(0, 10**6), st.sampled_from([2, 8, 64, 300]), st.sampled_from(["long", "string"]))
+def test_summary_finds_what_an_exact_count_finds(spark, seed, partitions, kind):
+    """Zipf-like keys, many of them near the share, dealt unevenly over tasks."""
+    pick = random.Random(seed)
+    rows = [int(pick.paretovariate(pick.choice([0.3, 0.8]))) % 50_000 for _ in range(6000)]
+    rows += [k for k in range(-40, 0) for _ in range(6000 // partitions + pick.randrange(-2, 3))]
+    rows = [None if r % 97 == 0 else r for r in rows]
+    pick.shuffle(rows)
+    if pick.random() < 0.5:
+        rows.sort(key=lambda r: (r is None, r))
+    df = spark.createDataFrame([(r,) for r in rows], "k long").select(F.col("k").cast(kind).alias("k"))
+    found = {r._hot_key: r._ways for r in hot_keys(df, "k", partitions).collect()}
+    wanted = {k if k is None or kind == "long" else str(k): n for k, n in exact_hot_keys(rows, partitions).items()}
+    assert found == wanted
+
+
+def test_only_candidates_are_shuffled(spark):
+    """A million different keys: the exchange by key moves the rows of candidates alone."""
+    df = spark.range(0, 1_000_000, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    keys = hot_keys(df, "k", 8)
+    assert [r._hot_key for r in keys.collect()] == [-1]
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    by_key = [line for line in plan.splitlines() if "hashpartitioning(_hot_key" in line]
+    assert "approx_top_k" in plan and "BroadcastHashJoin" in plan and len(by_key) <= 2
+
+
+def test_keys_without_a_summary_are_counted_in_full(spark):
+    df = spark.range(100).select(F.struct((F.col("id") % 2 * F.col("id")).alias("x")).alias("k"))
+    assert [r._hot_key.x for r in hot_keys(df, "k", 8).collect()] == [0]
+
+
 @pytest.mark.parametrize("every,partitions", [(5_000, 20_000), (20_000, 200_000)])
 def test_small_shares_are_hot_where_partitions_are_many(spark, every, partitions):
     """Three keys of 0.02 % and of 0.005 % of the rows, above one partition's share."""

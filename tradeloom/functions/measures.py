@@ -7,34 +7,86 @@ price and freight. Without it a row is one item.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal places kept by exact sums; 20 digits are left before the point.
-MONEY_SCALE = 18
+# Exact sums cut a double into integers of this many bits; of rows that Spark adds
+# as longs, 2**40 then fit into one group.
+_BITS = 24
+# Powers of two that the pieces count, lowest first. Those from 2**-72 to 1 hold money.
+_UNITS = range(-8 * _BITS, 4 * _BITS, _BITS)
+_USUAL = _UNITS.index(-3 * _BITS)
+_HUGE = 2.0 ** (_UNITS[-1] + _BITS - 1)
+# Zeros below the pieces, so that every total has enough digits, and above for carries.
+_BELOW, _ABOVE = 4, 3
+
 
+def _rounded_sql() -> str:
+    """SQL of the double nearest to a total, from its pieces ``s``.
 
-def exact_sum(name: str, scale: int = MONEY_SCALE) -> Column:
-    """SUM of a double column of money, independent of the order of addition.
+    Carries are settled first, for the total without its sign. The leading
+    digits, below 2**53 together, and the two digits after them are exact
+    doubles, with a bit set for anything below, so that their one addition
+    rounds as the whole total does.
+    """
+    mask, step = f"{(1 << _BITS) - 1}L", float(2**_BITS)
+
+    def settled(limbs: str) -> str:
+        return (
+            f"reduce({limbs}, named_struct('d', CAST(array() AS ARRAY<BIGINT>), 'c', 0L), (t, l) -> named_struct("
+            f"'d', array_append(t.d, (l + t.c) & {mask}), 'c', shiftright(l + t.c, {_BITS})))")
+
+    def size(digits: str) -> str:
+        return (
+            f"reduce(reverse({digits}), named_struct('top', 0L, 'low', 0L, 'n', 0, 'left', 0), (t, d) -> CASE "
+            f"WHEN t.top < {1 << 29} THEN "
+            f"named_struct('top', shiftleft(t.top, {_BITS}) + d, 'low', t.low, 'n', t.n, 'left', t.left) "
+            f"WHEN t.n < 2 THEN "
+            f"named_struct('top', t.top, 'low', shiftleft(t.low, {_BITS}) + d, 'n', t.n + 1, 'left', t.left) "
+            f"ELSE named_struct('top', t.top, 'low', IF(d = 0, t.low, t.low | 1L), 'n', t.n, 'left', t.left + 1) END, "
+            f"t -> (CAST(t.top AS DOUBLE) * {step * step!r}D + CAST(t.low AS DOUBLE)) "
+            f"* pow(2D, t.left * {_BITS} + {_UNITS[0] - _BELOW * _BITS}))")
+
+    zeros = ("array_repeat(0L, {})".format(n) for n in (_BELOW, _ABOVE))
+    plain = "concat({}, s, {})".format(*zeros)
+    general = (
+        f"transform(array({settled(plain)}), f -> IF(f.c < 0, "
+        f"-{size(settled(f'transform({plain}, x -> -x)') + '.d')}, {size('f.d')}))[0]")
+    # Usual totals have four pieces and need neither arrays nor signs.
+    a, b, c, d = (f"s[{_USUAL + i}]" for i in range(4))
+    b = f"({b} + shiftright({a}, {_BITS}))"
+    c = f"({c} + shiftright({b}, {_BITS}))"
+    d = f"({d} + shiftright({c}, {_BITS}))"
+    top = f"(shiftleft({d}, {_BITS}) + ({c} & {mask}))"
+    low = f"(shiftleft({b} & {mask}, {_BITS}) + ({a} & {mask}))"
+    others = " AND ".join(f"s[{i}] = 0" for i in range(len(_UNITS)) if not _USUAL <= i < _USUAL + 4)
+    quick = f"(CAST({top} AS DOUBLE) * {step * step!r}D + CAST({low} AS DOUBLE)) * {2.0 ** _UNITS[_USUAL]!r}D"
+    return (f"CASE WHEN s[0] IS NULL THEN NULL WHEN abs({d}) < {1 << 28} AND {others} THEN {quick} "
+            f"ELSE {general} END")
+
+
+_ROUNDED = _rounded_sql()
+
+
+def exact_sum(name: str) -> Column:
+    """SUM of a double column, independent of the order of addition.
 
     Adding doubles in another order moves the last digits, so a retried task or
-    another partitioning can turn x.50 into x.49999 and flip a rounding. Values
-    are added as the decimals they are written as, with ``scale`` places, and
-    the total is turned back into a double. A value that ``scale`` places do not
-    hold in full raises an error; none is rounded. NaN and infinities make the
-    total what adding doubles makes of them.
+    another partitioning can turn x.50 into x.49999 and flip a rounding. Here
+    every value is cut into integers at fixed powers of two, which are added as
+    longs, and each group's total is rounded once, as ``math.fsum`` does. That
+    holds for bits from 2**-192 on in values below 2**95; smaller bits are
+    rounded value by value and larger values are added as doubles. NaN and
+    infinities make the total what adding doubles makes of them.
     """
-    value = F.col(name).cast("double")
-    finite = F.abs(value) < F.lit(math.inf)
-    written = F.when(finite, value).cast(f"decimal(38,{scale})")
-    message = F.concat(F.lit(f"{name} has more than {scale} decimal places: "), value.cast("string"))
-    held = F.when(written.cast("double") == value, written).otherwise(
-        F.when(finite, F.raise_error(message).cast(f"decimal(38,{scale})")))
-    total = F.sum(held).cast("double")
-    rest = F.sum(F.when(~finite, value))
-    return F.coalesce(rest, total)
+    value = "CAST(`{}` AS DOUBLE)".format(name.replace("`", "``"))
+    held = f"IF(abs({value}) < {_HUGE!r}D, {value}, NULL)"
+    scaled = [f"rint({held} * {2.0 ** -u!r}D)" for u in [*_UNITS, _UNITS[-1] + _BITS]]
+    pieces = ", ".join(
+        f"sum(CAST({low} - {high} * {float(2**_BITS)!r}D AS BIGINT))" for low, high in zip(scaled, scaled[1:]))
+    total = f"transform(array(array({pieces})), s -> {_ROUNDED})[0]"
+    huge = f"sum(IF(abs({value}) < {_HUGE!r}D, NULL, {value}))"
+    return F.expr(f"coalesce({total}, IF({huge} IS NULL, NULL, 0D)) + coalesce({huge}, 0D)")
 
 
 def exact_avg(name: str) -> Column:
