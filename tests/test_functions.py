@@ -1,5 +1,6 @@
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,20 +71,20 @@ def test_percent_of_zero_is_null_and_halves_round_up(spark):
 
 def test_exact_sum_does_not_depend_on_order_or_partitioning(spark):
     prices = [round(0.07 * i + 0.01 * (i % 3), 2) for i in range(20_000)]
-    expected = math.fsum(prices)
+    expected = float(sum(Decimal(str(p)) for p in prices))
     forward = spark.createDataFrame([(p,) for p in prices], "x DOUBLE")
     for df in (forward, forward.repartition(7), forward.orderBy(F.desc("x")).coalesce(1)):
         assert df.agg(exact_sum("x")).first()[0] == expected
 
 
-def test_exact_sum_is_the_sum_rounded_once(spark):
+def test_other_values_are_summed_exactly_and_rounded_once(spark):
     """Groups of every kind against Python's exact sum; cancelling, mixed, tiny and large values."""
     pick = random.Random(1)
     kinds = [
-        lambda: round(pick.random() * 100, 2), lambda: pick.random() * 1e9, lambda: -round(pick.random() * 1e3, 2),
-        lambda: pick.choice([1e22, -1e22, 1e-30, 1 / 3e6, 1 / 3e-6, 1e21, 0.1, 5.5, -1e-7, 1e-19]),
-        lambda: pick.choice([1, -1]) * pick.random() * 2.0 ** pick.randrange(-130, 90),
-        lambda: pick.choice([1e22, -1e22]), lambda: 1e-30, lambda: 8388608.5 * pick.choice([1, 2, -3]), lambda: 0.0,
+        lambda: pick.random() * 1e9, lambda: -pick.random(), lambda: pick.choice([1e22, -1e22, 1e-30, 1 / 3e6, 1 / 3e-6]),
+        lambda: pick.choice([1e21, 1 / 3, -1e-7, 1e-19, 2.0**60 + 2.0**10]),
+        lambda: pick.choice([1, -1]) * pick.random() * 2.0 ** pick.randrange(-110, 80),
+        lambda: pick.choice([1e22, -1e22]), lambda: 1e-30, lambda: 2.0**50 * pick.choice([1, 2, -3]) + 0.25,
     ]
     groups = {g: [kinds[g % len(kinds)]() for _ in range(pick.choice([1, 2, 3, 50, 300]))] for g in range(180)}
     rows = [(g, x) for g, xs in groups.items() for x in xs]
@@ -98,7 +99,11 @@ def test_exact_sum_edges(spark):
         return make(spark, "`x y` DOUBLE", *[(x,) for x in xs]).agg(exact_sum("x y")).first()[0]
 
     assert total(None, None) is None
-    assert total(None, 0.1, 0.2) == math.fsum([0.1, 0.2])
+    assert total(None, 0.1, 0.2) == 0.3
+    assert total(*[0.0000004] * 1000) == math.fsum([0.0000004] * 1000)  # seven places
+    assert total(*[0.01] * 5, 1e-30) == 0.05
+    assert total(*[99_999_999.99] * 200) == 19_999_999_998.0
+    assert total(0.0, -0.0) == 0.0 and total(2e15, 0.5) == 2e15 + 0.5
     assert total(-1.25, -0.5) == -1.75
     assert total(*[9.0e14] * 20_000) == 1.8e19
     assert total(9e14, 1e-7, -9e14) == 1e-7

@@ -10,24 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Exact sums cut a double into integers of this many bits; of rows that Spark adds
-# as longs, 2**40 then fit into one group.
-_BITS = 24
-# Powers of two that the pieces count, lowest first. Those from 2**-72 to 1 hold money.
-_UNITS = range(-8 * _BITS, 4 * _BITS, _BITS)
-_USUAL = _UNITS.index(-3 * _BITS)
+# Money is added in millionths, in two pieces of this many bits at most, so that
+# 2**40 rows fit into one group.
+_MONEY_BITS = 24
+_MONEY = 10**6
+_LARGEST = 2**47
+# Other doubles are cut into integers of this many bits, counted in these powers
+# of two, lowest first; 2**36 rows fit into one group.
+_BITS = 28
+_UNITS = range(-6 * _BITS, 3 * _BITS, _BITS)
 _HUGE = 2.0 ** (_UNITS[-1] + _BITS - 1)
 # Zeros below the pieces, so that every total has enough digits, and above for carries.
 _BELOW, _ABOVE = 4, 3
 
 
 def _rounded_sql() -> str:
-    """SQL of the double nearest to a total, from its pieces ``s``.
+    """SQL of the double nearest to a total, from its pieces ``s.odd``.
 
     Carries are settled first, for the total without its sign. The leading
-    digits, below 2**53 together, and the two digits after them are exact
-    doubles, with a bit set for anything below, so that their one addition
-    rounds as the whole total does.
+    digits, below 2**53 together, and the next digit are exact doubles, with a
+    bit set for anything below, so that their one addition rounds as the whole
+    total does.
     """
     mask, step = f"{(1 << _BITS) - 1}L", float(2**_BITS)
 
@@ -39,54 +42,60 @@ def _rounded_sql() -> str:
     def size(digits: str) -> str:
         return (
             f"reduce(reverse({digits}), named_struct('top', 0L, 'low', 0L, 'n', 0, 'left', 0), (t, d) -> CASE "
-            f"WHEN t.top < {1 << 29} THEN "
+            f"WHEN t.top < {1 << 53 - _BITS} THEN "
             f"named_struct('top', shiftleft(t.top, {_BITS}) + d, 'low', t.low, 'n', t.n, 'left', t.left) "
-            f"WHEN t.n < 2 THEN "
-            f"named_struct('top', t.top, 'low', shiftleft(t.low, {_BITS}) + d, 'n', t.n + 1, 'left', t.left) "
+            f"WHEN t.n < 1 THEN named_struct('top', t.top, 'low', shiftleft(d, 1), 'n', 1, 'left', t.left) "
             f"ELSE named_struct('top', t.top, 'low', IF(d = 0, t.low, t.low | 1L), 'n', t.n, 'left', t.left + 1) END, "
-            f"t -> (CAST(t.top AS DOUBLE) * {step * step!r}D + CAST(t.low AS DOUBLE)) "
-            f"* pow(2D, t.left * {_BITS} + {_UNITS[0] - _BELOW * _BITS}))")
+            f"t -> (CAST(t.top AS DOUBLE) * {2 * step!r}D + CAST(t.low AS DOUBLE)) "
+            f"* pow(2D, t.left * {_BITS} + {_UNITS[0] - _BELOW * _BITS - 1}))")
 
-    zeros = ("array_repeat(0L, {})".format(n) for n in (_BELOW, _ABOVE))
-    plain = "concat({}, s, {})".format(*zeros)
-    general = (
+    plain = f"concat(array_repeat(0L, {_BELOW}), s.odd, array_repeat(0L, {_ABOVE}))"
+    return (
         f"transform(array({settled(plain)}), f -> IF(f.c < 0, "
         f"-{size(settled(f'transform({plain}, x -> -x)') + '.d')}, {size('f.d')}))[0]")
-    # Usual totals have four pieces and need neither arrays nor signs.
-    a, b, c, d = (f"s[{_USUAL + i}]" for i in range(4))
-    b = f"({b} + shiftright({a}, {_BITS}))"
-    c = f"({c} + shiftright({b}, {_BITS}))"
-    d = f"({d} + shiftright({c}, {_BITS}))"
-    top = f"(shiftleft({d}, {_BITS}) + ({c} & {mask}))"
-    low = f"(shiftleft({b} & {mask}, {_BITS}) + ({a} & {mask}))"
-    others = " AND ".join(f"s[{i}] = 0" for i in range(len(_UNITS)) if not _USUAL <= i < _USUAL + 4)
-    quick = f"(CAST({top} AS DOUBLE) * {step * step!r}D + CAST({low} AS DOUBLE)) * {2.0 ** _UNITS[_USUAL]!r}D"
-    return (f"CASE WHEN s[0] IS NULL THEN NULL WHEN abs({d}) < {1 << 28} AND {others} THEN {quick} "
-            f"ELSE {general} END")
 
 
-_ROUNDED = _rounded_sql()
+def _total_sql() -> str:
+    """SQL of a group's total from the sums ``s``."""
+    millionths = f"(s.high * {1 << _MONEY_BITS}L + s.low)"
+    exact = (f"CAST((CAST(s.high AS DECIMAL(20,0)) * {1 << _MONEY_BITS}BD + CAST(s.low AS DECIMAL(20,0))) "
+             f"/ {_MONEY}BD AS DOUBLE)")
+    money = (f"CASE WHEN s.high IS NULL THEN NULL WHEN abs(s.high) >= {1 << 37} THEN {exact} "
+             f"WHEN abs({millionths}) < {1 << 53} THEN CAST({millionths} AS DOUBLE) / {_MONEY}D ELSE {exact} END")
+    odd = f"IF(s.odd[0] IS NULL, NULL, {_rounded_sql()})"
+    return (f"CASE WHEN s.odd[0] IS NULL AND s.huge IS NULL THEN {money} "
+            f"ELSE coalesce({money}, 0D) + coalesce({odd}, 0D) + coalesce(s.huge, 0D) END")
+
+
+_TOTAL = _total_sql()
 
 
 def exact_sum(name: str) -> Column:
-    """SUM of a double column, independent of the order of addition.
+    """SUM of a double column of money, independent of the order of addition.
 
     Adding doubles in another order moves the last digits, so a retried task or
-    another partitioning can turn x.50 into x.49999 and flip a rounding. Here
-    every value is cut into integers at fixed powers of two, which are added as
-    longs, and each group's total is rounded once, as ``math.fsum`` does. That
-    holds for bits from 2**-192 on in values below 2**95; smaller bits are
+    another partitioning can turn x.50 into x.49999 and flip a rounding. Values
+    with up to six decimal places (below 140 million) are added as the decimals
+    they are written as, in millionths as longs; sums of such sums lose nothing.
+    All other values are cut into integers at fixed powers of two, which are
+    added as longs too, and their total is rounded once, as ``math.fsum`` does.
+    That holds for bits from 2**-168 on in values below 2**83; smaller bits are
     rounded value by value and larger values are added as doubles. NaN and
     infinities make the total what adding doubles makes of them.
     """
     value = "CAST(`{}` AS DOUBLE)".format(name.replace("`", "``"))
-    held = f"IF(abs({value}) < {_HUGE!r}D, {value}, NULL)"
-    scaled = [f"rint({held} * {2.0 ** -u!r}D)" for u in [*_UNITS, _UNITS[-1] + _BITS]]
+    count = f"rint({value} * {_MONEY}D)"
+    money = f"(abs({count}) < {_LARGEST} AND {count} / {_MONEY}D = {value})"
+    high, step = f"rint({count} * {2.0 ** -_MONEY_BITS!r}D)", float(2**_MONEY_BITS)
+    odd = f"IF({money} OR abs({value}) >= {_HUGE!r}D, NULL, {value})"
+    scaled = [f"rint({odd} * {2.0 ** -u!r}D)" for u in [*_UNITS, _UNITS[-1] + _BITS]]
     pieces = ", ".join(
-        f"sum(CAST({low} - {high} * {float(2**_BITS)!r}D AS BIGINT))" for low, high in zip(scaled, scaled[1:]))
-    total = f"transform(array(array({pieces})), s -> {_ROUNDED})[0]"
-    huge = f"sum(IF(abs({value}) < {_HUGE!r}D, NULL, {value}))"
-    return F.expr(f"coalesce({total}, IF({huge} IS NULL, NULL, 0D)) + coalesce({huge}, 0D)")
+        f"sum(CAST({low} - {up} * {float(2**_BITS)!r}D AS BIGINT))" for low, up in zip(scaled, scaled[1:]))
+    sums = (
+        f"named_struct('high', sum(IF({money}, CAST({high} AS BIGINT), NULL)), "
+        f"'low', sum(IF({money}, CAST({count} - {high} * {step!r}D AS BIGINT), NULL)), "
+        f"'odd', array({pieces}), 'huge', sum(IF(abs({value}) < {_HUGE!r}D, NULL, {value})))")
+    return F.expr(f"transform(array({sums}), s -> {_TOTAL})[0]")
 
 
 def exact_avg(name: str) -> Column:
