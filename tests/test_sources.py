@@ -119,3 +119,49 @@ def test_append_mode(spark):
 def test_audit_column_from_single_name(spark):
     row = with_audit_columns(spark.range(1), "f.csv").first()
     assert row._source_file == "f.csv" and row._ingestion_ts is not None
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS t6_gold")
+    tables.materialize(spark.range(5), "t6_gold.a", comment="first")
+    half = spark.range(0, 1000, 1, 8).select(
+        F.when(F.col("id") > 900, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.materialize(half, "t6_gold.a")
+    assert sorted(r.id for r in spark.table("t6_gold.a").collect()) == list(range(5))
+    assert [t.name for t in spark.catalog.listTables("t6_gold")] == ["a"]
+
+
+def test_a_replaced_table_may_read_itself_and_change_its_columns(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS t7_gold")
+    tables.materialize(spark.range(5), "t7_gold.a", comment="first")
+    doubled = spark.table("t7_gold.a").selectExpr("id * 2 AS twice", "IF(id = 3, NULL, concat('a b/', id % 2)) AS m")
+    assert tables.materialize(doubled, "t7_gold.a", comment="second", partition_by=["m"]) == 5
+    rows = {r.twice: r.m for r in spark.table("t7_gold.a").collect()}
+    assert rows == {0: "a b/0", 2: "a b/1", 4: "a b/0", 6: None, 8: "a b/0"}
+    again = spark.table("t7_gold.a").where("twice > 2")
+    assert tables.materialize(again, "t7_gold.a", comment="second", partition_by=["m"]) == 3
+    assert sorted(r.twice for r in spark.table("t7_gold.a").collect()) == [4, 6, 8]
+    found = tables.list_tables(spark, "t7_gold").collect()
+    assert [(r.table_name, r.comment) for r in found] == [("a", "second")]
+    assert tables.materialize(spark.range(0), "t7_gold.a") == 0
+    assert spark.table("t7_gold.a").columns == ["id"] and spark.table("t7_gold.a").count() == 0
+
+
+def test_an_exchange_that_fails_is_undone(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS t8_gold")
+    tables.materialize(spark.range(5), "t8_gold.a")
+    tables.materialize(spark.range(3), "t8_gold.b")
+    with pytest.raises(Exception):
+        tables._take_place(spark, "t8_gold.missing", "t8_gold.a")
+    assert spark.table("t8_gold.a").count() == 5
+    assert sorted(t.name for t in spark.catalog.listTables("t8_gold")) == ["a", "b"]
+
+
+def test_rows_are_counted_by_the_write(spark):
+    """One job writes and counts; no second scan."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS t9_gold")
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    before = jobs()
+    assert tables.materialize(spark.range(0, 1000, 1, 4), "t9_gold.a") == 1000
+    assert jobs() - before == 1

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.schemas import RAW_SCHEMAS
@@ -17,6 +19,8 @@ LAYERS = {
     "gold": "Aggregates and cross-tabs for reporting",
 }
 
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _sql_text(value: str) -> str:
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
@@ -70,25 +74,69 @@ def materialize(
 ) -> int:
     """Write ``df`` as a managed table and return the row count of the table.
 
+    A table that is replaced stays as it is until the new one is complete: rows
+    are written under another name, and names are exchanged afterwards. A write
+    that fails leaves the old rows in place, and ``df`` may read ``table``
+    itself. Delta replaces in one commit of its own. The rows of a new table are
+    counted by the write, not by another scan.
+
     ``stamp`` adds ``_updated_ts``. With ``partition_by`` the rows are
     rebalanced on those columns first: AQE then cuts a partition that is too
-    large into several files and joins small ones, whatever the skew. ``df``
-    must not read ``table`` itself.
+    large into several files and joins small ones, whatever the skew.
     """
     spark = df.sparkSession
     if stamp:
         df = df.withColumn("_updated_ts", F.current_timestamp())
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode(mode)
+    staged = mode == "overwrite" and fmt != "delta" and spark.catalog.tableExists(table)
+    target = f"{table}__{uuid.uuid4().hex}" if staged else table
+    counted = Observation()
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
     if fmt == "delta" and mode == "overwrite":
         writer = writer.option("overwriteSchema", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_sql_text(comment)}")
-    return spark.table(table).count()
+    try:
+        writer.saveAsTable(target)
+        if comment:
+            spark.sql(f"COMMENT ON TABLE {target} IS {_sql_text(comment)}")
+    except BaseException:
+        if staged:
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
+        raise
+    if staged:
+        _take_place(spark, target, table)
+    return counted.get["rows"] if mode == "overwrite" else spark.table(table).count()
+
+
+def _take_place(spark: SparkSession, new: str, table: str) -> None:
+    """Give ``new`` the name of ``table``, which is dropped; undone if the exchange fails."""
+    old = f"{table}__{uuid.uuid4().hex}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except BaseException:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    _find_partitions(spark, table)
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _find_partitions(spark: SparkSession, table: str) -> None:
+    """Point the partitions of a renamed table to where its files are now; some
+    catalogs move the files and keep the partitions' old places."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "# Partition Information" not in facts:
+        return
+    for (path,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        pairs = [part.split("=", 1) for part in path.split("/")]
+        spec = ", ".join(
+            f"`{unquote(name)}` = {'NULL' if value == _NULL_PARTITION else _sql_text(unquote(value))}"
+            for name, value in pairs)
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {_sql_text(facts['Location'] + '/' + path)}")
+    spark.catalog.refreshTable(table)
 
 
 def ingest(
