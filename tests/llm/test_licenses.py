@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -131,5 +132,39 @@ def test_keyword_gate_loses_nothing(spark):
     assert [d[0].label for d in gated[:7]] == ["gpl-3", "gpl-2", "cc0", "mit", "wtfpl", "lgpl-2", "lgpl"]
 
 
+def settled(found):
+    """The rule for overlaps, straight from its words: (first, stop, strength, ...) that stay."""
+    order = sorted(found, key=lambda d: (d[0], -d[1], d[2], d[3], d[4]))
+    return [d for i, d in enumerate(order) if not any(
+        e[1] >= d[1] and e[2] <= d[2] for e in order[:i])]
+
+
+def test_detections_equal_brute_force(spark):
+    pick = random.Random(5)
+    parts = ["licensed under the", "mit license", "cc by nc sa 4 0", "apache license version 2 0", "and", "gnu",
+             "general public license", "all rights reserved", "bsd 3 clause", "or later", "version 3", "the", "text"]
+    texts = [" ".join(pick.choice(parts) for _ in range(n)) for n in (0, 1, 2, 5, 12, 30, 80, 300)]
+    gated, every = gated_and_not(spark, texts)
+    assert gated == every
+    for text, got in zip(texts, gated):
+        words, found = f" {text} ", []
+        for label, _, strength, confidence, rule in licenses.rules():
+            for m in re.finditer(f"(?<= )(?:{rule})(?= )", words):
+                first = words[:m.start()].count(" ") - 1
+                found.append((first, first + m.group().count(" ") + 1, strength, label, confidence))
+        assert [(d.first, d.stop, d.strength, d.label, d.confidence) for d in got] == settled(found)
+
+
+def test_many_matches_in_one_text(spark):
+    """Time is about linear in the matches: 200,000 of them in one text."""
+    n = 200_000
+    docs = spark.createDataFrame([(1, "see cc by nc now " * n, "en", "s", 1)], SCHEMA)
+    start = time.monotonic()
+    row = licenses.scan(docs).select(
+        "n_words", "n_base", "first_word", "last_word", "labels", F.size("detections").alias("n")).first()
+    assert tuple(row) == (5 * n, n, 1, 5 * n - 4, "cc-by-nc", n)
+    assert time.monotonic() - start < 60
+
+
 def test_empty(spark):
     assert licenses.labels(spark.createDataFrame([], SCHEMA)).collect() == []

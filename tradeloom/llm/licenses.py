@@ -8,6 +8,7 @@ lies inside another of the same or a stronger form is dropped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
@@ -168,26 +169,28 @@ def _bounded(regex: str) -> str:
     return f"(?<= )(?:{regex})(?= )"
 
 
-def _spaces(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+# Around a match; no word holds them.
+_OPEN, _CLOSE = "\x01", "\x02"
 
 
 def _places(words: Column, regex: Column) -> Column:
-    """(first, stop) word numbers of all matches of ``regex``."""
-    zero = F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<first:int,stop:int>>").alias("found"))
+    """(first, stop) word numbers of all matches of ``regex``, in time linear in
+    the words: matches get marks, and marked words are read by their index."""
+    def numbers(tokens: Column, test: Callable[[Column], Column], shift: int) -> Column:
+        marked = F.transform(tokens, lambda w, i: F.when(test(w), (i - shift).cast("int")))
+        return F.filter(marked, lambda i: i.isNotNull())
 
-    def step(acc: Column, pair: Column) -> Column:
-        first = acc["at"] + _spaces(pair["piece"])
-        stop = first + _spaces(pair["match"]) + 1
-        place = F.struct(first.cast("int").alias("first"), stop.cast("int").alias("stop"))
-        return F.struct((stop - 1).cast("int").alias("at"), F.array_append(acc["found"], place).alias("found"))
+    def places(tokens: Column) -> Column:
+        # An empty token lies before the first word.
+        firsts = numbers(tokens, lambda w: F.startswith(w, F.lit(_OPEN)), 1)
+        stops = numbers(tokens, lambda w: F.endswith(w, F.lit(_CLOSE)), 0)
+        return F.zip_with(firsts, stops, lambda a, b: F.struct(a.alias("first"), b.alias("stop")))
 
-    def pairs(matches: Column) -> Column:
-        pieces = F.slice(F.split(words, regex, -1), F.lit(1), F.size(matches))
-        return F.arrays_zip(pieces.alias("piece"), matches.alias("match"))
+    def read(marked: Column) -> Column:
+        return F.when(F.contains(marked, F.lit(_OPEN)), let(F.split(marked, " ", -1), places)).otherwise(
+            F.array().cast("array<struct<first:int,stop:int>>"))
 
-    matches = F.regexp_extract_all(words, regex, F.lit(0))
-    return F.aggregate(let(matches, pairs), zero, step, lambda acc: acc["found"])
+    return let(F.regexp_replace(words, regex, F.lit(f"{_OPEN}$0{_CLOSE}")), read)
 
 
 _DETECTION = "label:string,strength:int,confidence:double,first:int,stop:int"
@@ -206,23 +209,48 @@ def detections(words: Column, by_keyword: bool = True) -> Column:
         _places(words, r["regex"]), lambda p: F.struct(
             p["first"].alias("first"), (-p["stop"]).alias("back"), r["strength"].alias("strength"),
             r["label"].alias("label"), r["confidence"].alias("confidence")))))
-    # In order of start, longest first, a detection is inside an earlier one if
-    # it ends no later than the farthest end so far of its form or a stronger one.
-    ends = F.array(*[F.lit(-1)] * _TIERS)
-    zero = F.struct(ends.alias("ends"), F.array().cast(f"array<struct<{_DETECTION}>>").alias("kept"))
+    return let(F.array_sort(found), _settled)
+
+
+def _settled(found: Column) -> Column:
+    """Sorted detections without those inside an earlier one of the same or a
+    stronger form.
+
+    In order of start, longest first, a detection is inside an earlier one if
+    it ends no later than the farthest end so far of its form or a stronger
+    one. The list is cut into runs of about the square root of its length, so
+    that no growing list is copied once per detection.
+    """
+    zero = F.array(*[F.lit(-1)] * _TIERS)
+
+    def farther(ends: Column, d: Column) -> Column:
+        return F.transform(ends, lambda e, i: F.when(
+            i + 1 >= d["strength"], F.greatest(e, -d["back"])).otherwise(e))
 
     def step(acc: Column, d: Column) -> Column:
         stop = -d["back"]
-        covered = F.element_at(acc["ends"], d["strength"]) >= stop
-        reached = F.transform(acc["ends"], lambda e, i: F.when(
-            (i + 1 >= d["strength"]) & (stop > e), stop).otherwise(e))
         row = F.struct(d["label"].alias("label"), d["strength"].alias("strength"),
                        d["confidence"].alias("confidence"), d["first"].alias("first"), stop.alias("stop"))
         return F.struct(
-            reached.alias("ends"),
-            F.when(covered, acc["kept"]).otherwise(F.array_append(acc["kept"], row)).alias("kept"))
+            farther(acc["ends"], d).alias("ends"),
+            F.when(F.element_at(acc["ends"], d["strength"]) >= stop, acc["kept"]).otherwise(
+                F.array_append(acc["kept"], row)).alias("kept"))
+
+    def settled(runs: Column) -> Column:
+        reach = F.transform(runs, lambda run: F.aggregate(run, zero, farther))
+        # The farthest ends before each run; one more entry than there are runs.
+        before = F.aggregate(reach, F.array(zero), lambda acc, r: F.array_append(
+            acc, F.zip_with(F.element_at(acc, -1), r, lambda a, b: F.greatest(a, b))))
+        none = F.array().cast(f"array<struct<{_DETECTION}>>")
+        return let(before, lambda ends: F.flatten(F.transform(runs, lambda run, i: F.aggregate(
+            run, F.struct(ends[i].alias("ends"), none.alias("kept")), step, lambda acc: acc["kept"]))))
+
+    def cut(size: Column) -> Column:
+        starts = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found), size)).otherwise(
+            F.array().cast("array<int>"))
+        return let(F.transform(starts, lambda at: F.slice(found, at, size)), settled)
 
-    return F.aggregate(F.array_sort(found), zero, step, lambda acc: acc["kept"])
+    return let(F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(found)))).cast("int"), cut)
 
 
 def normalised(text: Column) -> Column:
@@ -278,4 +306,6 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def labels(docs: DataFrame) -> DataFrame:
+    """``scan`` without the detections, with the same rows for NULL and empty
+    texts, repeated rows and an empty table."""
     return scan(docs).drop("detections")
