@@ -58,6 +58,78 @@ def test_weights_are_sparse_and_probabilities_calibrated(spark):
     assert p.sum() == pytest.approx(1) and model.languages[int(p.argmax())] == "en"
 
 
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number, one of them with a single doc_id repeated often."""
+    rows = [(1000 * k + i, " ".join(chr(0x4E00 + 50 * k + (7 * i + j) % 40) for j in range(12)), f"l{k:03}", "s", 1)
+            for k in range(100) for i in range(12)]
+    one = next(i for i in range(10**6, 10**6 + 9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows += [(one, f"zq zz qz {i}", "often", "s", 1) for i in range(3000)]
+    found = language.languages(spark.createDataFrame(rows, SCHEMA)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in found if r.held_out]
+    assert len({truth[r.doc_id] for r in held}) > 95
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_one_repeated_id_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 200)
+    one = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = corpus() + [(one, prose(i, 20), "en", "s", 1) for i in range(10_000)]
+    model = language.train(spark.createDataFrame(rows, SCHEMA))
+    assert model.languages == ["en", "es"]
+    for text, lang in ((other(5, 12), "es"), (prose(7, 12), "en")):
+        assert model.languages[int(model.probabilities(language.term_counts(text)).argmax())] == lang
+
+
+def test_only_letters_make_a_language(spark):
+    docs = spark.createDataFrame([(-1, "½ ² ① Ⅷ 12 _", "en", "s", 1), (-2, "½ ª", "en", "s", 1)] + corpus(), SCHEMA)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.languages(docs).where("doc_id < 0").collect()}
+    assert found[-1] == ("und", 0.0) and found[-2][0] in ("en", "es")
+
+
+def test_ftrl_equals_plain_recursion(monkeypatch):
+    """FTRL-proximal one weight at a time, over the same batches."""
+    monkeypatch.setattr(language, "FEATURES", 6)
+    monkeypatch.setattr(language, "BATCH", 4)
+    monkeypatch.setattr(language, "L1", 0.05)
+    data = np.random.default_rng(3).random((18, 6))
+    classes = np.arange(18) % 3
+
+    class Rows:
+        def __getitem__(self, at):
+            return data[at]
+
+    weights = language.ftrl(Rows(), np.arange(18), classes, 3)
+    z = [[0.0] * 3 for _ in range(6)]
+    n = [[0.0] * 3 for _ in range(6)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= language.L1:
+            return 0.0
+        sign = 1 if z[i][c] > 0 else -1
+        return -(z[i][c] - sign * language.L1) / ((language.BETA + n[i][c] ** 0.5) / language.ALPHA + language.L2)
+
+    order = np.random.default_rng(0)
+    for _ in range(language.EPOCHS):
+        for batch in np.array_split(order.permutation(np.arange(18)), 5):
+            w = [[weight(i, c) for c in range(3)] for i in range(6)]
+            slope = [[0.0] * 3 for _ in range(6)]
+            for row in batch:
+                x = data[row]
+                e = [np.exp(sum(x[i] * w[i][c] for i in range(6))) for c in range(3)]
+                for i in range(6):
+                    for c in range(3):
+                        slope[i][c] += x[i] * (e[c] / sum(e) - (classes[row] == c)) / len(batch)
+            for i in range(6):
+                for c in range(3):
+                    g = slope[i][c]
+                    z[i][c] += g - ((n[i][c] + g * g) ** 0.5 - n[i][c] ** 0.5) / language.ALPHA * w[i][c]
+                    n[i][c] += g * g
+    plain = np.array([[weight(i, c) for c in range(3)] for i in range(6)])
+    assert np.allclose(weights, plain)
+    assert (plain == 0).any() and (plain != 0).any()
+
+
 def test_chunks_count_like_the_whole(monkeypatch):
     text = prose(3, 500) + " ñé日本🙂"
     whole = language.term_counts(text)

@@ -10,12 +10,12 @@ learned from calibrates the probabilities.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +24,15 @@ from tradeloom.llm.shared import written
 FEATURES = 1 << 13
 NGRAMS = (1, 2, 3)
 FOLDS, HELD_OUT = 3, 1
-# Bounds of the sample that weights are learned from.
+# Bounds of the sample that weights are learned from; each language has one document at least.
 SAMPLE = 6000
 PER_LANGUAGE = 600
-LANGUAGES = 64
 EPOCHS = 5
 BATCH = 32
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-4
 UNKNOWN = "und"
 _CHUNK = 1 << 18
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
@@ -90,11 +89,10 @@ class Model:
     languages: list[str]
     idf: np.ndarray
     weights: np.ndarray  # FEATURES x languages, mostly zero
-    bias: np.ndarray
     temperature: float = 1.0
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
-        return _softmax((_weighted(counts, self.idf) @ self.weights + self.bias) / self.temperature)
+        return _softmax((_weighted(counts, self.idf) @ self.weights) / self.temperature)
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -117,31 +115,28 @@ class _Sample:
         return _weighted(out, self.idf)
 
 
-def ftrl(
-    sample: _Sample, rows: np.ndarray, classes: np.ndarray, n_classes: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and biases by FTRL-proximal over mini-batches. Biases are not penalised."""
-    penal_1 = np.full((FEATURES + 1, 1), L1)
-    penal_2 = np.full((FEATURES + 1, 1), L2)
-    penal_1[-1] = penal_2[-1] = 0
-    z, squares = np.zeros((2, FEATURES + 1, n_classes))
+def ftrl(sample: _Sample, rows: np.ndarray, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """Weights by FTRL-proximal over mini-batches. There are no biases: how
+    often a language is in the sample is set by the quotas, not by the corpus."""
+    z, squares = np.zeros((2, FEATURES, n_classes))
     targets = np.eye(n_classes)[classes]
     order = np.random.default_rng(0)
 
-    def solved() -> np.ndarray:
-        rate = (BETA + np.sqrt(squares)) / ALPHA + penal_2
-        return np.where(np.abs(z) <= penal_1, 0.0, -(z - np.sign(z) * penal_1) / rate)
+    def solved(at: np.ndarray | slice) -> np.ndarray:
+        rate = (BETA + np.sqrt(squares[at])) / ALPHA + L2
+        return np.where(np.abs(z[at]) <= L1, 0.0, -(z[at] - np.sign(z[at]) * L1) / rate)
 
     for _ in range(EPOCHS if len(rows) else 0):
         for batch in np.array_split(order.permutation(rows), -(-len(rows) // BATCH)):
-            weights = solved()
-            x = np.hstack([sample[batch], np.ones((len(batch), 1))])
+            x = sample[batch]
+            # Only features of the batch have a slope.
+            at = np.flatnonzero(x.any(axis=0))
+            x, weights = x[:, at], solved(at)
             slope = x.T @ (_softmax(x @ weights) - targets[batch]) / len(batch)
-            step = (np.sqrt(squares + slope**2) - np.sqrt(squares)) / ALPHA
-            z += slope - step * weights
-            squares += slope**2
-    weights = solved()
-    return weights[:-1], weights[-1]
+            step = (np.sqrt(squares[at] + slope**2) - np.sqrt(squares[at])) / ALPHA
+            z[at] += slope - step * weights
+            squares[at] += slope**2
+    return solved(slice(None))
 
 
 def _temperature(model: Model, sample: _Sample, rows: np.ndarray, classes: np.ndarray) -> float:
@@ -149,7 +144,7 @@ def _temperature(model: Model, sample: _Sample, rows: np.ndarray, classes: np.nd
     if not len(rows):
         return 1.0
     scores = np.vstack([
-        sample[part] @ model.weights + model.bias
+        sample[part] @ model.weights
         for part in np.array_split(rows, -(-len(rows) // BATCH))])
 
     def loss(t: float) -> float:
@@ -162,24 +157,25 @@ def _temperature(model: Model, sample: _Sample, rows: np.ndarray, classes: np.nd
 def train(docs: DataFrame) -> Model | None:
     """The model of the documents' texts and ``lang``; None without any.
 
-    Learns from rows with text and lang that are not held out. The weights see
-    of each of at most LANGUAGES languages the PER_LANGUAGE documents with the
-    smallest hashes of their ids, a bounded sample; every fifth of them only
-    sets the temperature.
+    Learns from rows with text and lang that are not held out. Every language is
+    learned. The weights see of each the PER_LANGUAGE documents, or an equal
+    share of SAMPLE if that is less, with the smallest hashes of their ids, a
+    bounded sample; of rows that share a doc_id and a language it takes one.
+    Every fifth document of a language only sets the temperature. The model has
+    FEATURES numbers a language.
     """
-    learn = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    learn = docs.where(
+        F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
+    ).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     n, found = document_frequencies(learn)
     if not n:
         return None
-    ids = learn.select("doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("h"))
-    # The commonest languages, should there be more than are allowed.
-    common = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
-        F.col("n").desc(), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in common)
-    quota = min(PER_LANGUAGE, SAMPLE // len(languages))
+    ids = learn.select("doc_id", "lang").distinct().withColumn("h", F.xxhash64("doc_id"))
+    languages = sorted(r["lang"] for r in learn.select("lang").distinct().collect())
+    quota = max(1, min(PER_LANGUAGE, SAMPLE // len(languages)))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ranked = ids.where(F.col("lang").isin(languages)).withColumn("r", F.row_number().over(first))
-    bounded = written(ranked.where(F.col("r") <= quota).select("doc_id").distinct())
+    bounded = written(ids.withColumn("r", F.row_number().over(first)).where(F.col("r") <= quota).select(
+        "doc_id", "lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,26 +188,28 @@ def train(docs: DataFrame) -> Model | None:
                  pa.array(counts, pa.binary())],
                 names=["doc_id", "lang", "features", "counts"])
 
-    # At most SAMPLE ids are broadcast, the documented bound.
-    rows = learn.join(F.broadcast(bounded), "doc_id").where(F.col("lang").isin(languages)).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text",
-    ).mapInArrow(run, "doc_id long, lang string, features binary, counts binary")
-    sampled = rows.orderBy("doc_id", "lang", "counts").limit(SAMPLE).toArrow()
-    names = sampled.column("lang").to_pylist()
-    languages = sorted(set(names))
-    classes = np.array([languages.index(name) for name in names])
+    # One id a language or SAMPLE ids are broadcast, whichever is more.
+    chosen = learn.join(F.broadcast(bounded), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
+    rows = chosen.select("doc_id", "lang", F.col("least")["text"].alias("text")).mapInArrow(
+        run, "doc_id long, lang string, features binary, counts binary")
+    sampled = rows.orderBy("doc_id", "lang").toArrow()
+    number = {name: i for i, name in enumerate(languages)}
+    classes = np.array([number[name] for name in sampled.column("lang").to_pylist()])
     idf = np.log((1 + n) / (1 + found)) + 1
     sample = _Sample(sampled.column("features").to_pylist(), sampled.column("counts").to_pylist(), idf)
-    every = np.arange(len(names))
-    weights, bias = ftrl(sample, every[every % 5 < 4], classes, len(languages))
-    model = Model(languages, idf, weights, bias)
-    model.temperature = _temperature(model, sample, every[every % 5 == 4], classes)
+    place = np.zeros(len(classes), dtype=np.int64)
+    for c in range(len(languages)):
+        place[classes == c] = np.arange((classes == c).sum())
+    weights = ftrl(sample, np.flatnonzero(place % 5 < 4), classes, len(languages))
+    model = Model(languages, idf, weights)
+    model.temperature = _temperature(model, sample, np.flatnonzero(place % 5 == 4), classes)
     return model
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) from the texts alone; ``und`` with
-    score 0 for NULL texts, texts without letters, and without a model."""
+    score 0 for NULL texts, texts without letters (Unicode category L), and without a model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
