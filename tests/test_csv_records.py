@@ -1,0 +1,109 @@
+"""Quoted line breaks in files that are read in byte ranges, against Spark's one-task reader."""
+
+import random
+
+import pytest
+
+from tradeloom.schemas import RAW_SCHEMAS
+from tradeloom.sources import csv_records, tables
+from tradeloom.sources.csv_files import read_csv, split_bad_rows, with_audit_columns
+
+SCHEMA = "id STRING, text STRING, n INT"
+TEXTS = ["plain", "", '"a ""quoted"" word"', '"line\none"', '"\n\n\n"', '"comma, and\n""quote""\n"', '"""\n"""',
+         '"' + "long\n" * 60 + '"', "tail"]
+
+
+def _file(path, seed, rows=400):
+    pick = random.Random(seed)
+    lines = [f"{seed}-{n},{pick.choice(TEXTS)},{pick.choice([n, 'x', ''])}\n" for n in range(rows)]
+    path.write_text("id,text,n\n" + "".join(lines))
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Byte ranges of some hundred bytes, so that most of them begin inside a record."""
+    changed = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
+    old = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _both(spark, path, schema=SCHEMA):
+    slow = read_csv(spark, path, schema, multiline=True)
+    fast = read_csv(spark, path, schema, multiline=True, split=True)
+    return slow, fast
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_equals_the_slow_reader_over_many_ranges(spark, tmp_path, small_ranges, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(csv_records, "BROADCAST_RANGES", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for seed in range(3):
+        _file(tmp_path / f"part {seed}+.csv", seed)
+    slow, fast = _both(spark, str(tmp_path))
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+        expected = _rows(with_audit_columns(slow).drop("_ingestion_ts"))
+        assert len(expected) == 1200
+        assert _rows(with_audit_columns(fast).drop("_ingestion_ts")) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_parts_of_records_are_shuffled(spark, tmp_path, small_ranges):
+    _file(tmp_path / "a.csv", 1)
+    _, fast = _both(spark, str(tmp_path))
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    lines = plan[plan.index("MapInArrow"):plan.index("BroadcastExchange", plan.index("MapInArrow"))]
+    assert "BroadcastHashJoin" in lines and "Exchange hashpartitioning" not in lines
+
+
+@pytest.mark.parametrize("content", [
+    "", "id,text,n\n", "id,text,n", "id,text,n\na,b,1", 'id,text,n\n\na,b,1\n\n\nc,"d\n\ne",2\n',
+    'id,"te\nxt",n\na,b,1\n', 'id,text,n\na,"' + "x\n" * 3000 + '",1\nb,,2\n', "id,text,n\na\nb,c,1,d\n",
+])
+@pytest.mark.parametrize("small", [True, False])
+def test_edges(spark, tmp_path, request, content, small):
+    if small:
+        request.getfixturevalue("small_ranges")
+    (tmp_path / "a.csv").write_text(content)
+    slow, fast = _both(spark, str(tmp_path / "a.csv"))
+    assert _rows(fast.drop("_source_file")) == _rows(slow)
+
+
+def test_windows_line_ends(spark, tmp_path, small_ranges):
+    (tmp_path / "a.csv").write_bytes(b'id,text,n\r\n' + b'a,"x\r\ny",1\r\nb,z,2\r\n' * 200)
+    _, fast = _both(spark, str(tmp_path / "a.csv"))
+    assert _rows(fast.drop("_source_file")) == [("a", "x\r\ny", 1)] * 200 + [("b", "z", 2)] * 200
+
+
+def test_bad_rows_and_ingest(spark, tmp_path, small_ranges):
+    _file(tmp_path / "a.csv", 5)
+    path = str(tmp_path / "a.csv")
+    _, slow = split_bad_rows(spark, path, SCHEMA, multiline=True)
+    good, bad = split_bad_rows(spark, path, SCHEMA, multiline=True, split=True)
+    assert sorted(r.id for r in bad.collect()) == sorted(r.id for r in slow.collect())
+    assert good.count() + bad.count() == 400
+    spark.sql("CREATE SCHEMA IF NOT EXISTS r1_bronze")
+    assert tables.ingest(spark, path, SCHEMA, "r1_bronze.a", multiline=True, split=True, quarantine="r1_bronze.bad") == 400
+    table = spark.table("r1_bronze.a")
+    assert table.columns == ["id", "text", "n", "_ingestion_ts", "_source_file"]
+    assert {r._source_file for r in table.collect()} == {"a.csv"}
+    assert spark.table("r1_bronze.bad").count() == bad.count()
+
+
+def test_reviews_are_read_in_several_tasks(spark, tmp_path, small_ranges):
+    message = '"said ""fine""\nand, more"'
+    rows = "".join(f"r{n},o{n},{n % 5 + 1},,{message},2018-01-01 00:00:00,2018-01-02 03:04:05\n" for n in range(300))
+    (tmp_path / "r.csv").write_text(",".join(c.split()[0] for c in RAW_SCHEMAS["order_reviews"].split(", ")) + "\n" + rows)
+    slow, fast = _both(spark, str(tmp_path / "r.csv"), RAW_SCHEMAS["order_reviews"])
+    assert _rows(fast.drop("_source_file")) == _rows(slow)
+    assert slow.rdd.getNumPartitions() == 1 and fast.rdd.getNumPartitions() > 10

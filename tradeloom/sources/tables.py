@@ -149,16 +149,18 @@ def ingest(
     mode: str = "overwrite",
     fmt: str = "parquet",
     multiline: bool = False,
+    split: bool = False,
     quarantine: str | None = None,
 ) -> int:
     """Load CSV files into ``table`` with audit columns; returns its row count.
 
     Rows with bad fields stay in the table with those fields NULL. Name a
-    ``quarantine`` table to also keep their raw lines there.
+    ``quarantine`` table to also keep their raw lines there. ``multiline`` and
+    ``split`` are those of ``read_csv``.
     """
-    rows = read_csv(spark, path, schema, multiline=multiline)
+    rows = read_csv(spark, path, schema, multiline=multiline, split=split)
     if quarantine is not None:
-        _, bad = split_bad_rows(spark, path, schema, multiline=multiline)
+        _, bad = split_bad_rows(spark, path, schema, multiline=multiline, split=split)
         materialize(with_audit_columns(bad, source_name), quarantine, mode=mode, fmt=fmt)
     return materialize(with_audit_columns(rows, source_name), table, mode=mode, fmt=fmt)
 
