@@ -240,7 +240,7 @@ def _csv_ingest_items(shop: Shop) -> DataFrame:
 def _ingest_tables(shop: Shop) -> DataFrame:
     """All nine raw tables written as CSV and ingested: rows, rows with both
     audit columns, and the reviews once more with a line break in each message,
-    read with and without quoted line breaks."""
+    read with quoted line breaks (whole files and byte ranges) and without."""
     spark, home = shop.spark, scratch_dir(shop.spark)
     layer = f"ingest_{uuid.uuid4().hex}"
     spark.sql(f"CREATE SCHEMA {layer}")
@@ -250,24 +250,67 @@ def _ingest_tables(shop: Shop) -> DataFrame:
     broken = F.concat(F.lit('"say, '), "review_comment_message", F.lit('",\nsecond line'))
     reviews = shop.raw("order_reviews").withColumn("review_comment_message", broken)
     _write_csv(reviews, f"{home}/broken", escape='"')  # quotes are doubled
-    extra = {"reviews_multiline": True, "reviews_by_line": False}
-    for name, multiline in extra.items():
+    extra = {"reviews_multiline": (True, False), "reviews_split": (True, True), "reviews_by_line": (False, False)}
+    for name, (multiline, split) in extra.items():
         tables.ingest(spark, f"{home}/broken", RAW_SCHEMAS["order_reviews"], f"{layer}.{name}",
-                      multiline=multiline)
+                      multiline=multiline, split=split)
     audited = F.count_if(F.col("_ingestion_ts").isNotNull() & F.col("_source_file").isNotNull())
     counts = [
         spark.table(f"{layer}.{name}").agg(F.count("*").alias("row_count"), audited.alias("audited"))
         .select(F.lit(name).alias("table_name"), "row_count", "audited")
         for name in [*VIEWS, *extra]
     ]
-    whole = spark.table(f"{layer}.reviews_multiline").where(
-        F.col("review_comment_message").endswith("\nsecond line")
-        & F.col("review_comment_message").startswith('"say, ') & F.col("review_answer_timestamp").isNotNull())
-    counts.append(whole.agg(F.count("*").alias("row_count")).select(
-        F.lit("whole_messages").alias("table_name"), "row_count", F.col("row_count").alias("audited")))
+    for name in ("multiline", "split"):
+        whole = spark.table(f"{layer}.reviews_{name}").where(
+            F.col("review_comment_message").endswith("\nsecond line")
+            & F.col("review_comment_message").startswith('"say, ') & F.col("review_answer_timestamp").isNotNull())
+        counts.append(whole.agg(F.count("*").alias("row_count")).select(
+            F.lit(f"whole_messages_{name}").alias("table_name"), "row_count", F.col("row_count").alias("audited")))
     return functools.reduce(DataFrame.unionByName, counts)
 
 
+CATALOG_DIMS = ("dim_customers", "dim_products", "dim_sellers")
+CATALOG_TABS = ("kpi_by_delivery", "kpi_by_review", "review_by_delivery")
+
+
+def _catalog_report(shop: Shop) -> DataFrame:
+    """What the catalog calls say of three dimensions and three cross-tabs that
+    are written here: catalogs, layers with their comments and table counts,
+    commented tables found by pattern with the row counts of their writes, rows
+    of a sample that are in the table, a scalar, and a cross-tab in display order."""
+    spark, prefix = shop.spark, f"catalog_{uuid.uuid4().hex}_"
+    before = spark.catalog.currentDatabase()
+    tables.create_layers(spark, prefix)
+    found, counts = [], {}
+    steps = {f"silver.{name}": (getattr(shop, name[4:])(), None) for name in CATALOG_DIMS}
+    fact = shop.enriched(set().union(*map(dashboards.columns_for, CATALOG_TABS)))
+    for name in CATALOG_TABS:
+        tab = dashboards.cross_tab(name, fact, TEST_SETTINGS)
+        steps[f"gold.cross_tab_{name}"] = (tab, dashboards.comments()[name])
+    for name, (df, comment) in steps.items():
+        counts[name] = tables.materialize(df, prefix + name, comment=comment, stamp=True)
+    for row in tables.list_catalogs(spark, "catalog LIKE 'spark%'").collect():
+        found.append(("catalog", row.catalog, None, 1))
+    for row in tables.list_layers(spark, f"{prefix}*").collect():
+        found.append(("layer", row.name.removeprefix(prefix), row.comment, tables.list_tables(spark, row.name).count()))
+    for row in tables.list_tables(spark, f"{prefix}gold", "cross_tab_*").collect():
+        found.append(("table", row.table_name, row.comment, counts[f"gold.{row.table_name}"]))
+    try:
+        tables.use_layer(spark, f"{prefix}silver")
+        for name in CATALOG_DIMS:
+            table, key = spark.table(name), f"{name[4:-1]}_id"
+            sample = tables.sample_rows(table, [key], 5)
+            found.append(("sample", name, key, sample.join(table, key, "left_semi").count()))
+            found.append(("scalar", name, "rows", tables.scalar(table.agg(F.count("*")))))
+            found.append(("written", name, "rows", counts[f"silver.{name}"]))
+    finally:
+        tables.use_layer(spark, before)
+    shown = dashboards.in_display_order("review_by_delivery", spark.table(f"{prefix}gold.cross_tab_review_by_delivery"))
+    for place, row in enumerate(shown.collect()):
+        found.append(("display", row.delivery_bucket, str(row.review_score), place))
+    return spark.createDataFrame(found, "section STRING, name STRING, detail STRING, number BIGINT")
+
+
 def _cross_tabs_from_cube(shop: Shop) -> DataFrame:
     """The twelve additive cross-tabs from one written cube, as text rows."""
     fact = shop.enriched(
@@ -383,6 +426,7 @@ def queries() -> dict[str, Query]:
             lambda s: extras.category_photos(
                 s.enriched({"category_english", "product_photos_qty"}))),
         "ingest_tables": _on_shop(_ingest_tables),
+        "catalog_report": _on_shop(_catalog_report),
         "cross_tabs_from_cube": _on_shop(_cross_tabs_from_cube),
         "bad_rows": _on_shop(_bad_rows),
         "report_export": _on_shop(_report_export),
