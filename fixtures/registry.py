@@ -20,6 +20,7 @@ from tradeloom.plans import dashboards, extras, gold, silver
 from tradeloom.schemas import RAW_SCHEMAS
 from tradeloom.sources import tables
 from tradeloom.sources.csv_files import read_csv, split_bad_rows, with_audit_columns
+from tradeloom.sources.dimensions import store_dimension, update_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,10 +178,10 @@ def _money_sums(shop: Shop) -> DataFrame:
         F.isnan(exact_sum("not_a_number")).alias("not_a_number"))
 
 
-def _scd2(shop: Shop) -> DataFrame:
-    """A later snapshot against the customers known before: every key divisible
-    by 5 is new, by 7 has moved and by 11 is gone; every key divisible by 6 also
-    has an older, closed version."""
+def _scd2_inputs(shop: Shop) -> tuple[DataFrame, DataFrame]:
+    """The customers known before and a later snapshot: every key divisible by 5
+    is new, by 7 has moved and by 11 is gone; every key divisible by 6 also has
+    an older, closed version."""
     customers = shop.customers()
     key = F.col("customer_id")
     city = F.when(key % 7 == 0, F.concat("customer_city", F.lit(" Moved"))).otherwise(
@@ -191,13 +192,26 @@ def _scd2(shop: Shop) -> DataFrame:
         "valid_to": F.lit(datetime.date(1991, 1, 1)),
         "is_current": F.lit(False),
     })
-    return apply_changes(
-        customers.where(key % 5 != 0).unionByName(closed),
-        customers.where(key % 11 != 0).withColumn("customer_city", city),
-        "customer_id",
-        ["customer_city", "customer_state", "customer_zip_code_prefix"],
-        datetime.date(2020, 1, 1),
-    )
+    return (customers.where(key % 5 != 0).unionByName(closed),
+            customers.where(key % 11 != 0).withColumn("customer_city", city))
+
+
+_SCD2 = ("customer_id", ["customer_city", "customer_state", "customer_zip_code_prefix"], datetime.date(2020, 1, 1))
+
+
+def _scd2(shop: Shop) -> DataFrame:
+    return apply_changes(*_scd2_inputs(shop), *_SCD2)
+
+
+def _scd2_stored(shop: Shop) -> DataFrame:
+    """The same by way of a stored dimension whose closed versions stay as they are, updated twice."""
+    layer = f"scd2_{uuid.uuid4().hex}"
+    shop.spark.sql(f"CREATE SCHEMA {layer}")
+    known, snapshot = _scd2_inputs(shop)
+    store_dimension(known, f"{layer}.customers")
+    for _ in range(2):
+        update_dimension(shop.spark, f"{layer}.customers", snapshot, *_SCD2)
+    return shop.spark.table(f"{layer}.customers")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -416,6 +430,7 @@ def queries() -> dict[str, Query]:
         "order_level_kpis": _on_shop(lambda s: extras.order_level_kpis(
             s.by_order({"order_id", "order_status", "is_late_delivery", "total_payment_value"}))),
         "scd2_apply": _on_shop(_scd2),
+        "scd2_stored": _on_shop(_scd2_stored),
         "money_sums": _on_shop(_money_sums),
         "revenue_yoy": _on_shop(
             lambda s: extras.revenue_yoy(_monthly(s))),

@@ -115,8 +115,10 @@ def build_gold(
     fmt: str = "parquet",
     at_once: int = 4,
     fact_partitions: tuple[str, ...] = (),
+    fact_order: tuple[str, ...] = (),
 ) -> dict[str, int]:
-    """``fact_partitions=("year_month",)`` lets month filters skip files."""
+    """``fact_partitions=("year_month",)`` lets month filters skip files, and
+    ``fact_order`` files and row groups without a folder for each month."""
     enriched = spark.table(f"{layers.silver}.orders_enriched")
     by_order = spark.table(f"{layers.silver}.{BY_ORDER}")
     sellers = spark.table(f"{layers.silver}.dim_sellers")
@@ -128,11 +130,12 @@ def build_gold(
         "agg_delivery_performance": lambda: gold.delivery_performance(by_order, silver.ITEMS),
     }
     options = {"fmt": fmt, "stamp": True}
-    if not fact_partitions:
+    if not fact_partitions and not fact_order:
         both = {**fact, **aggregates}
         return _write_all(spark, both, layers.gold, GOLD_COMMENTS, at_once, **options)
     counts = _write_all(
-        spark, fact, layers.gold, GOLD_COMMENTS, at_once, partition_by=fact_partitions, **options
+        spark, fact, layers.gold, GOLD_COMMENTS, at_once,
+        partition_by=fact_partitions, order_by=fact_order, **options
     )
     return counts | _write_all(spark, aggregates, layers.gold, GOLD_COMMENTS, at_once, **options)
 

@@ -71,6 +71,7 @@ def materialize(
     comment: str | None = None,
     stamp: bool = False,
     partition_by: Sequence[str] = (),
+    order_by: Sequence[str] = (),
 ) -> int:
     """Write ``df`` as a managed table and return the row count of the table.
 
@@ -83,12 +84,20 @@ def materialize(
     ``stamp`` adds ``_updated_ts``. With ``partition_by`` the rows are
     rebalanced on those columns first: AQE then cuts a partition that is too
     large into several files and joins small ones, whatever the skew.
+
+    With ``order_by`` files hold ranges of those columns and are sorted by them,
+    so that filters on them skip files and row groups. Rows with the same values
+    are told apart by a hash of the whole row, so that a value with very many
+    rows becomes several files.
     """
     spark = df.sparkSession
     if stamp:
         df = df.withColumn("_updated_ts", F.current_timestamp())
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if order_by:
+        df = df.repartitionByRange(*order_by, F.xxhash64(*[c for c in df.columns if c != "_updated_ts"]))
+        df = df.sortWithinPartitions(*partition_by, *order_by)
     staged = mode == "overwrite" and fmt != "delta" and spark.catalog.tableExists(table)
     target = f"{table}__{uuid.uuid4().hex}" if staged else table
     counted = Observation()
@@ -110,6 +119,25 @@ def materialize(
     return counted.get["rows"] if mode == "overwrite" else spark.table(table).count()
 
 
+def insert_over(df: DataFrame, table: str, partition_by: Sequence[str]) -> int:
+    """Replace the partitions of ``table`` that ``df`` has rows for, and no others;
+    returns the number of rows written. ``df`` may read ``table`` itself.
+
+    The session replaces only such partitions while this runs; inserts take the
+    mode from there.
+    """
+    spark, counted = df.sparkSession, Observation()
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    rows = df.hint("rebalance", *partition_by).observe(counted, F.count(F.lit(1)).alias("rows"))
+    spark.conf.set(name, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(name, before)
+    return counted.get["rows"]
+
+
 def _take_place(spark: SparkSession, new: str, table: str) -> None:
     """Give ``new`` the name of ``table``, which is dropped; undone if the exchange fails."""
     old = f"{table}__{uuid.uuid4().hex}"
