@@ -67,19 +67,37 @@ class PlainModel:
         return math.exp(-sum(logs) / len(logs)) if logs else None
 
 
+def folds(spark, ids):
+    named = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    return {r.doc_id: r.fold for r in named.selectExpr(
+        "doc_id", f"cast(pmod(xxhash64(doc_id), {quality.FOLDS}) as int) as fold").collect()}
+
+
+def models(spark, rows, marks):
+    """One model for each fold, of the trusted texts of the others."""
+    trusted = folds(spark, [r.doc_id for r in quality.trusted_ids(marks).collect()])
+    return trusted, [
+        PlainModel([(r[1] or "").encode() for r in rows if trusted.get(r[0], k) != k], quality.ORDER)
+        for k in range(quality.FOLDS)]
+
+
 @pytest.mark.parametrize("group_bytes", [2000, quality.GROUP_BYTES])
 def test_perplexity_equals_plain_model(spark, group_bytes):
     rows = corpus(spark) + awkward_rows()
     marks, _ = labels(spark, rows)
-    training = {r.doc_id for r in quality.trusted_ids(marks).where("trains").collect()}
-    assert 1000 not in training and 1001 not in training and len(training) > 50
-    model = PlainModel([(r[1] or "").encode() for r in rows if r[0] in training], quality.ORDER)
-    docs = with_clashes(spark.createDataFrame(rows, SCHEMA), "gram", "perplexity", "keep")
-    found = quality.perplexities(docs, marks, ("text",), group_bytes).collect()
+    trusted, plain = models(spark, rows, marks)
+    assert 1000 not in trusted and 1001 not in trusted and len(trusted) > 50
+    assert set(trusted.values()) == set(range(quality.FOLDS))
+    docs = with_clashes(spark.createDataFrame(rows, SCHEMA), "gram", "perplexity", "keep", "fold", "carried")
+    found = quality.perplexities(docs, marks, ("lang",), group_bytes).collect()
     assert len(found) == len(rows)
+    place = folds(spark, [r[0] for r in rows if r[0] is not None])
     for r in found:
-        wanted = model.perplexity((r.carried.text or "").encode())
-        assert (r.perplexity is None and wanted is None) or r.perplexity == pytest.approx(wanted, rel=1e-9)
+        data = (r.text or "").encode()
+        possible = [plain[place[r.doc_id]]] if r.doc_id is not None else plain  # without id: any fold
+        wanted = [m.perplexity(data) for m in possible]
+        assert r.perplexity is None and wanted[0] is None or any(
+            r.perplexity == pytest.approx(w, rel=1e-9) for w in wanted)
 
 
 def test_keeps_prose_and_rejects_noise(spark):
@@ -98,13 +116,12 @@ def test_without_labels_every_text_stays(spark):
     assert kept == sum(bool(r[1]) for r in awkward_rows())
 
 
-def test_thresholds_by_language(spark, monkeypatch):
-    monkeypatch.setattr(quality, "LEAST", 5)
+def test_thresholds_by_language(spark):
     rows = corpus(spark, 300)
     marks, _ = labels(spark, rows)
     docs = spark.createDataFrame(rows + [(5, "some text", None, "s", 1)], SCHEMA)
     judged = quality.scores(docs, marks).collect()
-    held = {r.doc_id for r in quality.trusted_ids(marks).where("not trains").collect()}
+    held = {r.doc_id for r in quality.trusted_ids(marks).collect()}
     for lang in ("en", "de", None):
         mine = sorted(r.perplexity for r in judged if r.doc_id in held and lang in (r.lang, None))
         wanted = mine[math.ceil(quality.QUANTILE * len(mine)) - 1]
@@ -112,24 +129,33 @@ def test_thresholds_by_language(spark, monkeypatch):
         assert all(r.keep == (r.perplexity <= wanted) for r in judged if r.lang == lang)
 
 
-def test_rare_languages_have_thresholds_of_their_own(spark):
-    """Each trusted document of a rare language counts, under a model without its fold."""
+def test_languages_of_any_size_have_thresholds_of_their_own(spark):
+    """Each trusted document counts, under a model without its fold."""
     rows = corpus(spark, 60)
     rows += [(3000 + i, f"qx{i}zj wk{i * 7}vq " * 20, "xx", "s", 1) for i in range(8)]
     rows += [(4000 + i, f"yy{i} " * 30, "yy", "s", 1) for i in range(3)]
     marks = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] < 2000 or 3000 <= r[0] < 4000], LABELS)
     judged = {r.doc_id: r for r in quality.scores(spark.createDataFrame(rows, SCHEMA), marks).collect()}
-    folds = {r.doc_id: r.fold for r in quality.trusted_ids(marks).collect()}
     texts = {r[0]: r[1].encode() for r in rows}
-    models = [PlainModel([texts[i] for i, f in folds.items() if f != k], quality.ORDER) for k in range(quality.FOLDS)]
+    trusted, plain = models(spark, rows, marks)
     for lang in ("en", "de", "xx"):
-        wanted = max(models[f].perplexity(texts[i]) for i, f in folds.items() if judged[i].lang == lang)
+        wanted = max(plain[f].perplexity(texts[i]) for i, f in trusted.items() if judged[i].lang == lang)
         assert all(r.threshold == pytest.approx(wanted, rel=1e-9) for r in judged.values() if r.lang == lang)
     assert all(judged[3000 + i].keep for i in range(8))
     own = max(r.perplexity for r in judged.values() if r.lang == "yy")
     assert {r.threshold for r in judged.values() if r.lang == "yy"} == {own}
 
 
+def test_without_a_language_column_all_rows_share_a_threshold(spark):
+    rows = corpus(spark)
+    marks, _ = labels(spark, rows)
+    docs = spark.createDataFrame(rows, SCHEMA).drop("lang")
+    judged = quality.scores(docs, marks).collect()
+    assert {r.lang for r in judged} == {None} and len({r.threshold for r in judged}) == 1
+    kept = quality.kept_documents(docs, marks)
+    assert kept.columns == docs.columns and kept.count() == sum(r.keep for r in judged)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert quality.scores(none, spark.createDataFrame([(1, 1, 0)], LABELS)).collect() == []

@@ -1,18 +1,17 @@
 """Quality filter: per-document perplexity under a Kneser-Ney model of trusted text.
 
-The model is an interpolated modified Kneser-Ney model over bytes. Its counts
-come from every trusted document (labelled good and not toxic) but one fold in
-five, which is held out to set the thresholds: per language a quantile of the
-perplexity of held-out trusted documents. A language with few of those takes all
-its trusted documents, each scored by a model of the other folds; one without
-trusted documents takes all its documents. Only rows without a language take the
-quantile over all languages.
-
-Documents are dealt into groups of a few MB. A group sends its distinct n-grams
-with their trusted counts; counts are summed, turned into probabilities and
-looked up by joins on the n-gram, and each group gets back the probabilities
-of the n-grams it has, to score its documents. Texts move to their group twice,
-to be counted and to be scored.
+The model is an interpolated modified Kneser-Ney model over bytes. Documents are
+dealt into folds by their id, and each is scored by the model of the trusted
+documents (labelled good and not toxic) of all other folds, so no document meets
+a model that has seen it. The threshold of a language is a quantile of the
+perplexity of all its trusted documents; a language without trusted documents
+takes all its documents, and rows without a language all trusted documents.
+
+Documents are dealt into groups of a few MB, each of one fold. A group sends its
+distinct n-grams with their trusted counts; counts are summed, turned into
+probabilities and looked up by joins on the n-gram, and each group gets back the
+probabilities of the n-grams it has, to score its documents. Texts move to their
+group twice, to be counted and to be scored.
 """
 
 from __future__ import annotations
@@ -29,24 +28,20 @@ from tradeloom.llm.shared import text_groups, written
 
 ORDER = 4
 SYMBOLS = 256
-# Quantile of held-out trusted documents above which a document is rejected.
+# Quantile of trusted documents above which a document is rejected.
 QUANTILE = 0.995
-# Languages with fewer held-out trusted documents take all their trusted ones, cross-fitted.
-LEAST = 100
-FOLDS = 5
+FOLDS = 3
 GROUP_BYTES = 16 << 20
 _CHUNK = 1 << 20
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """(doc_id, trains, fold): documents that every label row calls good and none
-    toxic; one fold in five is held out (``trains`` false)."""
+    """The doc_id of documents that every label row calls good and none toxic."""
     votes = labels.where("doc_id is not null").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min(F.coalesce("quality", F.lit(0))).alias("good"),
         F.max(F.coalesce("toxic", F.lit(0))).alias("bad"))
-    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")
-    return votes.where("good = 1 and bad = 0").select("doc_id", (fold > 0).alias("trains"), fold.alias("fold"))
+    return votes.where("good = 1 and bad = 0").select("doc_id")
 
 
 class _Group:
@@ -73,9 +68,9 @@ class _Group:
 
 
 def _request(table: pa.Table, labels: pa.Table) -> pa.Table:
-    """Distinct n-grams of a group with their counts in its trusted training texts."""
+    """Distinct n-grams of a group with their counts in its trusted texts."""
     group = _Group(table)
-    training = set(labels.filter(labels.column("trains")).column("doc_id").to_pylist())
+    training = set(labels.column("doc_id").to_pylist())
     counted = np.array([d in training for d in table.column("doc_id").to_pylist()], dtype=bool)
     seen, counts = [], []
     for grams, doc in group.chunks():
@@ -94,19 +89,6 @@ def _request(table: pa.Table, labels: pa.Table) -> pa.Table:
     })
 
 
-def _fold_request(table: pa.Table, ids: pa.Table) -> pa.Table:
-    """N-grams of a group's trusted texts with their counts by fold."""
-    folds = dict(zip(ids.column("doc_id").to_pylist(), ids.column("fold").to_pylist()))
-    mine = np.array([folds.get(d, -1) for d in table.column("doc_id").to_pylist()], dtype=np.int32)
-    out = [pa.table({"fold": pa.array([], pa.int32()), "gram": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})]
-    for fold in np.unique(mine[mine >= 0]):
-        part = table.filter(pa.array(mine == fold))
-        every = pa.table({"doc_id": part.column("doc_id"), "trains": pa.array(np.ones(len(part), dtype=bool))})
-        found = _request(part, every)
-        out.append(found.set_column(0, "fold", pa.array(np.full(len(found), fold, dtype=np.int32))))
-    return pa.concat_tables(out)
-
-
 def _score(table: pa.Table, known: pa.Table) -> pa.Table:
     group = _Group(table)
     grams, logs = known.column("gram").to_numpy(), known.column("log_p").to_numpy()
@@ -120,7 +102,7 @@ def _score(table: pa.Table, known: pa.Table) -> pa.Table:
     with np.errstate(invalid="ignore", divide="ignore"):
         perplexity = np.exp(-total / group.lengths)
     return pa.table({
-        "doc_id": table.column("doc_id"), "carried": table.column("carried"),
+        "doc_id": table.column("doc_id"), "text": table.column("text"), "carried": table.column("carried"),
         "n_bytes": pa.array(group.lengths),
         "perplexity": pa.array(perplexity, mask=group.lengths == 0),
     })
@@ -131,72 +113,86 @@ def _low(gram: Column, n: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << 8 * n) - 1))
 
 
-def _discounts(level: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts for counts of 1, 2 and more."""
-    n = level.agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in range(1, 5)]).first()
-    n1, n2, n3, n4 = (float(x) for x in n)
-    if not (n1 and n2 and n3 and n4):  # too little text to estimate them
-        return [0.5, 0.75, 0.9]
-    y = n1 / (n1 + 2 * n2)
-    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return [min(max(d, 0.1), k - 0.05) for k, d in enumerate(found, 1)]
+def _discounts(level: DataFrame) -> dict[int, list[float]]:
+    """Modified Kneser-Ney discounts of each fold for counts of 1, 2 and more."""
+    by_fold = level.groupBy("fold").agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in range(1, 5)])
+    found = {}
+    for fold, *n in by_fold.collect():
+        n1, n2, n3, n4 = (float(x) for x in n)
+        if not (n1 and n2 and n3 and n4):  # too little text to estimate them
+            found[fold] = [0.5, 0.75, 0.9]
+            continue
+        y = n1 / (n1 + 2 * n2)
+        raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+        found[fold] = [min(max(d, 0.1), k - 0.05) for k, d in enumerate(raw, 1)]
+    return found
+
+
+def _taken(discounts: dict[int, list[float]]) -> Column:
+    """What is taken off a count of a fold."""
+    out = F.lit(None).cast("double")
+    for fold, (one, two, more) in discounts.items():
+        by_count = F.when(F.col("c") == 1, one).when(F.col("c") == 2, two).otherwise(more)
+        out = F.when(F.col("fold") == fold, by_count).otherwise(out)
+    return out
 
 
 def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """From (gram, c) of the highest order: per order (gram, p) of seen n-grams
-    and (context, backoff).
+    """From (fold, gram, c) of the highest order, a model for each fold: per order
+    (fold, gram, p) of seen n-grams and (fold, context, backoff).
 
     Lower orders count the different symbols before an n-gram. Each order's
     probabilities are interpolated with those of the order below.
     """
     levels = {ORDER: counts}
     for n in range(ORDER - 1, 0, -1):
-        levels[n] = written(levels[n + 1].groupBy(_low(F.col("gram"), n).alias("gram")).agg(
+        levels[n] = written(levels[n + 1].groupBy("fold", _low(F.col("gram"), n).alias("gram")).agg(
             F.count("*").alias("c")))
     out: list[tuple[DataFrame, DataFrame]] = []
     for n in range(1, ORDER + 1):
-        one, two, more = _discounts(levels[n])
-        taken = F.when(F.col("c") == 1, one).when(F.col("c") == 2, two).otherwise(more)
+        taken = _taken(_discounts(levels[n]))
         rows = levels[n].withColumn("context", F.shiftright("gram", 8))
-        contexts = written(rows.groupBy("context").agg(
+        contexts = written(rows.groupBy("fold", "context").agg(
             F.sum("c").alias("total"), (F.sum(taken) / F.sum("c")).alias("backoff")))
-        rows = rows.join(contexts, "context")
+        rows = rows.join(contexts, ["fold", "context"])
         if n == 1:
             lower = F.lit(1.0 / SYMBOLS)
         else:
-            below = out[-1][0].select(F.col("gram").alias("suffix"), F.col("p").alias("below"))
-            rows = rows.withColumn("suffix", _low(F.col("gram"), n - 1)).join(below, "suffix")
+            below = out[-1][0].select("fold", F.col("gram").alias("suffix"), F.col("p").alias("below"))
+            rows = rows.withColumn("suffix", _low(F.col("gram"), n - 1)).join(below, ["fold", "suffix"])
             lower = F.col("below")
         p = (F.col("c") - taken) / F.col("total") + F.col("backoff") * lower
-        out.append((written(rows.select("gram", p.alias("p"))), contexts.select("context", "backoff")))
+        out.append((written(rows.select("fold", "gram", p.alias("p"))), contexts.select("fold", "context", "backoff")))
     return out
 
 
 def log_probabilities(grams: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(gram, log_p) of distinct n-grams; unseen ones back off to shorter contexts."""
+    """(fold, gram, log_p) of distinct n-grams under the model of their fold;
+    unseen ones back off to shorter contexts."""
     rows = grams
     for n, (seen, contexts) in enumerate(model, 1):
-        seen = seen.select(F.col("gram").alias(f"s{n}"), F.col("p").alias(f"p{n}"))
-        contexts = contexts.select(F.col("context").alias(f"x{n}"), F.col("backoff").alias(f"b{n}"))
-        # Tables of at most 65,536 rows by their key are broadcast.
+        seen = seen.select("fold", F.col("gram").alias(f"s{n}"), F.col("p").alias(f"p{n}"))
+        contexts = contexts.select("fold", F.col("context").alias(f"s{n}"), F.col("backoff").alias(f"b{n}"))
+        # Tables of at most 65,536 rows a fold by their key are broadcast.
         seen = F.broadcast(seen) if n <= 2 else seen
         contexts = F.broadcast(contexts) if n <= 3 else contexts
-        low = _low(F.col("gram"), n)
-        rows = rows.join(seen, low == F.col(f"s{n}"), "left").join(
-            contexts, F.shiftright(low, 8) == F.col(f"x{n}"), "left").drop(f"s{n}", f"x{n}")
+        low, keys = _low(F.col("gram"), n), ["fold", f"s{n}"]
+        rows = rows.withColumn(f"s{n}", low).join(seen, keys, "left")
+        rows = rows.withColumn(f"s{n}", F.shiftright(low, 8)).join(contexts, keys, "left").drop(f"s{n}")
     p = F.lit(1.0 / SYMBOLS)
     for n in range(1, ORDER + 1):
         p = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"b{n}"), F.lit(1.0)) * p)
-    return rows.select("gram", F.log(p).alias("log_p"))
+    return rows.select("fold", "gram", F.log(p).alias("log_p"))
 
 
 def perplexities(
     docs: DataFrame, labels: DataFrame, carry: list[str] | tuple[str, ...] = (),
     group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
-    """(doc_id, carried, n_bytes, perplexity) per document, perplexity per byte;
-    NULL for empty and NULL texts."""
-    groups = text_groups(docs, group_bytes)
+    """(doc_id, text, carried, n_bytes, perplexity) per document; perplexity per
+    byte under the model of the other folds, NULL for empty and NULL texts.
+    ``carried`` has the columns of ``carry``; the text is always returned."""
+    groups = -(-text_groups(docs, group_bytes) // FOLDS) * FOLDS  # a group is of fold g % FOLDS
     deal = lambda *c: F.pmod(F.xxhash64(*c), F.lit(groups)).cast("int").alias("g")
     carried = F.struct(*[docs[c] for c in carry]) if carry else F.lit(None).cast("int")
     unnamed = F.when(F.col("doc_id").isNull(), F.col("text"))
@@ -204,94 +200,70 @@ def perplexities(
         F.col("doc_id").cast("long").alias("doc_id"), "text", carried.alias("carried"),
         deal(F.col("doc_id").cast("long"), unnamed),
     )
-    ids = trusted_ids(labels).select("doc_id", "trains", deal(F.col("doc_id")))
-    by_group = dealt.groupBy("g")
-    requests = written(by_group.cogroup(ids.groupBy("g")).applyInArrow(
+    fold = F.pmod("g", F.lit(FOLDS)).alias("fold")
+    ids = trusted_ids(labels).select("doc_id", deal(F.col("doc_id")))
+    requests = written(dealt.select("doc_id", "text", "g").groupBy("g").cogroup(ids.groupBy("g")).applyInArrow(
         _request, "g int, gram long, n long"))
-    grams = written(requests.groupBy("gram").agg(F.sum("n").alias("c")))
-    model = kneser_ney(grams.where("c > 0"))
-    known = requests.select("g", "gram").join(log_probabilities(grams.select("gram"), model), "gram")
+    grams = written(requests.groupBy(fold, "gram").agg(F.sum("n").alias("c")))
+    others = F.array_remove(F.array(*[F.lit(k) for k in range(FOLDS)]), F.col("fold"))
+    counts = grams.where("c > 0").select(F.explode(others).alias("fold"), "gram", "c")
+    model = kneser_ney(written(counts.groupBy("fold", "gram").agg(F.sum("c").alias("c"))))
+    known = requests.select("g", fold, "gram").join(
+        log_probabilities(grams.select("fold", "gram"), model), ["fold", "gram"]).select("g", "gram", "log_p")
     kept = dealt.schema["carried"].dataType.simpleString()
-    return by_group.cogroup(known.groupBy("g")).applyInArrow(
-        _score, f"doc_id long, carried {kept}, n_bytes long, perplexity double")
-
-
-def cross_fitted(docs: DataFrame, labels: DataFrame, langs: DataFrame, lang: str) -> DataFrame:
-    """(lang, perplexity) of the trusted documents of ``langs`` outside fold 0,
-    each under the model of the trusted documents of all folds but its own."""
-    ids = trusted_ids(labels)
-    groups = text_groups(docs, GROUP_BYTES)
-    deal = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int").alias("g")
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(lang).alias("lang"))
-    dealt = named.where("doc_id is not null").select("doc_id", "text", deal("doc_id"))
-    counts = written(dealt.groupBy("g").cogroup(ids.select("doc_id", "fold", deal("doc_id")).groupBy("g")).applyInArrow(
-        _fold_request, "fold int, gram long, n long").groupBy("fold", "gram").agg(F.sum("n").alias("c")))
-    rare = written(named.join(langs, "lang", "left_semi").join(ids.select("doc_id", "fold"), "doc_id").select(
-        "doc_id", "text", F.struct("lang").alias("carried"), deal("doc_id"), "fold"))
-    out = None
-    for fold in range(1, FOLDS):
-        part = rare.where(F.col("fold") == fold).drop("fold")
-        if part.isEmpty():
-            continue
-        others = counts.where((F.col("fold") != fold) & (F.col("c") > 0))
-        model = kneser_ney(written(others.groupBy("gram").agg(F.sum("c").alias("c"))))
-        none = ids.where("false").select("doc_id", "trains", deal("doc_id"))
-        requests = written(part.groupBy("g").cogroup(none.groupBy("g")).applyInArrow(
-            _request, "g int, gram long, n long"))
-        known = requests.select("g", "gram").join(
-            log_probabilities(requests.select("gram").distinct(), model), "gram")
-        kept = part.schema["carried"].dataType.simpleString()
-        found = written(part.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(
-            _score, f"doc_id long, carried {kept}, n_bytes long, perplexity double"))
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return langs.select("lang", F.lit(None).cast("double").alias("perplexity")).where("false")
-    return out.select("carried.lang", "perplexity")
+    return dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(
+        _score, f"doc_id long, text string, carried {kept}, n_bytes long, perplexity double")
 
 
 def judged(
     docs: DataFrame, labels: DataFrame, carry: list[str] | tuple[str, ...] = (),
     quantile: float = QUANTILE,
 ) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, threshold, keep, carried) per document.
+    """(doc_id, lang, n_bytes, perplexity, threshold, keep, text, carried) per document.
 
     A document is kept if its perplexity is at most its language's threshold,
-    which comes from that language alone at any number of documents; rows
-    without a language take the quantile over all held-out trusted documents.
+    the quantile over that language's trusted documents at any number of them. A
+    language without trusted documents takes the quantile over all its
+    documents; rows without a language, which are all where the table has no
+    column ``lang``, take it over all trusted documents.
     Documents without text are rejected. Without any trusted text nothing is
     known and every document with text is kept. Rows without doc_id are scored
-    but never trained on; repeated rows come back repeated.
+    but never trained on; repeated rows come back repeated. ``carried`` has the
+    columns of ``carry`` but the text.
     """
-    lang = next(c for c in docs.columns if c.lower() == "lang")
-    columns = list(dict.fromkeys([*carry, lang]))
-    scored = written(perplexities(docs, labels, columns)).withColumn("lang", F.col("carried")[lang])
-    trusted = written(scored.join(trusted_ids(labels).select("doc_id", "trains"), "doc_id").where(
-        "perplexity is not null").select("lang", "trains", "perplexity"))
-    held = trusted.where("not trains").select("lang", "perplexity")
+    lang = next((c for c in docs.columns if c.lower() == "lang"), None)
+    if lang is None:
+        lang, docs = "lang", docs.withColumn("lang", F.lit(None).cast("string"))
+    columns = list(dict.fromkeys([*[c for c in carry if c != "text"], lang]))
+    found = perplexities(docs, labels, columns)
+    scored = written(found if "text" in carry else found.drop("text")).withColumn("lang", F.col("carried")[lang])
+    trusted = written(scored.join(trusted_ids(labels), "doc_id").where("perplexity is not null").select(
+        "lang", "perplexity"))
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(100_000))
-    pooled = held.agg(limit.alias("pooled")).first()[0]
-    counts = written(trusted.where("lang is not null").groupBy("lang").agg(F.count_if(~F.col("trains")).alias("n")))
-    rare = counts.where(F.col("n") < LEAST).select("lang")
-    if not rare.isEmpty():
-        held = held.unionByName(cross_fitted(docs, labels, rare, lang).where("perplexity is not null"))
-    if not counts.isEmpty():
-        held = held.unionByName(scored.where("perplexity is not null").select("lang", "perplexity").join(
-            counts, "lang", "left_anti").where("lang is not null"))
-    by_lang = written(held.groupBy(F.col("lang").alias("_lang")).agg(limit.alias("_limit")))
+    pooled = trusted.agg(limit.alias("pooled")).first()[0]
+    judged_by = trusted
+    if pooled is not None:
+        judged_by = trusted.unionByName(scored.where("perplexity is not null").select("lang", "perplexity").join(
+            trusted.select("lang").distinct(), "lang", "left_anti"))
+    by_lang = written(judged_by.where("lang is not null").groupBy(F.col("lang").alias("_lang")).agg(
+        limit.alias("_limit")))
     threshold = F.coalesce(F.col("_limit"), F.lit(pooled).cast("double"))
-    judged_ = scored.join(by_lang, F.col("lang") == F.col("_lang"), "left").withColumn(
-        "threshold", threshold)
     keep = F.col("perplexity").isNotNull() & F.coalesce(
         F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    return judged_.select(
-        "doc_id", "lang", "n_bytes", "perplexity", "threshold", keep.alias("keep"), "carried")
+    return scored.join(by_lang, F.col("lang") == F.col("_lang"), "left").withColumn(
+        "threshold", threshold).withColumn("keep", keep).select(
+        "doc_id", "lang", "n_bytes", "perplexity", "threshold", "keep",
+        *(["text"] if "text" in carry else []), "carried")
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``judged`` without texts; rows and special cases as there."""
     return judged(docs, labels).drop("carried")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the filter keeps, with all their columns."""
+    """The documents that the filter keeps, with all their columns. Documents
+    without text go; repeated rows and rows without doc_id are judged like any
+    other and stay repeated; an empty table stays empty."""
     kept = judged(docs, labels, carry=docs.columns).where("keep")
-    return kept.select(*[F.col("carried")[c].alias(c) for c in docs.columns])
+    return kept.select(*[F.col("text") if c == "text" else F.col("carried")[c].alias(c) for c in docs.columns])
