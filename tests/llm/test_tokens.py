@@ -53,3 +53,28 @@ def test_slices():
     cut = tokens.slices(texts, 10)
     assert cut[0][0] == 0 and cut[-1][1] == 7 and all(a[1] == b[0] for a, b in zip(cut, cut[1:]))
     assert tokens.slices(pa.array([], pa.string()), 10) == []
+
+
+EDGES = [".", ",", ".\n", "\n", "\n\n", " \n", "The", " the", " cat", "é", " é", "ß.", "'", "'ll", "s", "d", "1", " 2", "-", " -",
+         "\r", "\t", " ", "\x85", "日", "#$%"]
+
+
+@pytest.mark.parametrize("lead", [False, True])
+def test_words_are_cut_where_tokens_are(lead):
+    pick = random.Random(2)
+    texts = ["".join(pick.choice(EDGES) for _ in range(pick.randrange(10))) for _ in range(20_000)]
+    library = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    own = tokens.Tokens(lead=lead)
+    wanted = library.encode_batch([" " * lead + t for t in texts], add_special_tokens=False)
+    found = lists(own.encode(pa.array(texts[:50]))) + lists(own.encode(pa.array(texts).slice(50)))
+    assert found == [e.ids for e in wanted]
+
+
+def test_a_word_is_learned_once_whatever_follows_it(monkeypatch):
+    given = []
+    whole = tokens.Tokens._whole
+    monkeypatch.setattr(tokens.Tokens, "_whole", lambda self, texts: given.extend(texts) or whole(self, texts))
+    own = tokens.Tokens()
+    own.encode(pa.array([f"some cattle{mark}\nHorses{mark} end" for mark in ".,;:!?)]}%&"]))
+    assert "".join(given).count("cattle") == 1
+    assert "".join(given).count("Horses") == 1

@@ -54,7 +54,7 @@ class Pieces:
             for i, n in enumerate(names)], dtype=object)
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
         self.apart = not any(_SPACE in n.lstrip(_SPACE) for n in names)
-        self.words = Memory(self._words)
+        self.words = Memory(lambda words: self._words(words.to_pylist()))
 
     def _whole(self, texts: list[str]) -> Encoded:
         return together(self.library.encode(texts, num_threads=1) if texts else [])
@@ -80,11 +80,7 @@ class Pieces:
         fast = ~slow.to_numpy(zero_copy_only=False) & self.apart
         some = texts.filter(pa.array(fast))
         words = pc.split_pattern(some, " ")
-        coded = words.flatten().dictionary_encode()
-        numbers = np.empty(0, np.int64)
-        if len(some):
-            numbers = self.words.look(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        ids, bounds = self.words.expand(numbers)
+        ids, bounds = self.words.expand(self.words.look(words.flatten()))
         lists = words.offsets.to_numpy() if len(some) else np.zeros(1, np.int64)
         lists = lists - lists[0]
         strange = np.diff(np.r_[0, np.cumsum(np.diff(bounds) == 0)][lists]) > 0
