@@ -94,13 +94,16 @@ def _monthly(shop: Shop) -> DataFrame:
     return gold.monthly_revenue(shop.by_order(_MONTHLY), silver.ITEMS)
 
 
-def _cross_tab(name: str) -> Query:
+def _from_shop(shop: Shop, name: str) -> DataFrame:
+    """A cross-tab from items, or from items added up per order where it needs no single item."""
     keep = dashboards.columns_for(name)
     per_order = "category_english" not in keep
-    return _on_shop(
-        lambda shop: dashboards.cross_tab(
-            name, shop.enriched(keep, per_order), TEST_SETTINGS, silver.ITEMS if per_order else None)
-    )
+    return dashboards.cross_tab(
+        name, shop.enriched(keep, per_order), TEST_SETTINGS, silver.ITEMS if per_order else None)
+
+
+def _cross_tab(name: str) -> Query:
+    return _on_shop(lambda shop: _from_shop(shop, name))
 
 
 def _tables(shop: Shop) -> dict[str, DataFrame]:
@@ -379,8 +382,7 @@ REPORT = {
 def report_sections(shop: Shop, axis: str, cube: DataFrame) -> DataFrame:
     """One row per value of an axis with all that the report shows for it, nested."""
     dim, names = REPORT[axis]
-    kpi_fact = shop.enriched(dashboards.columns_for(names[0]))
-    sections = {names[0]: dashboards.cross_tab(names[0], kpi_fact, TEST_SETTINGS)}
+    sections = {names[0]: _from_shop(shop, names[0])}
     for name in names[1:]:
         sections[name] = dashboards.cross_tab_from_cube(name, cube, TEST_SETTINGS)
     return nest_by(dim, sections)
@@ -394,7 +396,7 @@ def _report_export(shop: Shop) -> DataFrame:
     cube = written(dashboards.count_cube(fact, TEST_SETTINGS))
     opened = None
     for axis, (dim, names) in REPORT.items():
-        nested = report_sections(shop, axis, cube)
+        nested = written(report_sections(shop, axis, cube))  # opened once for each section
         for name in names:
             measure = "gmv" if name.startswith(("kpi", "monthly")) else "order_count"
             rows = nested.select(F.col(dim).cast("string").alias("value"), F.explode(name).alias("row"))

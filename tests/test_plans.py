@@ -110,3 +110,18 @@ def test_distinct_counts_do_not_copy_rows(spark, name):
 def test_shares_read_each_table_once(spark, no_broadcast, name):
     text = plan(queries()[name](spark, SF))
     assert text.count("lineitem.parquet") == 1
+
+
+def test_the_report_reads_the_shop_before_it_is_opened(spark):
+    text = plan(queries()["report_export"](spark, SF))
+    assert "l_orderkey" not in text and "o_orderkey" not in text
+
+
+def test_order_columns_that_follow_from_others_are_not_shuffled(spark, no_broadcast):
+    fact = Shop(spark, SF).enriched(gold.FACT_COLUMNS)
+    blocks = re.split(r"\n(?=\(\d+\) )", fact._sc._jvm.PythonSQLUtils.explainString(
+        fact._jdf.queryExecution(), "formatted"))
+    shuffled = [b for b in blocks if re.match(r"\(\d+\) Exchange", b)]
+    assert any("order_purchase_timestamp" in b for b in shuffled)
+    late = ("_spread", "order_purchase_date", "delivery_days", "is_late_delivery", "purchase_year", "year_month")
+    assert not [name for name in late for b in shuffled if re.search(rf"\b{name}#", b)]
