@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPREAD = "_spread"
+SLOT = "_slot"
 
 # Slots per fair share of a partition: small slots even out where hashing puts
 # several of them into one partition.
@@ -74,21 +75,30 @@ def fk_join(
     """Join rows to the one ``right`` row of their key ("left" or "inner").
 
     Without hot keys this is an ordinary join and Catalyst picks broadcast or
-    sort-merge. With ``hot_keys``, the left rows of a hot key go to several
+    sort-merge. ``left`` may have its ``with_slot`` already. With ``hot_keys``, the left rows of a hot key go to several
     partitions by their ``_spread`` number, and its single right row is copied
     to each of them. All copies together number about four times the shuffle
     partitions. Rows whose key is NULL are split the same way in a left join.
     """
     if hot is None:
         return left.join(right, key, how)
+    if SLOT not in left.columns:
+        left = with_slot(left, key, hot)
     marks = F.broadcast(hot)  # fewer rows than partitions
-    slot = F.pmod(F.xxhash64(SPREAD), F.col("_ways")).cast("int")
-    left_marked = left.join(
-        marks, left[key].eqNullSafe(F.col("_hot_key")), "left"
-    ).withColumn("_slot", F.coalesce(slot, F.lit(0)))
     right_copies = right.join(marks, right[key] == F.col("_hot_key"), "left").withColumn(
-        "_slot", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1))
+        SLOT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1))
     )
-    return left_marked.drop("_hot_key", "_ways").join(
-        right_copies.drop("_hot_key", "_ways"), [key, "_slot"], how
-    ).drop("_slot")
+    return left.join(right_copies.drop("_hot_key", "_ways"), [key, SLOT], how).drop(SLOT)
+
+
+def with_slot(left: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Add the slot of each row, 0 for all but hot keys and where there are none.
+
+    Where other joins shuffle the rows before, it goes along for next to nothing,
+    unlike the ``_spread`` number it is made from.
+    """
+    if hot is None:
+        return left.withColumn(SLOT, F.lit(0))
+    slot = F.pmod(F.xxhash64(SPREAD), F.col("_ways")).cast("int")
+    return left.join(F.broadcast(hot), left[key].eqNullSafe(F.col("_hot_key")), "left").withColumn(
+        SLOT, F.coalesce(slot, F.lit(0))).drop("_hot_key", "_ways")

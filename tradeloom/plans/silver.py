@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import (
@@ -18,7 +18,7 @@ from tradeloom.functions.columns import (
     volume,
 )
 from tradeloom.functions.measures import exact_sum
-from tradeloom.operators.joins import SPREAD, fk_join, hot_keys, with_spread
+from tradeloom.operators.joins import SLOT, SPREAD, fk_join, hot_keys, with_slot, with_spread
 from tradeloom.operators.ranking import dominant_by, latest_by
 
 # Fixed value: start of validity of a customer without any order.
@@ -214,6 +214,11 @@ def enrich_orders(
         table = lookups[name] if table is None else table
         return {key: table.select(key, *chosen[name])}
 
+    # Worked out after the last join where their sources are kept anyway: less to shuffle.
+    late = {
+        c: value for c, (value, sources) in _derived().items()
+        if c in kept and kept.issuperset(sources) and not per_order
+    }
     order_level = _order_level(
         orders,
         lookup(
@@ -222,7 +227,7 @@ def enrich_orders(
             lookups["customers"].where("is_current") if "customers" in chosen else None,
         ),
         [*lookup("payments", "order_id").values(), *lookup("reviews", "order_id").values()],
-        keep,
+        [c for c in keep if c not in late],
     )
     item_lookups = {**lookup("products", "product_id"), **lookup("sellers", "seller_id")}
     if per_order:
@@ -230,15 +235,33 @@ def enrich_orders(
         sums = [exact_sum(money[c]).alias(c) for c in keep if c in money]
         added_up = order_items.groupBy("order_id").agg(F.count("*").alias(ITEMS), *sums)
         return added_up.join(order_level, "order_id").select(*keep, ITEMS)
-    item_level = with_spread(order_items)
+    # Orders come partitioned by the joins below, so adaptive execution cannot split them.
+    hot = hot_keys(order_items, "order_id")
+    item_level = with_slot(with_spread(order_items), "order_id", hot).drop(SPREAD)
     for key, table in item_lookups.items():
         item_level = fk_join(item_level, table, key)
     item_level = item_level.withColumnRenamed("price", "item_price")
     item_columns = [c for c in keep if c in item_level.columns and c != "order_id"]
-    item_level = item_level.select("order_id", *item_columns, SPREAD)
-    # Orders come partitioned by the joins below, so adaptive execution cannot split them.
-    hot = hot_keys(order_items, "order_id")
-    return fk_join(item_level, order_level, "order_id", "inner", hot).select(*keep)
+    item_level = item_level.select("order_id", *item_columns, SLOT)
+    joined = fk_join(item_level, order_level, "order_id", "inner", hot)
+    return joined.select(*[late[c].alias(c) if c in late else c for c in keep])
+
+
+def _derived() -> dict[str, tuple[Column, set[str]]]:
+    """Columns derived from an order's own, and what they are derived from."""
+    purchase, delivered, promised = (
+        "order_purchase_timestamp",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    )
+    return {
+        "order_purchase_date": (F.to_date(purchase), {purchase}),
+        "delivery_days": (days_between(delivered, purchase), {delivered, purchase}),
+        "estimated_days": (days_between(promised, purchase), {promised, purchase}),
+        "delivery_delay_days": (days_between(delivered, promised), {delivered, promised}),
+        "is_late_delivery": (is_late(delivered, promised), {delivered, promised}),
+        **{c: (value, {purchase}) for c, value in calendar_parts(purchase, "purchase").items()},
+    }
 
 
 def _order_level(
@@ -256,19 +279,7 @@ def _order_level(
         usable = fk_join(usable, table, key)
     for table in by_order:
         usable = usable.join(table, "order_id", "left")
-    purchase, delivered, promised = (
-        "order_purchase_timestamp",
-        "order_delivered_customer_date",
-        "order_estimated_delivery_date",
-    )
-    derived = {
-        "order_purchase_date": F.to_date(purchase),
-        "delivery_days": days_between(delivered, purchase),
-        "estimated_days": days_between(promised, purchase),
-        "delivery_delay_days": days_between(delivered, promised),
-        "is_late_delivery": is_late(delivered, promised),
-        **calendar_parts(purchase, "purchase"),
-    }
+    derived = {c: value for c, (value, _) in _derived().items()}
     present = set(usable.columns) - {"order_id"}
     return usable.select(
         "order_id",
