@@ -1,6 +1,9 @@
 import collections
 import math
+import subprocess
+import sys
 
+import pyarrow as pa
 import pytest
 
 from tests.llm.frames import SCHEMA, awkward, awkward_rows, prose, with_clashes
@@ -159,3 +162,30 @@ def test_without_a_language_column_all_rows_share_a_threshold(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert quality.scores(none, spark.createDataFrame([(1, 1, 0)], LABELS)).collect() == []
+
+
+def test_counting_a_group_takes_few_bytes_for_a_byte_of_text():
+    code = """
+import tracemalloc
+import pyarrow as pa
+from tradeloom.llm import quality
+texts = [" ".join(f"{(7919 * i * k) % 9973:x}" for k in range(500)) for i in range(4000)]
+table = pa.table({"doc_id": range(4000), "text": texts, "g": pa.array([0] * 4000, pa.int32())})
+tracemalloc.start()
+quality._request(table, pa.table({"doc_id": [1, 2]}))
+assert tracemalloc.get_traced_memory()[1] < 7 * sum(map(len, texts))
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 64, 1 << 20])
+def test_ngrams_of_chunks(monkeypatch, chunk):
+    monkeypatch.setattr(quality, "_CHUNK", chunk)
+    texts = ["abcde", None, "", "é\0x", "a" * 70, "the end"]
+    group = quality._Group(pa.table({"text": pa.chunked_array([texts[:3], texts[3:]], pa.string())}))
+    found = [(int(g), int(d)) for grams, docs in group.chunks() for g, d in zip(grams, docs)]
+    wanted = []
+    for doc, text in enumerate(texts):
+        padded = b"\0\0\0" + (text or "").encode()
+        wanted += [(int.from_bytes(padded[i : i + 4], "big"), doc) for i in range(len(padded) - 3)]
+    assert found == wanted

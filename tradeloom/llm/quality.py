@@ -19,12 +19,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.shared import text_groups, written
+from tradeloom.llm.tokens import raw
 
 ORDER = 4
 SYMBOLS = 256
@@ -44,27 +45,47 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return votes.where("good = 1 and bad = 0").select("doc_id")
 
 
+def _numbered(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each n-gram and the distinct ones, in order of their first place."""
+    coded = pa.array(grams).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_numpy()
+
+
 class _Group:
     """Texts of a group, each after ORDER - 1 zero bytes."""
 
     def __init__(self, table: pa.Table):
-        texts = [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
-        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
-        pad = b"\0" * (ORDER - 1)
-        self.bytes = np.frombuffer(b"".join(x for t in texts for x in (pad, t)), dtype=np.uint8)
+        text = table.column("text")
+        self.lengths = pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64)
         self.ends = np.cumsum(self.lengths + ORDER - 1)
+        # Byte i is at i + ORDER - 1, so that every byte has ORDER - 1 before it.
+        self.bytes = np.zeros(ORDER - 1 + int(self.lengths.sum()) + (ORDER - 1) * len(text), dtype=np.uint8)
+        at = 0
+        for chunk in text.chunks:
+            data, bounds = raw(chunk.cast(pa.large_string()).fill_null(""))
+            for start, stop in zip(bounds.tolist(), bounds[1:].tolist()):
+                at += ORDER - 1
+                self.bytes[at + ORDER - 1 : at + ORDER - 1 + stop - start] = data[start:stop]
+                at += stop - start
 
     def chunks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """N-grams ending at the bytes of the texts, and the documents they are in."""
-        for start in range(0, len(self.bytes), _CHUNK):
-            at = np.arange(start, min(start + _CHUNK, len(self.bytes)))
-            doc = np.searchsorted(self.ends, at, side="right")
-            inside = at - (self.ends[doc] - self.lengths[doc]) >= 0
-            at, doc = at[inside], doc[inside]
-            grams = np.zeros(len(at), dtype=np.int64)
+        begins = self.ends - self.lengths - (ORDER - 1)
+        size = len(self.bytes) - (ORDER - 1)
+        for start in range(0, size, _CHUNK):
+            stop = min(start + _CHUNK, size)
+            here = np.arange(*np.searchsorted(self.ends, [start, stop - 1], side="right") + [0, 1])
+            first, last = (np.clip(x[here], start, stop) - start for x in (begins, self.ends))
+            doc = np.repeat(here.astype(np.int32), last - first)
+            inside = np.ones(stop - start, dtype=bool)
+            for back in range(ORDER - 1):
+                pads = begins[here] + back - start
+                inside[pads[(pads >= 0) & (pads < stop - start)]] = False
+            grams = np.zeros(stop - start, dtype=np.uint32)
             for back in range(ORDER - 1, -1, -1):
-                grams = grams << 8 | self.bytes[at - back]
-            yield grams, doc
+                grams <<= np.uint32(8)
+                grams |= self.bytes[start + ORDER - 1 - back : stop + ORDER - 1 - back]
+            yield grams[inside], doc[inside]
 
 
 def _request(table: pa.Table, labels: pa.Table) -> pa.Table:
@@ -74,12 +95,12 @@ def _request(table: pa.Table, labels: pa.Table) -> pa.Table:
     counted = np.array([d in training for d in table.column("doc_id").to_pylist()], dtype=bool)
     seen, counts = [], []
     for grams, doc in group.chunks():
-        which, distinct = pd.factorize(grams)
+        which, distinct = _numbered(grams)
         seen.append(distinct)
         counts.append(np.bincount(which[counted[doc]], minlength=len(distinct)))
     if not seen or not len(table):
-        seen, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    which, distinct = pd.factorize(np.concatenate(seen))
+        seen, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+    which, distinct = _numbered(np.concatenate(seen))
     total = np.bincount(which, weights=np.concatenate(counts), minlength=len(distinct))
     g = table.column("g")[0].as_py() if len(table) else 0
     return pa.table({
@@ -96,7 +117,7 @@ def _score(table: pa.Table, known: pa.Table) -> pa.Table:
     grams, logs = grams[order], logs[order]
     total = np.zeros(len(group.lengths))
     for found, doc in group.chunks():
-        which, distinct = pd.factorize(found)
+        which, distinct = _numbered(found)
         total += np.bincount(
             doc, weights=logs[np.searchsorted(grams, distinct)][which], minlength=len(total))
     with np.errstate(invalid="ignore", divide="ignore"):

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -49,9 +48,10 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(">u8")[0])
 
 
-@F.pandas_udf(LongType())
-def _fingerprint_of(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+@F.arrow_udf(LongType())
+def _fingerprint_of(texts: pa.Array) -> pa.Array:
+    # One text at a time, as lists of texts stay in a worker's memory next to those of other stages.
+    return pa.array(np.array([fingerprint(t.as_py()) for t in texts], dtype=np.uint64).view(np.int64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _NO_ID = np.iinfo(np.int64).max
 
 _RANDOM = np.random.default_rng(20)
