@@ -261,16 +261,19 @@ def _ingest_tables(shop: Shop) -> DataFrame:
     spark, home = shop.spark, scratch_dir(shop.spark)
     layer = f"ingest_{uuid.uuid4().hex}"
     spark.sql(f"CREATE SCHEMA {layer}")
-    for name in VIEWS:
-        _write_csv(shop.raw(name), f"{home}/{name}")
-    tables.ingest_all(spark, home, {name: f"{name}/" for name in VIEWS}, layer=layer)
     broken = F.concat(F.lit('"say, '), "review_comment_message", F.lit('",\nsecond line'))
     reviews = shop.raw("order_reviews").withColumn("review_comment_message", broken)
-    _write_csv(reviews, f"{home}/broken", escape='"')  # quotes are doubled
+    tables.side_by_side(spark, [
+        *[functools.partial(_write_csv, shop.raw(name), f"{home}/{name}") for name in VIEWS],
+        functools.partial(_write_csv, reviews, f"{home}/broken", escape='"'),  # quotes are doubled
+    ])
+    tables.ingest_all(spark, home, {name: f"{name}/" for name in VIEWS}, layer=layer)
     extra = {"reviews_multiline": (True, False), "reviews_split": (True, True), "reviews_by_line": (False, False)}
-    for name, (multiline, split) in extra.items():
-        tables.ingest(spark, f"{home}/broken", RAW_SCHEMAS["order_reviews"], f"{layer}.{name}",
-                      multiline=multiline, split=split)
+    tables.side_by_side(spark, [
+        functools.partial(tables.ingest, spark, f"{home}/broken", RAW_SCHEMAS["order_reviews"], f"{layer}.{name}",
+                          multiline=multiline, split=split)
+        for name, (multiline, split) in extra.items()
+    ])
     audited = F.count_if(F.col("_ingestion_ts").isNotNull() & F.col("_source_file").isNotNull())
     counts = [
         spark.table(f"{layer}.{name}").agg(F.count("*").alias("row_count"), audited.alias("audited"))

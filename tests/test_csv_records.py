@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from tradeloom.schemas import RAW_SCHEMAS
@@ -107,3 +108,17 @@ def test_reviews_are_read_in_several_tasks(spark, tmp_path, small_ranges):
     slow, fast = _both(spark, str(tmp_path / "r.csv"), RAW_SCHEMAS["order_reviews"])
     assert _rows(fast.drop("_source_file")) == _rows(slow)
     assert slow.rdd.getNumPartitions() == 1 and fast.rdd.getNumPartitions() > 10
+
+
+def test_parts_and_whole_records_come_apart():
+    """The pass for records across borders hands on their parts only."""
+    lines = ["a", 'b,"x', 'y"', 'c,"open', 'z"', "d", 'e,"', "f"]
+    blocks, opened = [0] * 4 + [8] * 4, [False] * 4 + [True] * 4
+    batch = pa.RecordBatch.from_pydict({"_file": ["f"] * 8, "_block": blocks, "_open": opened, "_line": lines})
+    for cut in range(1, 8):
+        batches = [batch.slice(0, cut), batch.slice(cut)]
+        whole, parts = ([(r["_whole"], r["_starts"], r["_first"], r["_text"])
+                         for b in csv_records._put_together(only)(iter(batches)) for r in b.to_pylist()]
+                        for only in (False, True))
+        assert whole == [(True, True, True, "a"), (True, True, False, 'b,"x\ny"'), (True, True, True, "d")]
+        assert parts == [(False, True, False, 'c,"open'), (False, False, False, 'z"'), (False, True, False, 'e,"\nf')]

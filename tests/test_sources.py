@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +167,25 @@ def test_rows_are_counted_by_the_write(spark):
     before = jobs()
     assert tables.materialize(spark.range(0, 1000, 1, 4), "t9_gold.a") == 1000
     assert jobs() - before == 1
+
+
+def test_tables_are_loaded_side_by_side(spark, monkeypatch):
+    """One load waits for the other, which it could not if they came one after the other."""
+    both = threading.Barrier(2, timeout=30)
+
+    def load(spark, path, schema, table, **options):
+        both.wait()
+        return len(table)
+
+    monkeypatch.setattr(tables, "ingest", load)
+    files = {"orders": "orders/", "sellers": "sellers.csv"}
+    assert tables.ingest_all(spark, "/landing", files, layer="l") == {"orders": 8, "sellers": 9}
+
+
+def test_first_failure_of_loads_side_by_side(spark):
+    def fails():
+        raise ValueError("second")
+
+    with pytest.raises(ValueError, match="second"):
+        tables.side_by_side(spark, [lambda: 1, fails, lambda: 3], at_once=2)
+    assert tables.side_by_side(spark, [lambda: 1, lambda: 2]) == [1, 2]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +43,16 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     opened = _open_blocks(lines)
     if 2 * lines.rdd.getNumPartitions() <= BROADCAST_RANGES:
         opened = F.broadcast(opened)
-    pieces = (
+    marked = (
         placed.join(opened, [*_BLOCK], "left")
         .sortWithinPartitions(*_BLOCK, "_place")
         .select(*_BLOCK, F.col("_open").isNotNull().alias("_open"), "_line")
-        .mapInArrow(_put_together, _PIECES)
     )
-    whole = pieces.where("_whole").select("_file", "_block", "_first", "_text")
+    whole = marked.mapInArrow(_put_together(False), _PIECES).select("_file", "_block", "_first", "_text")
     # Parts of records that cross borders: the number of starts so far tells records apart.
     so_far = Window.partitionBy("_file").orderBy("_block", "_starts")
     crossing = (
-        pieces.where("NOT _whole")
+        marked.mapInArrow(_put_together(True), _PIECES)
         .withColumn("_nth", F.count_if("_starts").over(so_far))
         .groupBy("_file", "_nth")
         .agg(
@@ -83,51 +82,72 @@ def _open_blocks(lines: DataFrame) -> DataFrame:
     )
 
 
-def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of byte ranges, in order, to whole records and parts of records.
+def _put_together(parts: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines of byte ranges, in order, to whole records or, with ``parts``, to parts of records.
 
     Per range there is at most one part that goes on from the range before and
     one that goes on in the next range; the state between batches is the record
-    that is not closed yet.
+    that is not closed yet. Lines are joined many records at a time.
     """
-    block, waiting, starts, first = None, [], True, False
-
-    def part():
-        # What is left at the end of a range: a part, unless nothing is left.
-        return [(*block, False, starts, starts and first, "\n".join(waiting))] if waiting else []
-
-    for batch in batches:
-        files, blocks, opened, lines = (batch.column(n) for n in range(4))
-        odd = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) % 2
-        places = blocks.to_numpy(zero_copy_only=False)
-        names = files.dictionary_encode()
-        codes = names.indices.to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero((places[1:] != places[:-1]) | (codes[1:] != codes[:-1])) + 1
-        rows = []
-        for begin, end in zip([0, *cuts], [*cuts, len(lines)]):
-            here = (names.dictionary[int(codes[begin])].as_py(), int(places[begin])) if end > begin else block
-            if here != block:
-                rows += part() if block is not None else []
-                block, waiting = here, []
-                inside, begun = bool(opened[int(begin)].as_py()), False
-                starts = not inside
-            texts = lines.slice(int(begin), int(end - begin)).to_pylist()
-            for text, is_odd in zip(texts, odd[begin:end]):
-                if not waiting and not inside:
-                    starts, first, begun = True, not begun, True
-                waiting.append(text)
-                inside ^= bool(is_odd)
-                if not inside:
-                    # A part from the range before ends here; all others are whole.
-                    rows.append((*block, starts, starts, starts and first, "\n".join(waiting)))
-                    waiting = []
-        yield _pieces(rows)
-    if block is not None:
-        yield _pieces(part())
-
-
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * 6
-    types = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, waiting, starts, first = None, [], True, False
+
+        def left() -> Iterator[pa.RecordBatch]:
+            # What is left at the end of a range: a part, unless nothing is left.
+            if parts and waiting:
+                yield _pieces(block, False, starts, [starts and first], _joined(waiting))
+
+        for batch in batches:
+            files, blocks, opened, lines = (batch.column(n) for n in range(4))
+            odd = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) % 2
+            places = blocks.to_numpy(zero_copy_only=False)
+            names = files.dictionary_encode()
+            codes = names.indices.to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((places[1:] != places[:-1]) | (codes[1:] != codes[:-1])) + 1
+            for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lines)]):
+                if begin == end:
+                    continue
+                here = (names.dictionary[int(codes[begin])].as_py(), int(places[begin]))
+                if here != block:
+                    yield from left()
+                    block, waiting = here, []
+                    inside, begun = bool(opened[begin].as_py()), False
+                    starts = not inside
+                inside_after = (inside + np.cumsum(odd[begin:end])) % 2
+                ends = begin + 1 + np.flatnonzero(inside_after == 0)
+                at = begin
+                if waiting or inside:  # the record that is not closed yet
+                    at = int(ends[0]) if len(ends) else end
+                    waiting.append(lines.slice(begin, at - begin))
+                    if len(ends):
+                        # A part from the range before ends here; all others are whole.
+                        if starts != parts:
+                            yield _pieces(block, starts, starts, [starts and first], _joined(waiting))
+                        waiting, ends = [], ends[1:]
+                if len(ends):
+                    bounds = pa.array(np.r_[at, ends], pa.int32())
+                    starts = True
+                    if not parts:
+                        texts = pc.binary_join(pa.ListArray.from_arrays(bounds, lines), "\n")
+                        yield _pieces(block, True, True, [not begun] + [False] * (len(ends) - 1), texts)
+                    begun, at = True, int(ends[-1])
+                if at < end:
+                    starts, first, begun, waiting = True, not begun, True, [lines.slice(at, end - at)]
+                inside = bool(inside_after[-1])
+        if block is not None:
+            yield from left()
+
+    return run
+
+
+def _joined(lines: list[pa.Array]) -> pa.Array:
+    """Lines that may come from several batches, as one text."""
+    return pa.array(["\n".join(text for some in lines for text in some.to_pylist())], pa.string())
+
+
+def _pieces(block: tuple[str, int], whole: bool, starts: bool, first: list[bool], texts: pa.Array) -> pa.RecordBatch:
+    columns = [pa.repeat(pa.scalar(x, t), len(texts)) for x, t in zip(
+        (*block, whole, starts), (pa.string(), pa.int64(), pa.bool_(), pa.bool_()))]
     names = ["_file", "_block", "_whole", "_starts", "_first", "_text"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(first, pa.bool_()), texts], names=names)
