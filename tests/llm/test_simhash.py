@@ -136,3 +136,9 @@ def test_components_of_a_chain_and_a_star(spark):
 def test_long_text_is_one_of_many_chunks(spark):
     text = prose(9, 40_000)
     assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_one_per_group_makes_fingerprints_in_one_place(spark):
+    """A filter pushed below the call would fingerprint every text twice, in two workers a task."""
+    plan = simhash.one_per_group(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.shared import gapless_rank, written
+from tradeloom.llm.shared import gapless_rank, give_back, written
 from tradeloom.llm.tokens import TOKENIZER, slices, tokens_of
 
 CAPACITY = 1024
@@ -56,6 +56,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, PIECES)
@@ -124,8 +125,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     total = sum(r["n"] for r in counts)
     ranked = gapless_rank(
         cut, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", max(64, total // _RANK_ROWS))
+    # An Arrow table needs no Python workers, as a list of rows would.
+    names = ("length", "first", "stop", "per", "sequence", "place")
+    columns = zip(*rows) if rows else [()] * len(names)
     slots = docs.sparkSession.createDataFrame(
-        rows, "length long, first long, stop long, per long, sequence long, place long")
+        pa.table([pa.array(c, pa.int64()) for c in columns], names=names))
     # A plan has at most a few rows for each pair of a length and a room, so `capacity`
     # bounds its size. Without any it would have no rows to join.
     inside = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("stop"))

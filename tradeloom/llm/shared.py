@@ -1,10 +1,13 @@
-"""Helpers of the corpus operators: written tables, ranks, components, local names."""
+"""Helpers of the corpus operators: written tables, ranks, components, local names, memory of workers."""
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import uuid
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold unused to the system. Workers
+    live on after a task, so that an executor would keep the most that each ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, others may not
+    if trim is not None:
+        trim(0)
+
+
+def lean(function: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``function`` of one or two groups, whose working memory goes back after each call."""
+    def after(found: pa.Table) -> pa.Table:
+        give_back()
+        return found
+
+    if len(inspect.signature(function).parameters) == 1:  # Spark counts the parameters too
+        return lambda table: after(function(table))
+    return lambda one, other: after(function(one, other))
+
+
 def byte_length(text: Column) -> Column:
     """Length in UTF-8 bytes, 0 for NULL."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

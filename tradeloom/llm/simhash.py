@@ -54,6 +54,10 @@ def _fingerprint_of(texts: pa.Array) -> pa.Array:
     return pa.array(np.array([fingerprint(t.as_py()) for t in texts], dtype=np.uint64).view(np.int64))
 
 
+# Else a join's filter of NULLs is pushed below the call and calls it once more, in further workers.
+_fingerprint_of = _fingerprint_of.asNondeterministic()
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of whole texts; ``fp`` is the fingerprint as a signed long."""
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.shared import text_groups
+from tradeloom.llm.shared import lean, text_groups
 
 WINDOW = 13
 PERIOD = 7
@@ -302,12 +302,12 @@ def remove_repeats(
         })
 
     by_group = dealt.groupBy("g")
-    anchors = by_group.applyInArrow(send_anchors, _BLOCK).groupBy("b").applyInArrow(
-        _shared_anchors, _BITS)
-    windows = by_group.cogroup(anchors.groupBy("g")).applyInArrow(send_windows, _BLOCK).groupBy(
-        "b").applyInArrow(_earlier_windows, _BITS)
+    anchors = by_group.applyInArrow(lean(send_anchors), _BLOCK).groupBy("b").applyInArrow(
+        lean(_shared_anchors), _BITS)
+    windows = by_group.cogroup(anchors.groupBy("g")).applyInArrow(lean(send_windows), _BLOCK).groupBy(
+        "b").applyInArrow(lean(_earlier_windows), _BITS)
     bits = anchors.unionByName(windows)
-    return by_group.cogroup(bits.groupBy("g")).applyInArrow(cut, kept_schema)
+    return by_group.cogroup(bits.groupBy("g")).applyInArrow(lean(cut), kept_schema)
 
 
 def digests(docs: DataFrame, **settings) -> DataFrame:
